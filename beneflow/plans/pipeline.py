@@ -1,0 +1,118 @@
+"""landing -> bronze -> silver -> gold for any set of monthly deliveries."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from beneflow.functions import fixed
+from beneflow.operators.gold import gold_inputs, gold_tables
+from beneflow.operators.layers import BRONZE_SCHEMA, to_bronze, to_silver
+from beneflow.operators.quality import reconcile
+from beneflow.session import shared_folder
+from beneflow.sinks.tables import record_run, replace_parts
+from beneflow.sources.deliveries import read_delivery
+from beneflow.sources.tables import MONTH, read_table
+
+GOLD_TABLES = ("fat_uf", "fat_especie", "fat_banco", "kpis_nacionais")
+LANDING_SCHEMA = (
+    ", ".join(f"`{header}` string" for header in fixed.LANDING_TO_BRONZE) + f", {MONTH} string"
+)
+
+
+@dataclass(frozen=True)
+class Lake:
+    """Where the layers live."""
+
+    root: str
+
+    def table(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    @property
+    def audit(self) -> str:
+        return self.table("audit")
+
+
+def _store(
+    df: DataFrame, lake: Lake, table: str, months: Sequence[str], run_ts: str,
+    watched: Sequence[str] = (), cluster: bool = False,
+) -> int:
+    rows = replace_parts(df, lake.table(table), months, cluster=cluster)
+    record_run(
+        df.sparkSession, lake.audit, lake.table(table), table, months, rows, run_ts, watched
+    )
+    return rows
+
+
+def _require_same(table: str, rows: int, source: str, source_rows: int) -> int:
+    if rows != source_rows:
+        raise RuntimeError(f"{table} has {rows} rows, {source} has {source_rows}")
+    return rows
+
+
+def run_landing(
+    spark: SparkSession, deliveries: Mapping[str, str], lake: Lake, run_ts: str
+) -> int:
+    """Delimited text -> Parquet text columns, one folder per month; all months in one job."""
+    parts = [
+        read_delivery(spark, path).withColumn(MONTH, F.lit(month))
+        for month, path in deliveries.items()
+    ]
+    landed = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return _store(landed, lake, "landing", sorted(deliveries), run_ts)
+
+
+def run_bronze(spark: SparkSession, months: Sequence[str], lake: Lake, run_ts: str) -> int:
+    landing = read_table(spark, lake.table("landing"), months, schema=LANDING_SCHEMA)
+    source = F.concat(F.lit("landing/"), F.col(MONTH))
+    bronze = to_bronze(landing, F.col(MONTH), source, run_ts)
+    return _store(bronze, lake, "bronze", months, run_ts, ["vl_liquido", "dt_inicio_validade"])
+
+
+def run_silver(spark: SparkSession, months: Sequence[str], lake: Lake, run_ts: str) -> int:
+    bronze = read_table(spark, lake.table("bronze"), months, schema=BRONZE_SCHEMA)
+    return _store(to_silver(bronze, run_ts), lake, "silver", months, run_ts, ["sexo"])
+
+
+def stored_gold(silver: DataFrame, run_ts: str) -> dict[str, DataFrame]:
+    """The four tables over a summary and value counts that are computed and stored once."""
+    spark = silver.sparkSession
+    stored = []
+    for name, df in zip(("summary", "value-counts"), gold_inputs(silver), strict=True):
+        path = shared_folder(spark, name)
+        df.write.parquet(path)
+        stored.append(spark.read.schema(df.schema).parquet(path))
+    return gold_tables(*stored, run_ts)
+
+
+def run_gold(spark: SparkSession, months: Sequence[str], lake: Lake, run_ts: str) -> None:
+    """Write the four tables, then fail unless they agree with each other for every month."""
+    silver_schema = to_silver(spark.createDataFrame([], BRONZE_SCHEMA), run_ts).schema
+    silver = read_table(spark, lake.table("silver"), months, schema=silver_schema)
+    tables = stored_gold(silver, run_ts)
+    for name, df in tables.items():
+        _store(df, lake, name, months, run_ts, cluster=True)
+    written = {
+        name: read_table(spark, lake.table(name), months, schema=df.schema)
+        for name, df in tables.items()
+    }
+    broken = reconcile(written).filter(~F.col("ok")).limit(10).collect()
+    if broken:
+        raise RuntimeError(f"gold tables disagree: {broken}")
+
+
+def run_pipeline(
+    spark: SparkSession, deliveries: Mapping[str, str], lake: Lake, run_ts: str
+) -> list[str]:
+    """All layers for the given ``{month: delivery path}``; safe to run again."""
+    months = sorted(deliveries)
+    landed = run_landing(spark, deliveries, lake, run_ts)
+    bronze = _require_same("bronze", run_bronze(spark, months, lake, run_ts), "landing", landed)
+    _require_same("silver", run_silver(spark, months, lake, run_ts), "bronze", bronze)
+    run_gold(spark, months, lake, run_ts)
+    return months
