@@ -10,11 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from beneflow.functions import measures as M
-from beneflow.functions.parsing import MONEY_TYPE
 from beneflow.operators.layers import add_species_group
 from beneflow.operators.percentiles import (
     join_on_keys,
@@ -22,7 +21,6 @@ from beneflow.operators.percentiles import (
     percentiles_of_counts,
     value_counts,
 )
-from beneflow.operators.ranking import top_state_per_species
 
 UF_KEYS = ("_ano_mes", "uf", "sg_uf", "grupo_especie")
 SPECIES_KEYS = ("_ano_mes", "especie_codigo", "especie_descricao", "grupo_especie")
@@ -121,8 +119,30 @@ def _fat_uf(summary: DataFrame, medians: DataFrame, run_ts: str) -> DataFrame:
     )
 
 
+def _with_top_state(by_state: DataFrame) -> DataFrame:
+    """Mark each row with the state that has most payments of its month and species.
+
+    Ties go to the first code, NULL last; a missing species code has no top state. Works on rows
+    already summed per species and state, at most a few dozen per window partition.
+    """
+    species = ["_ano_mes", "especie_codigo"]
+    in_state = F.sum("n").over(Window.partitionBy(*species, "sg_uf"))
+    best_first = [F.col("n_estado").desc(), F.col("sg_uf").asc_nulls_last()]
+    best = F.first("sg_uf").over(Window.partitionBy(*species).orderBy(*best_first))
+    return by_state.withColumn("n_estado", in_state).withColumn(
+        "uf_com_mais_beneficios", F.when(F.col("especie_codigo").isNotNull(), best)
+    )
+
+
 def _fat_especie(summary: DataFrame, medians: DataFrame, run_ts: str) -> DataFrame:
-    facts = summary.groupBy(*SPECIES_KEYS).agg(
+    by_state = summary.groupBy(*SPECIES_KEYS, *SPECIES_DISTINCT).agg(
+        *[F.sum(c).alias(c) for c in (
+            "n", "n_valor", "soma", "n_feminino", "n_ramo_rural", "n_urbano",
+            "n_mesmo_municipio", "n_vl_zero",
+        )],
+        F.max("maximo").alias("maximo"),
+    )
+    facts = _with_top_state(by_state).groupBy(*SPECIES_KEYS, "uf_com_mais_beneficios").agg(
         _count().alias("qtd_beneficios"),
         _total().alias("vl_total"),
         _mean().alias("vl_medio"),
@@ -134,10 +154,7 @@ def _fat_especie(summary: DataFrame, medians: DataFrame, run_ts: str) -> DataFra
         M.distinct_count(F.col("uf")).alias("qtd_ufs_atendidas"),
         F.sum("n_vl_zero").alias("qtd_vl_zero"),
     )
-    # A missing species code matches no top state, so plain equality is wanted here.
-    facts = join_on_keys(facts, medians, SPECIES_KEYS, "left").join(
-        top_state_per_species(summary), ["_ano_mes", "especie_codigo"], "left"
-    )
+    facts = join_on_keys(facts, medians, SPECIES_KEYS, "left")
     return facts.select(
         "especie_codigo", "especie_descricao", "grupo_especie", "_ano_mes", "qtd_beneficios",
         "vl_total", "vl_medio", "vl_mediano", "vl_maximo", "pct_feminino", "pct_rural",
@@ -224,7 +241,7 @@ def gold_tables(summary: DataFrame, counts: DataFrame, run_ts: str) -> dict[str,
     """All four tables from ``gold_inputs``, which the caller has stored once."""
 
     def of(keys: Sequence[str], probabilities: dict[str, float]) -> DataFrame:
-        return percentiles_of_counts(counts, keys, MONEY_TYPE, probabilities)
+        return percentiles_of_counts(counts, keys, "vl_liquido", probabilities)
 
     return {
         "fat_uf": _fat_uf(summary, of(UF_KEYS, MEDIAN), run_ts),

@@ -6,13 +6,13 @@ from collections.abc import Mapping, Sequence
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Width of a value band, in the value's last digit. Ordering one band takes at most this many
-# rows, whatever the number of input rows; a band of a money column spans 100 units of currency.
-BAND = 10_000
+# A value band is 2^13 steps of the value's last digit (about 82 currency units of a money column).
+# Ordering one band takes at most that many rows, whatever the number of input rows.
+BAND_BITS = 13
 
 
 def join_on_keys(
@@ -26,42 +26,62 @@ def join_on_keys(
     return left.join(renamed, matches, how).drop(*[f"_right_{key}" for key in keys])
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """How often each value occurs per group; repeated values collapse before the shuffle.
+def _units(value: str, dtype: T.DataType) -> Column:
+    """A decimal as a count of its last digit.
 
-    The decimal value is kept as ``units``, a count of its last digit.
+    Never NULL (callers filter NULLs) and declared so: the optimizer then adds no NULL filter to
+    just one side of the self-join below, and both sides share one scan and shuffle.
     """
-    dtype = df.schema[value].dataType
     if not isinstance(dtype, T.DecimalType) or dtype.precision > 16:
         raise TypeError(f"{value} must be a decimal of at most 16 digits, got {dtype}")
-    units = (F.col(value) * 10**dtype.scale).cast("bigint")
+    return F.coalesce((F.col(value) * 10**dtype.scale).cast("bigint"), F.lit(0))
+
+
+def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """How often each value occurs per group; repeated values collapse before the shuffle."""
     return (
         df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, units.alias("units"))
+        .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
 def percentiles_of_counts(
-    counts: DataFrame, keys: Sequence[str], dtype: T.DecimalType, probabilities: Mapping[str, float]
+    counts: DataFrame, keys: Sequence[str], value: str, probabilities: Mapping[str, float]
+) -> DataFrame:
+    """Exact percentiles per group from ``value_counts`` rows at this or any finer grain."""
+    return _exact(counts, keys, value, F.sum("n"), probabilities)
+
+
+def _exact(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    weight: Column,
+    probabilities: Mapping[str, float],
 ) -> DataFrame:
-    """Exact discrete percentiles per group from ``(keys, units, n)`` rows at any finer grain.
+    """The smallest value whose running weight reaches ``ceil(p * total)``, per group.
 
-    The smallest value whose running count reaches ``ceil(p * total)``. A group is never sorted
-    as a whole: the band holding the target rank is found on band totals, and only that band's
-    distinct values are ordered, so a hot group spreads over many tasks.
+    A group is never sorted as a whole: the band holding the target rank is found on band totals,
+    and only that band's distinct values are ordered, so a hot group spreads over many tasks.
     """
+    dtype = df.schema[value].dataType
     # One struct key: NULL fields compare equal in it, and joins, windows and aggregates share it.
-    values = counts.groupBy(F.struct(*keys).alias("key"), "units").agg(F.sum("n").alias("n"))
-    values = values.withColumn("band", F.floor(F.col("units") / BAND))
+    values = (
+        df.filter(F.col(value).isNotNull())
+        .groupBy(F.struct(*keys).alias("key"), _units(value, dtype).alias("units"))
+        .agg(weight.alias("n"))
+        .withColumn("band", F.shiftright("units", BAND_BITS))
+    )
 
     group = Window.partitionBy("key")
+    by_band = group.orderBy("band").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     bands = (
         values.groupBy("key", "band")
         .agg(F.sum("n").alias("band_n"))
         .withColumns(
             {
-                "upto": F.sum("band_n").over(group.orderBy("band")),
+                "upto": F.sum("band_n").over(by_band),
                 "total": F.sum("band_n").over(group),
             }
         )
@@ -84,7 +104,10 @@ def percentiles_of_counts(
         .filter((F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("upto")))
     )
 
-    running = F.sum("n").over(Window.partitionBy("key", "name").orderBy("units"))
+    by_value = Window.partitionBy("key", "name").orderBy("units")
+    running = F.sum("n").over(
+        by_value.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
     reached = (
         values.join(targets, ["key", "band"])
         .withColumn("reached", F.col("before") + running)
@@ -111,8 +134,7 @@ def percentiles(
 ) -> DataFrame:
     """``{column: p}`` percentiles per group: exact, or a sketch of the given accuracy."""
     if accuracy is None:
-        dtype = df.schema[value].dataType
-        return percentiles_of_counts(value_counts(df, keys, value), keys, dtype, probabilities)
+        return _exact(df, keys, value, F.count(F.lit(1)), probabilities)
     return df.groupBy(*keys).agg(
         *[F.percentile_approx(value, p, accuracy).alias(n) for n, p in probabilities.items()]
     )

@@ -30,6 +30,18 @@ def top_state_per_species(state_counts: DataFrame) -> DataFrame:
     )
 
 
+def species_with_top_state(state_counts: DataFrame) -> DataFrame:
+    """Payments per month and species with the top state joined on.
+
+    A NULL species code matches nothing, so its top state is NULL. Both sides are aggregates, a
+    row per month and species; the optimizer broadcasts the right one when it is small.
+    """
+    totals = state_counts.groupBy("_ano_mes", "especie_codigo").agg(F.sum("n").alias("qtd"))
+    return totals.join(
+        top_state_per_species(state_counts), ["_ano_mes", "especie_codigo"], "left"
+    )
+
+
 def top_ordered(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     """First ``k`` rows of a total order (a top-k plan, no full sort)."""
     return df.orderBy(*order).limit(k)

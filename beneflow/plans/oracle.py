@@ -421,6 +421,11 @@ ORACLE: dict[str, str] = {
         f"grupo_especie, especie_codigo, {N} AS qtd FROM silver GROUP BY ALL)"
     ),
     "top_state_per_species": _silver("SELECT * FROM top_state", TOP_STATE),
+    "species_with_top_state": _silver(
+        f"SELECT _ano_mes, especie_codigo, qtd, uf_com_mais_beneficios FROM (SELECT _ano_mes, "
+        f"especie_codigo, {N} AS qtd FROM silver GROUP BY ALL) "
+        "LEFT JOIN top_state USING (_ano_mes, especie_codigo)", TOP_STATE
+    ),
     "group_rollup": _silver(
         f"SELECT grupo_especie, {N} AS qtd, {TOTAL} AS vl_total FROM silver GROUP BY grupo_especie"
     ),

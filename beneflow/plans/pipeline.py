@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +14,7 @@ from beneflow.operators.layers import BRONZE_SCHEMA, to_bronze, to_silver
 from beneflow.operators.quality import reconcile
 from beneflow.session import shared_folder
 from beneflow.sinks.tables import record_run, replace_parts
-from beneflow.sources.deliveries import read_delivery
+from beneflow.sources.deliveries import read_monthly_deliveries
 from beneflow.sources.tables import MONTH, read_table
 
 GOLD_TABLES = ("fat_uf", "fat_especie", "fat_banco", "kpis_nacionais")
@@ -42,11 +41,11 @@ def _store(
     df: DataFrame, lake: Lake, table: str, months: Sequence[str], run_ts: str,
     watched: Sequence[str] = (), cluster: bool = False,
 ) -> int:
-    rows = replace_parts(df, lake.table(table), months, cluster=cluster)
+    written = replace_parts(df, lake.table(table), months, cluster=cluster)
     record_run(
-        df.sparkSession, lake.audit, lake.table(table), table, months, rows, run_ts, watched
+        df.sparkSession, lake.audit, lake.table(table), table, written, run_ts, watched
     )
-    return rows
+    return written.rows
 
 
 def _require_same(table: str, rows: int, source: str, source_rows: int) -> int:
@@ -56,15 +55,11 @@ def _require_same(table: str, rows: int, source: str, source_rows: int) -> int:
 
 
 def run_landing(
-    spark: SparkSession, deliveries: Mapping[str, str], lake: Lake, run_ts: str
+    spark: SparkSession, deliveries: str, months: Sequence[str], lake: Lake, run_ts: str
 ) -> int:
     """Delimited text -> Parquet text columns, one folder per month; all months in one job."""
-    parts = [
-        read_delivery(spark, path).withColumn(MONTH, F.lit(month))
-        for month, path in deliveries.items()
-    ]
-    landed = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return _store(landed, lake, "landing", sorted(deliveries), run_ts)
+    landed = read_monthly_deliveries(spark, deliveries, months)
+    return _store(landed, lake, "landing", months, run_ts)
 
 
 def run_bronze(spark: SparkSession, months: Sequence[str], lake: Lake, run_ts: str) -> int:
@@ -107,12 +102,10 @@ def run_gold(spark: SparkSession, months: Sequence[str], lake: Lake, run_ts: str
 
 
 def run_pipeline(
-    spark: SparkSession, deliveries: Mapping[str, str], lake: Lake, run_ts: str
-) -> list[str]:
-    """All layers for the given ``{month: delivery path}``; safe to run again."""
-    months = sorted(deliveries)
-    landed = run_landing(spark, deliveries, lake, run_ts)
+    spark: SparkSession, deliveries: str, months: Sequence[str], lake: Lake, run_ts: str
+) -> None:
+    """All layers for the given months of a deliveries folder; safe to run again."""
+    landed = run_landing(spark, deliveries, months, lake, run_ts)
     bronze = _require_same("bronze", run_bronze(spark, months, lake, run_ts), "landing", landed)
     _require_same("silver", run_silver(spark, months, lake, run_ts), "bronze", bronze)
     run_gold(spark, months, lake, run_ts)
-    return months

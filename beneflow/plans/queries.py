@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,7 +12,11 @@ from beneflow.functions import fixed
 from beneflow.functions import measures as M
 from beneflow.operators import gold, layers, quality, reports
 from beneflow.operators.percentiles import percentiles
-from beneflow.operators.ranking import top_ordered, top_state_per_species
+from beneflow.operators.ranking import (
+    species_with_top_state,
+    top_ordered,
+    top_state_per_species,
+)
 from beneflow.plans import pipeline
 from beneflow.session import shared_folder
 from beneflow.sinks.tables import (
@@ -63,11 +67,6 @@ def silver(spark: SparkSession, sf: str) -> DataFrame:
     return layers.to_silver(bronze(spark, sf), RUN_TS)
 
 
-def _months(df: DataFrame) -> list[str]:
-    """Month values of a table: one per delivery, so a short list."""
-    return sorted(row[0] for row in df.select(MONTH).distinct().collect())
-
-
 def _delivered(spark: SparkSession, sf: str) -> str:
     path = shared_folder(spark, "delivery")
     feed = benefits.landing_feed(spark, sf).drop(MONTH)
@@ -114,7 +113,7 @@ def bronze_quality(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_folder(spark, "bronze")
     df = bronze(spark, sf)
     source = benefits.raw_feed(spark, sf)
-    replace_parts(df, path, _months(source), cluster=True)
+    replace_parts(df, path, cluster=True)
     return quality.bronze_quality(read_table(spark, path, schema=layers.BRONZE_SCHEMA), source)
 
 
@@ -267,13 +266,17 @@ def top_state(spark: SparkSession, sf: str) -> DataFrame:
     return top_state_per_species(counts)
 
 
+def species_top_state(spark: SparkSession, sf: str) -> DataFrame:
+    counts = silver(spark, sf).groupBy(MONTH, "especie_codigo", "sg_uf").agg(M.rows().alias("n"))
+    return species_with_top_state(counts)
+
+
 # --- sinks, streaming, audit --------------------------------------------------------------
 
 
 def month_replace_idempotent(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_folder(spark, "bronze")
-    first = bronze(spark, sf)
-    replace_parts(first, path, _months(first), cluster=True)
+    replace_parts(bronze(spark, sf), path, cluster=True)
     for run_ts in (LATER_TS, LATER_TS):
         again = bronze(spark, sf, run_ts).filter(F.col(MONTH) == REWRITTEN_MONTH)
         replace_parts(again, path, [REWRITTEN_MONTH])
@@ -285,12 +288,9 @@ def month_replace_idempotent(spark: SparkSession, sf: str) -> DataFrame:
 def schema_evolution(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_folder(spark, "evolving")
     df = bronze(spark, sf)
-    months = _months(df)
-    early = [month for month in months if month < EVOLVED_FROM]
-    late = [month for month in months if month >= EVOLVED_FROM]
-    narrow = df.drop("especie_descricao").filter(F.col(MONTH).isin(*early))
-    replace_parts(narrow, path, early, cluster=True)
-    replace_parts(df.filter(F.col(MONTH).isin(*late)), path, late, cluster=True)
+    early = F.col(MONTH) < EVOLVED_FROM
+    replace_parts(df.drop("especie_descricao").filter(early), path, cluster=True)
+    replace_parts(df.filter(~early), path, cluster=True)
     return read_table(spark, path, merge_schema=True).groupBy(MONTH).agg(
         M.rows().alias("qtd"), F.count("especie_descricao").alias("com_descricao")
     )
@@ -319,20 +319,21 @@ def synthetic_people(spark: SparkSession, sf: str) -> DataFrame:
 
 def run_audit(spark: SparkSession, sf: str) -> DataFrame:
     base = shared_folder(spark, "audited")
-    months = _months(benefits.raw_feed(spark, sf))
-    runs = {RUN_TS: months, LATER_TS: [m for m in months if m.startswith("1998")],
-            LAST_TS: [REWRITTEN_MONTH]}
-    for run_ts, parts in runs.items():
-        df = bronze(spark, sf, run_ts).filter(F.col(MONTH).isin(*parts))
-        rows = replace_parts(df, f"{base}/bronze", parts, cluster=True)
-        record_run(spark, f"{base}/audit", f"{base}/bronze", "bronze", parts, rows, run_ts,
+    runs = {
+        RUN_TS: F.lit(True),
+        LATER_TS: F.col(MONTH).startswith("1998"),
+        LAST_TS: F.col(MONTH) == REWRITTEN_MONTH,
+    }
+    for run_ts, months in runs.items():
+        written = replace_parts(bronze(spark, sf, run_ts).filter(months), f"{base}/bronze", cluster=True)
+        record_run(spark, f"{base}/audit", f"{base}/bronze", "bronze", written, run_ts,
                    ["vl_liquido", "dt_inicio_validade"])
     return run_history(spark, f"{base}/audit", "bronze", 5)
 
 
 def _registered(spark: SparkSession, df: DataFrame, label: str) -> str:
     path = shared_folder(spark, label)
-    replace_parts(df, path, _months(df), cluster=True)
+    replace_parts(df, path, cluster=True)
     name = path.rsplit("/", 1)[1].replace("-", "_")
     columns = [f for f in df.schema.fields if f.name != MONTH]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
@@ -368,10 +369,11 @@ def reconciliation(spark: SparkSession, sf: str) -> DataFrame:
 def pipeline_kpis(spark: SparkSession, sf: str) -> DataFrame:
     """Delimited monthly deliveries through all four layers on storage, then the KPI table."""
     base = shared_folder(spark, "lake")
-    feed = benefits.landing_feed(spark, sf)
-    months = _months(feed)
+    seen = Observation()
     (
-        feed.hint("rebalance", MONTH)
+        benefits.landing_feed(spark, sf)
+        .hint("rebalance", MONTH)
+        .observe(seen, F.collect_set(MONTH).alias("months"))
         .write.partitionBy(MONTH)
         .option("header", "true")
         .option("sep", ";")
@@ -381,8 +383,7 @@ def pipeline_kpis(spark: SparkSession, sf: str) -> DataFrame:
         .csv(f"{base}/deliveries")
     )
     lake = pipeline.Lake(f"{base}/layers")
-    sources = {month: f"{base}/deliveries/{MONTH}={month}" for month in months}
-    pipeline.run_pipeline(spark, sources, lake, RUN_TS)
+    pipeline.run_pipeline(spark, f"{base}/deliveries", sorted(seen.get["months"]), lake, RUN_TS)
     return read_table(spark, lake.table("kpis_nacionais"))
 
 
@@ -423,6 +424,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "share_of_total": share_of_total,
     "rank_in_group": rank_in_group,
     "top_state_per_species": top_state,
+    "species_with_top_state": species_top_state,
     "group_rollup": _over_silver(lambda s: reports.group_totals(gold.fat_especie(s, RUN_TS))),
     "top5_uf_by_value": _over_silver(lambda s: reports.top_ranked_states(gold.fat_uf(s, RUN_TS), 5)),
     "top5_species_by_volume": _over_silver(

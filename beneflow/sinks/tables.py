@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,14 +15,26 @@ AUDIT_SCHEMA = (
 )
 
 
-def replace_parts(
-    df: DataFrame, path: str, parts: Sequence[str], key: str = MONTH, cluster: bool = False
-) -> int:
-    """Replace exactly the stated partitions of a table with ``df``; returns the rows written.
+@dataclass(frozen=True)
+class Written:
+    """What one write put into a table."""
+
+    rows: int
+    parts: list[str]
 
-    * A row of any other partition fails the job before anything is committed.
-    * A stated partition without new rows ends up empty.
-    * Partitions not stated are untouched.
+
+def replace_parts(
+    df: DataFrame,
+    path: str,
+    parts: Sequence[str] | None = None,
+    key: str = MONTH,
+    cluster: bool = False,
+) -> Written:
+    """Replace partitions of a table with the rows of ``df``; other partitions are untouched.
+
+    With stated ``parts`` exactly those are replaced: a row of any other partition fails the job
+    before anything is committed, and a stated partition without new rows ends up empty. Without
+    them, the partitions ``df`` has rows of are replaced.
 
     Dynamic overwrite stages the files and swaps them at job commit, so lost executors cost a
     task retry, not the old partition. Rows are written as they come, without a shuffle. Only when
@@ -29,14 +42,15 @@ def replace_parts(
     split over many files, small ones share a task. A table has one writer at a time and is never
     replaced by a query reading it.
     """
-    refuse = F.raise_error(
-        F.concat(F.lit(f"{key} outside {', '.join(parts)}: "), F.coalesce(key, F.lit("NULL")))
-    ).cast("string")
-    guarded = df.withColumn(key, F.when(F.col(key).isin(*parts), F.col(key)).otherwise(refuse))
+    if parts is not None:
+        outside = F.concat(F.lit(f"{key} outside {', '.join(parts)}: "), F.coalesce(key, F.lit("NULL")))
+        refuse = F.raise_error(outside).cast("string")
+        df = df.withColumn(key, F.when(F.col(key).isin(*parts), F.col(key)).otherwise(refuse))
     if cluster:
-        guarded = guarded.hint("rebalance", key)
+        df = df.hint("rebalance", key)
     written = Observation()
-    observed = guarded.observe(
+    # One value per partition written: the driver lists those at commit anyway.
+    observed = df.observe(
         written, F.count(F.lit(1)).alias("rows"), F.collect_set(key).alias("parts")
     )
     (
@@ -46,9 +60,9 @@ def replace_parts(
         .parquet(path)
     )
     metrics = written.get
-    for part in set(parts) - set(metrics["parts"]):
+    for part in set(parts or ()) - set(metrics["parts"]):
         _empty_part(df, path, key, part)
-    return metrics["rows"]
+    return Written(metrics["rows"], sorted(metrics["parts"] if parts is None else parts))
 
 
 def _empty_part(df: DataFrame, path: str, key: str, part: str) -> None:
@@ -71,13 +85,12 @@ def record_run(
     audit_path: str,
     table_path: str,
     table: str,
-    parts: Sequence[str],
-    expected_rows: int,
+    written: Written,
     run_ts: str,
     watched: Sequence[str] = (),
 ) -> None:
     """Append one audit row per part just written; fail when the table does not hold those rows."""
-    metrics = part_metrics(read_table(spark, table_path, parts), watched)
+    metrics = part_metrics(read_table(spark, table_path, written.parts), watched)
     rows = metrics.select(
         F.lit(run_ts).alias("run_ts"),
         F.lit(table).alias("tabela"),
@@ -87,12 +100,14 @@ def record_run(
         MONTH,
     )
     seen = Observation()
+    # One row per month, so one small file per run.
     rows.coalesce(1).observe(seen, F.coalesce(F.sum("linhas"), F.lit(0)).alias("rows")).write.mode(
         "append"
     ).parquet(audit_path)
-    if seen.get["rows"] != expected_rows:
+    if seen.get["rows"] != written.rows:
         raise RuntimeError(
-            f"{table}: {seen.get['rows']} rows in {', '.join(parts)}, {expected_rows} expected"
+            f"{table}: {seen.get['rows']} rows in {', '.join(written.parts)}, "
+            f"{written.rows} expected"
         )
 
 

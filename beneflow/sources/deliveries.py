@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beneflow.functions import fixed
+from beneflow.sources.tables import MONTH
 
 
 def header_line(spark: SparkSession, path: str) -> str:
@@ -37,15 +40,37 @@ def distinct_names(names: Sequence[str]) -> list[str]:
     ]
 
 
-def read_delivery(spark: SparkSession, path: str, separator: str | None = None) -> DataFrame:
-    """A delivery as text columns. Lines are single records, so large files split freely."""
-    header = header_line(spark, path)
-    separator = separator or sniff_separator(header)
+def _scan(spark: SparkSession, paths: Sequence[str], header: str, base: str | None) -> DataFrame:
+    separator = sniff_separator(header)
     names = distinct_names([name.strip('"') for name in header.split(separator)])
     schema = ", ".join(f"`{name.replace('`', '``')}` string" for name in names)
-    return spark.read.csv(
-        path, schema=schema, header=True, sep=separator, encoding=fixed.DELIVERY_ENCODING
+    reader = spark.read.options(
+        header=True, sep=separator, encoding=fixed.DELIVERY_ENCODING
     )
+    if base is not None:
+        reader = reader.option("basePath", base)
+        schema += f", {MONTH} string"
+    return reader.schema(schema).csv(list(paths))
+
+
+def read_delivery(spark: SparkSession, path: str) -> DataFrame:
+    """A delivery as text columns. Lines are single records, so large files split freely."""
+    return _scan(spark, [path], header_line(spark, path), None)
+
+
+def read_monthly_deliveries(spark: SparkSession, base: str, months: Sequence[str]) -> DataFrame:
+    """Deliveries kept as ``base/_ano_mes=YYYYMM/`` as text columns plus the month.
+
+    Months with the same header line share one scan; a column some months lack reads as NULL.
+    """
+    paths = {month: f"{base}/{MONTH}={month}" for month in months}
+    with ThreadPoolExecutor(8) as pool:
+        headers = pool.map(lambda path: header_line(spark, path), paths.values())
+    by_header: dict[str, list[str]] = {}
+    for path, header in zip(paths.values(), headers, strict=True):
+        by_header.setdefault(header, []).append(path)
+    scans = [_scan(spark, same, header, base) for header, same in by_header.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
 def write_delivery(df: DataFrame, path: str, header: Sequence[str], separator: str = ";") -> None:

@@ -64,11 +64,17 @@ def difference(df, connection, sql: str) -> str | None:
 
 def main(folder: str, *names: str) -> int:
     from __spark_entry__ import oracle_sql, queries
-    from beneflow.session import build_session
-
-    spark = build_session(
-        "compare", "local[8]", spark__ui__enabled="false", spark__driver__memory="16g",
-        spark__sql__shuffle__partitions="8", spark__ui__showConsoleProgress="false",
+    from pyspark.sql import SparkSession
+
+    # A plain session: results must not depend on the library's own settings.
+    spark = (
+        SparkSession.builder.appName("compare")
+        .master("local[8]")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "16g")
+        .config("spark.sql.shuffle.partitions", "8")
+        .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     connection, oracle, failed = connect(folder), oracle_sql(), 0
