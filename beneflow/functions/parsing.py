@@ -60,33 +60,38 @@ def municipality(text: Column, prefix: str) -> dict[str, Column]:
     }
 
 
-def lookup(entries: Mapping[str, Column], key: Column) -> Column:
-    """Literal map lookup; an unmapped key gives NULL."""
-    pairs = [part for name, value in entries.items() for part in (F.lit(name), value)]
-    return F.create_map(*pairs)[key]
+def text_literal(value: str) -> str:
+    """A text as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def lookup(entries: Mapping[str, str], key: Column) -> Column:
+    """Literal map lookup of text -> SQL expression; an unmapped key gives NULL."""
+    pairs = ", ".join(f"{text_literal(name)}, {value}" for name, value in entries.items())
+    return F.expr(f"map({pairs})")[key]
 
 
 def state_code(name: Column) -> Column:
-    return lookup({state: F.lit(code) for state, code in fixed.STATE_CODES.items()}, name)
+    return lookup({state: text_literal(c) for state, c in fixed.STATE_CODES.items()}, name)
 
 
 def payment_means(text: Column) -> dict[str, Column]:
     """``Ccl  -  Loterica`` -> ``CCL`` and its description; unmapped means give NULLs."""
-    entry = lookup(
-        {
-            prefix: F.struct(F.lit(code).alias("codigo"), F.lit(label).alias("descricao"))
-            for prefix, (code, label) in fixed.PAYMENT_MEANS.items()
-        },
-        F.get(F.split(text, r"\s+-\s+", 2), F.lit(0)),
-    )
+    entries = {
+        prefix: f"named_struct('codigo', {text_literal(code)}, 'descricao', {text_literal(label)})"
+        for prefix, (code, label) in fixed.PAYMENT_MEANS.items()
+    }
+    entry = lookup(entries, F.get(F.split(text, r"\s+-\s+", 2), F.lit(0)))
     return {
         "meio_pag_codigo": entry.getField("codigo"),
         "meio_pag_descricao": entry.getField("descricao"),
     }
 
 
-def species_group(code: Column) -> Column:
-    chain = F
-    for group, codes in fixed.SPECIES_GROUPS.items():
-        chain = chain.when(code.isin(*codes), F.lit(group))
-    return chain.otherwise(F.lit(fixed.OTHER_GROUP))
+def species_group(code: str) -> Column:
+    """Business group of a species code column; unlisted and missing codes are in the last one."""
+    cases = " ".join(
+        f"WHEN {code} IN ({', '.join(map(str, codes))}) THEN {text_literal(group)}"
+        for group, codes in fixed.SPECIES_GROUPS.items()
+    )
+    return F.expr(f"CASE {cases} ELSE {text_literal(fixed.OTHER_GROUP)} END")

@@ -106,4 +106,4 @@ def to_silver(bronze: DataFrame, run_ts: str) -> DataFrame:
 
 
 def add_species_group(df: DataFrame, name: str = "grupo_especie") -> DataFrame:
-    return df.withColumn(name, parsing.species_group(F.col("especie_codigo")))
+    return df.withColumn(name, parsing.species_group("especie_codigo"))

@@ -27,10 +27,10 @@ def join_on_keys(
 
 
 def _units(value: str, dtype: T.DataType) -> Column:
-    """A decimal as a count of its last digit.
+    """A decimal as a count of its last digit; NULL as 0, which callers give no weight.
 
-    Never NULL (callers filter NULLs) and declared so: the optimizer then adds no NULL filter to
-    just one side of the self-join below, and both sides share one scan and shuffle.
+    Never being NULL, it gets no NULL filter on just one side of the self-join below, so both
+    sides share one scan and shuffle.
     """
     if not isinstance(dtype, T.DecimalType) or dtype.precision > 16:
         raise TypeError(f"{value} must be a decimal of at most 16 digits, got {dtype}")
@@ -39,11 +39,7 @@ def _units(value: str, dtype: T.DataType) -> Column:
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """How often each value occurs per group; repeated values collapse before the shuffle."""
-    return (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    return df.groupBy(*keys, value).agg(F.count(value).alias("n"))
 
 
 def percentiles_of_counts(
@@ -62,14 +58,15 @@ def _exact(
 ) -> DataFrame:
     """The smallest value whose running weight reaches ``ceil(p * total)``, per group.
 
+    NULL values carry no weight; a group of only NULLs has no row.
+
     A group is never sorted as a whole: the band holding the target rank is found on band totals,
     and only that band's distinct values are ordered, so a hot group spreads over many tasks.
     """
     dtype = df.schema[value].dataType
     # One struct key: NULL fields compare equal in it, and joins, windows and aggregates share it.
     values = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(F.struct(*keys).alias("key"), _units(value, dtype).alias("units"))
+        df.groupBy(F.struct(*keys).alias("key"), _units(value, dtype).alias("units"))
         .agg(weight.alias("n"))
         .withColumn("band", F.shiftright("units", BAND_BITS))
     )
@@ -134,7 +131,7 @@ def percentiles(
 ) -> DataFrame:
     """``{column: p}`` percentiles per group: exact, or a sketch of the given accuracy."""
     if accuracy is None:
-        return _exact(df, keys, value, F.count(F.lit(1)), probabilities)
+        return _exact(df, keys, value, F.count(value), probabilities)
     return df.groupBy(*keys).agg(
         *[F.percentile_approx(value, p, accuracy).alias(n) for n, p in probabilities.items()]
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beneflow.functions import fixed
+from beneflow.functions.parsing import text_literal
 
 # Fixed values of the feed: nation key -> state name and its mixed-case code.
 FEED_STATES = [
@@ -22,9 +23,25 @@ FEED_STATES = [
 
 SPLIT_BYTES = 128 * 1024 * 1024
 
+# Schemas of the shared tables in use, so that no job runs to infer them.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def spread_if_small(df: DataFrame, path: str, *keys: str) -> DataFrame:
@@ -44,8 +61,8 @@ def spread_if_small(df: DataFrame, path: str, *keys: str) -> DataFrame:
 
 def _by_nation(key: Column, position: int) -> Column:
     """Text of the state a nation key stands for, from the fixed list above."""
-    texts = [F.lit(state[position]) for state in sorted(FEED_STATES)]
-    return F.get(F.array(*texts), key)
+    texts = ", ".join(text_literal(state[position]) for state in sorted(FEED_STATES))
+    return F.get(F.expr(f"array({texts})"), key)
 
 
 def _choose(key: Column, choices: dict[str, str], default: str) -> Column:
@@ -60,55 +77,71 @@ def raw_feed(spark: SparkSession, folder: str) -> DataFrame:
 
     Join strategies are left to the optimizer; states come from a literal list, not a join.
     """
-    lineitem = table(spark, folder, "lineitem")
-    payments = (
-        spread_if_small(lineitem, f"{folder}/lineitem.parquet", "l_orderkey", "l_linenumber")
-        .join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .filter(F.col("c_nationkey").between(0, 24) & F.col("s_nationkey").between(0, 24))
-    )
-    home_name, home_code = (_by_nation(F.col("c_nationkey"), i) for i in (1, 2))
-    paid_code = _by_nation(F.col("s_nationkey"), 2)
-
-    bank_no = F.col("s_suppkey") % 21
     paid_no, home_no = F.col("s_suppkey") % 50, F.col("c_custkey") % 50
+    bank_no = F.col("s_suppkey") % 21
     size = F.col("p_size")
     species = F.when(size >= 49, size + 38).otherwise(size)
     priority = F.substring("o_orderpriority", 1, 1)
-    return payments.select(
-        _choose(F.col("o_orderstatus"), {"F": "Normal  ", "O": " {ñ class}"}, " Especial")
-        .alias("despacho"),
-        _choose(F.col("l_returnflag"), {"A": "Feminino ", "R": "Masculino"}, "{ñ class}")
-        .alias("sexo"),
-        F.when(F.col("l_linenumber") == 7, "Nao Informado")
-        .when(F.col("l_linestatus") == "F", "Urbano  ").otherwise("Rural").alias("clientela"),
-        F.col("p_type").alias("tipo_beneficio"),
-        home_name.alias("uf"),
-        _choose(priority, {"1": "Ccf - Conta", "2": "Cmg - Cartao", "3": "Ccl  -  Loterica",
-                           "4": "Xyz - Outro"}, "Cmg").alias("meio_pagamento"),
+
+    # Texts that depend on one dimension are made on that dimension, before it is joined.
+    suppliers = table(spark, folder, "supplier").filter(F.col("s_nationkey").between(0, 24)).select(
+        "s_suppkey",
         F.when(bank_no == 20, "SemCodigo")
         .otherwise(F.concat((bank_no + 100).cast("string"), F.lit("-Banco-"),
                             bank_no.cast("string"), F.lit(" "))).alias("banco"),
         F.when(paid_no == 49, "Ignorado")
-        .otherwise(F.concat((paid_no + 20000).cast("string"), F.lit("-"), paid_code,
-                            F.lit("-Mun-"), paid_no.cast("string"))).alias("mun_pagto"),
-        F.concat((home_no + 20000).cast("string"), F.lit("-"), home_code,
-                 F.lit("-Mun-"), home_no.cast("string")).alias("mun_resid"),
-        F.when(F.col("l_orderkey") % 997 == 0, "n/d")
-        .when((F.col("l_linenumber") == 3) & (F.col("l_tax") == 0), "0,00")
-        .otherwise(F.translate(F.format_number("l_extendedprice", 2), ",.", ".,"))
-        .alias("vl_liquido"),
+        .otherwise(F.concat((paid_no + 20000).cast("string"), F.lit("-"),
+                            _by_nation(F.col("s_nationkey"), 2), F.lit("-Mun-"),
+                            paid_no.cast("string"))).alias("mun_pagto"),
+    )
+    customers = table(spark, folder, "customer").filter(F.col("c_nationkey").between(0, 24)).select(
+        "c_custkey",
+        _by_nation(F.col("c_nationkey"), 1).alias("uf"),
+        F.concat((home_no + 20000).cast("string"), F.lit("-"),
+                 _by_nation(F.col("c_nationkey"), 2), F.lit("-Mun-"), home_no.cast("string"))
+        .alias("mun_resid"),
         _choose(F.col("c_mktsegment"), {"MACHINERY": "Rural", "HOUSEHOLD": "{ñ class}"}, "Urbano ")
         .alias("ramo_atividade"),
-        F.when(F.col("l_orderkey") % 991 == 0, "31/02/2000")
-        .otherwise(F.date_format("o_orderdate", "dd/MM/yyyy")).alias("dt_inicio_validade"),
+    )
+    parts = table(spark, folder, "part").select(
+        "p_partkey",
+        F.col("p_type").alias("tipo_beneficio"),
         F.when(size == 48, "x").otherwise(F.lpad(species.cast("string"), 3, " "))
         .alias("especie_codigo"),
         F.concat(F.lit("Especie "), size.cast("string")).alias("especie_descricao"),
+    )
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey", "o_custkey",
+        _choose(F.col("o_orderstatus"), {"F": "Normal  ", "O": " {ñ class}"}, " Especial")
+        .alias("despacho"),
+        _choose(priority, {"1": "Ccf - Conta", "2": "Cmg - Cartao", "3": "Ccl  -  Loterica",
+                           "4": "Xyz - Outro"}, "Cmg").alias("meio_pagamento"),
+        F.when(F.col("o_orderkey") % 991 == 0, "31/02/2000")
+        .otherwise(F.date_format("o_orderdate", "dd/MM/yyyy")).alias("dt_inicio_validade"),
         F.date_format("o_orderdate", "yyyyMM").alias("_ano_mes"),
     )
+    lineitem = table(spark, folder, "lineitem")
+    return (
+        spread_if_small(lineitem, f"{folder}/lineitem.parquet", "l_orderkey", "l_linenumber")
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .select(
+            "despacho",
+            _choose(F.col("l_returnflag"), {"A": "Feminino ", "R": "Masculino"}, "{ñ class}")
+            .alias("sexo"),
+            F.when(F.col("l_linenumber") == 7, "Nao Informado")
+            .when(F.col("l_linestatus") == "F", "Urbano  ").otherwise("Rural").alias("clientela"),
+            "tipo_beneficio", "uf", "meio_pagamento", "banco", "mun_pagto", "mun_resid",
+            F.when(F.col("l_orderkey") % 997 == 0, "n/d")
+            .when((F.col("l_linenumber") == 3) & (F.col("l_tax") == 0), "0,00")
+            .otherwise(F.translate(F.format_number("l_extendedprice", 2), ",.", ".,"))
+            .alias("vl_liquido"),
+            "ramo_atividade", "dt_inicio_validade", "especie_codigo", "especie_descricao",
+            "_ano_mes",
+        )
+    )
 
 
 def landing_feed(spark: SparkSession, folder: str) -> DataFrame:

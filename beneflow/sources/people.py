@@ -35,58 +35,62 @@ def _mix(ids: Column, salt: int) -> Column:
     return (squared * F.lit(69621) + F.lit(salt * 104729)) % _PRIME
 
 
-def _pick(ids: Column, salt: int, choices: Sequence[str]) -> Column:
-    index = (_mix(ids, salt) % len(choices)).cast("int")
+def _mixed(salt: int) -> Column:
+    return F.col(f"_mixed_{salt}")
+
+
+def _pick(salt: int, choices: Sequence[str]) -> Column:
+    index = (_mixed(salt) % len(choices)).cast("int")
     return F.get(F.array(*[F.lit(choice) for choice in choices]), index)
 
 
-def _digits(ids: Column, salt: int, width: int) -> Column:
-    return F.lpad((_mix(ids, salt) % 10**width).cast("string"), width, "0")
+def _digits(salt: int, width: int) -> Column:
+    return F.lpad((_mixed(salt) % 10**width).cast("string"), width, "0")
 
 
 def _check_digit(digits: Sequence[Column]) -> Column:
-    """Modulo-11 check digit with weights counting down to 2."""
+    """Modulo-11 check digit with weights counting down to 2; a remainder of 0 or 1 gives 0."""
     weights = range(len(digits) + 1, 1, -1)
     total = sum((digit * weight for digit, weight in zip(digits, weights, strict=True)), F.lit(0))
-    rest = F.lit(11) - total % 11
-    return F.when(rest >= 10, 0).otherwise(rest)
-
-
-def _cpf(ids: Column) -> Column:
-    number = _mix(ids, 3) % 10**9
-    digits = [F.floor(number / F.lit(10**power)).cast("bigint") % 10 for power in range(8, -1, -1)]
-    for _ in range(2):
-        digits = [*digits, _check_digit(digits)]
-    text = [digit.cast("string") for digit in digits]
-    return F.concat(
-        *text[:3], F.lit("."), *text[3:6], F.lit("."), *text[6:9], F.lit("-"), *text[9:]
-    )
+    return (F.lit(11) - total % 11) % 11 % 10
+
+
+def _with_cpf(df: DataFrame) -> DataFrame:
+    """``123.456.789-09`` from nine digits and two check digits, the second over the first."""
+    number = F.lpad((_mixed(3) % 10**9).cast("string"), 9, "0")
+    df = df.withColumn("_number", number)
+    digits = [F.substring("_number", i, 1).cast("int") for i in range(1, 10)]
+    df = df.withColumn("_first", _check_digit(digits))
+    df = df.withColumn("_second", _check_digit([*digits, F.col("_first")]))
+    groups = [F.substring("_number", i, 3) for i in (1, 4, 7)]
+    checks = F.concat(F.col("_first").cast("string"), F.col("_second").cast("string"))
+    return df.withColumn("cpf", F.concat_ws("-", F.concat_ws(".", *groups), checks))
 
 
 def people(ids: DataFrame, id_column: str, as_of: str, run_ts: str) -> DataFrame:
     """One person per id, 18 to 90 years old on ``as_of`` (an ISO date)."""
     key = F.col(id_column).cast("bigint")
-    given, family = _pick(key, 1, GIVEN_NAMES), _pick(key, 2, FAMILY_NAMES)
+    mixed = ids.select(key.alias("id"), *[_mix(key, n).alias(f"_mixed_{n}") for n in range(1, 18)])
+    given, family = _pick(1, GIVEN_NAMES), _pick(2, FAMILY_NAMES)
+    email = F.concat(given, F.lit("."), family, F.col("id").cast("string"), F.lit("@example.com"))
     # 18 years plus up to 72 years less a day, in days.
-    age_days = F.lit(18 * 366) + _mix(key, 9) % (72 * 365 - 18)
-    return ids.select(
-        key.alias("id"),
+    age_days = F.lit(18 * 366) + _mixed(9) % (72 * 365 - 18)
+    return _with_cpf(mixed).select(
+        "id",
         F.concat_ws(" ", given, family).alias("nome"),
-        F.lower(F.concat(given, F.lit("."), family, key.cast("string"), F.lit("@example.com")))
-        .alias("email"),
-        _cpf(key).alias("cpf"),
-        F.concat(F.lit("("), (_mix(key, 4) % 89 + 11).cast("string"), F.lit(") 9"),
-                 _digits(key, 5, 4), F.lit("-"), _digits(key, 6, 4)).alias("telefone"),
-        F.concat(_pick(key, 7, STREETS), F.lit(", "), (_mix(key, 8) % 2000 + 1).cast("string"))
+        F.lower(email).alias("email"),
+        "cpf",
+        F.concat(F.lit("("), (_mixed(4) % 89 + 11).cast("string"), F.lit(") 9"),
+                 _digits(5, 4), F.lit("-"), _digits(6, 4)).alias("telefone"),
+        F.concat(_pick(7, STREETS), F.lit(", "), (_mixed(8) % 2000 + 1).cast("string"))
         .alias("endereco"),
-        _pick(key, 10, CITIES).alias("cidade"),
-        _pick(key, 11, list(STATE_CODES.values())).alias("estado"),
-        F.concat(_digits(key, 12, 5), F.lit("-"), _digits(key, 13, 3)).alias("cep"),
+        _pick(10, CITIES).alias("cidade"),
+        _pick(11, list(STATE_CODES.values())).alias("estado"),
+        F.concat(_digits(12, 5), F.lit("-"), _digits(13, 3)).alias("cep"),
         F.date_sub(F.lit(as_of).cast("date"), age_days.cast("int")).cast("string")
         .alias("data_nascimento"),
-        F.concat_ws(" ", _pick(key, 14, FAMILY_NAMES), _pick(key, 15, COMPANY_KINDS))
-        .alias("empresa"),
-        _pick(key, 16, JOBS).alias("cargo"),
-        ((F.lit(180_000) + _mix(key, 17) % 2_320_001) / 100.0).alias("salario"),
+        F.concat_ws(" ", _pick(14, FAMILY_NAMES), _pick(15, COMPANY_KINDS)).alias("empresa"),
+        _pick(16, JOBS).alias("cargo"),
+        ((F.lit(180_000) + _mixed(17) % 2_320_001) / 100.0).alias("salario"),
         F.lit(run_ts).alias("_ingestion_ts"),
     )
