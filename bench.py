@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from beneflow.operators import layers  # noqa: E402
 from beneflow.plans import queries  # noqa: E402
-from beneflow.plans.pipeline import LANDING_SCHEMA  # noqa: E402
+from beneflow.plans.lake import LANDING_SCHEMA  # noqa: E402
 from beneflow.session import build_session, shared_folder  # noqa: E402
 from beneflow.sinks.tables import replace_parts  # noqa: E402
 from beneflow.sources import benefits, deliveries  # noqa: E402

@@ -88,10 +88,14 @@ def payment_means(text: Column) -> dict[str, Column]:
     }
 
 
-def species_group(code: str) -> Column:
-    """Business group of a species code column; unlisted and missing codes are in the last one."""
+def species_group_sql(code: str) -> str:
+    """Business group of a species code column as SQL; unlisted and missing codes are the rest."""
     cases = " ".join(
         f"WHEN {code} IN ({', '.join(map(str, codes))}) THEN {text_literal(group)}"
         for group, codes in fixed.SPECIES_GROUPS.items()
     )
-    return F.expr(f"CASE {cases} ELSE {text_literal(fixed.OTHER_GROUP)} END")
+    return f"CASE {cases} ELSE {text_literal(fixed.OTHER_GROUP)} END"
+
+
+def species_group(code: str) -> Column:
+    return F.expr(species_group_sql(code))

@@ -101,7 +101,7 @@ def run_gold(spark: SparkSession, months: Sequence[str], lake: Lake, run_ts: str
         raise RuntimeError(f"gold tables disagree: {broken}")
 
 
-def run_pipeline(
+def run_layers(
     spark: SparkSession, deliveries: str, months: Sequence[str], lake: Lake, run_ts: str
 ) -> None:
     """All layers for the given months of a deliveries folder; safe to run again."""

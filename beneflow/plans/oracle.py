@@ -411,6 +411,16 @@ ORACLE: dict[str, str] = {
         "count(DISTINCT especie_codigo) AS especies, count(DISTINCT banco_codigo) AS bancos "
         "FROM silver GROUP BY _ano_mes"
     ),
+    "distinct_approx_error": _silver(
+        "SELECT _ano_mes, count(DISTINCT mun_resid_codigo) AS municipios, "
+        "count(DISTINCT vl_liquido) AS valores, true AS municipios_ok, true AS valores_ok "
+        "FROM silver GROUP BY _ano_mes"
+    ),
+    "silver_view_sql": _silver(
+        f"SELECT _ano_mes, grupo_especie, {N} AS qtd, {TOTAL} AS vl_total, "
+        "CAST(min(vl_liquido) AS DOUBLE) AS vl_minimo, CAST(max(vl_liquido) AS DOUBLE) AS vl_maximo "
+        "FROM silver GROUP BY ALL"
+    ),
     "share_of_total": _silver(
         f"SELECT _ano_mes, uf, qtd, CAST(total AS DOUBLE) AS vl_total, {_share('qtd')} AS pct_qtd, "
         f"{_share('total')} AS pct_valor FROM (SELECT _ano_mes, uf, {N} AS qtd, "
@@ -467,5 +477,5 @@ ORACLE: dict[str, str] = {
         f"banco_nome ASC NULLS FIRST LIMIT {fixed.INTERACTIVE_ROW_CAP}", FAT_BANCO
     ),
     "reconciliation": _reconciliation(),
-    "pipeline_kpis": _silver("SELECT * FROM kpis", KPIS),
+    "lake_kpis": _silver("SELECT * FROM kpis", KPIS),
 }

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from beneflow.functions import fixed
 from beneflow.functions import measures as M
+from beneflow.functions.parsing import species_group_sql
 from beneflow.operators import gold, layers, quality, reports
 from beneflow.operators.percentiles import percentiles
 from beneflow.operators.ranking import (
@@ -17,7 +18,7 @@ from beneflow.operators.ranking import (
     top_ordered,
     top_state_per_species,
 )
-from beneflow.plans import pipeline
+from beneflow.plans import lake as layer_chain
 from beneflow.session import shared_folder
 from beneflow.sinks.tables import (
     bounded_query,
@@ -241,6 +242,31 @@ def distinct_counts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def distinct_approx_error(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether the opt-in distinct sketch is within three times its relative error."""
+    rsd, columns = 0.02, {"municipios": "mun_resid_codigo", "valores": "vl_liquido"}
+    counts = silver(spark, sf).groupBy(MONTH).agg(
+        *[M.distinct_count(F.col(c)).alias(n) for n, c in columns.items()],
+        *[M.distinct_count(F.col(c), rsd).alias(f"{n}_aprox") for n, c in columns.items()],
+    )
+    return counts.select(
+        MONTH, *columns,
+        *[(F.abs(F.col(f"{n}_aprox") - F.col(n)) <= F.col(n) * (3 * rsd)).alias(f"{n}_ok")
+          for n in columns],
+    )
+
+
+def silver_view_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """SQL over a temporary view, grouped by an expression."""
+    silver(spark, sf).createOrReplaceTempView("silver")
+    group = species_group_sql("especie_codigo")
+    return spark.sql(
+        f"SELECT {MONTH}, {group} AS grupo_especie, count(*) AS qtd, sum(vl_liquido) AS vl_total, "
+        f"min(vl_liquido) AS vl_minimo, max(vl_liquido) AS vl_maximo "
+        f"FROM silver GROUP BY {MONTH}, {group}"
+    )
+
+
 def share_of_total(spark: SparkSession, sf: str) -> DataFrame:
     states = silver(spark, sf).groupBy(MONTH, "uf").agg(
         M.rows().alias("qtd"), F.sum("vl_liquido").alias("vl_total")
@@ -363,10 +389,10 @@ def bounded(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def reconciliation(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.reconcile(pipeline.stored_gold(silver(spark, sf), RUN_TS))
+    return quality.reconcile(layer_chain.stored_gold(silver(spark, sf), RUN_TS))
 
 
-def pipeline_kpis(spark: SparkSession, sf: str) -> DataFrame:
+def lake_kpis(spark: SparkSession, sf: str) -> DataFrame:
     """Delimited monthly deliveries through all four layers on storage, then the KPI table."""
     base = shared_folder(spark, "lake")
     seen = Observation()
@@ -382,8 +408,8 @@ def pipeline_kpis(spark: SparkSession, sf: str) -> DataFrame:
         .option("ignoreTrailingWhiteSpace", "false")
         .csv(f"{base}/deliveries")
     )
-    lake = pipeline.Lake(f"{base}/layers")
-    pipeline.run_pipeline(spark, f"{base}/deliveries", sorted(seen.get["months"]), lake, RUN_TS)
+    lake = layer_chain.Lake(f"{base}/layers")
+    layer_chain.run_layers(spark, f"{base}/deliveries", sorted(seen.get["months"]), lake, RUN_TS)
     return read_table(spark, lake.table("kpis_nacionais"))
 
 
@@ -421,6 +447,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "percentile_approx_100": percentile_approx_100,
     "percentile_approx_error": percentile_approx_error,
     "distinct_counts": distinct_counts,
+    "distinct_approx_error": distinct_approx_error,
+    "silver_view_sql": silver_view_sql,
     "share_of_total": share_of_total,
     "rank_in_group": rank_in_group,
     "top_state_per_species": top_state,
@@ -439,7 +467,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_register": table_register,
     "bounded_query": bounded,
     "reconciliation": reconciliation,
-    "pipeline_kpis": pipeline_kpis,
+    "lake_kpis": lake_kpis,
 }
 
 

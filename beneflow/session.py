@@ -30,6 +30,10 @@ STATIC_SETTINGS = {
     # One query of many stages compiles dozens of classes; the default of 100 evicts them between
     # queries, and every run of a long-lived session starts cold again.
     "spark.sql.codegen.cache.maxEntries": "4000",
+    # Wide projections and aggregates compile to methods above HotSpot's 8000-byte limit, which
+    # would otherwise stay interpreted for the whole job.
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 import math
 import os
 import sys
+import tempfile
 import time
 from collections import Counter
 
@@ -73,6 +74,7 @@ def main(folder: str, *names: str) -> int:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
         .config("spark.sql.shuffle.partitions", "8")
         .getOrCreate()
     )

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from beneflow.functions import fixed
-from beneflow.plans import pipeline, queries
+from beneflow.plans import lake as layer_chain, queries
 from beneflow.session import shared_folder
 from beneflow.sinks.tables import run_history
 from beneflow.sources import benefits, deliveries
@@ -80,9 +80,9 @@ def test_two_months_end_to_end_and_again(spark, folder):
     for month in months:
         one = feed.filter(F.col("_ano_mes") == month).drop("_ano_mes")
         deliveries.write_delivery(one, f"{base}/in/_ano_mes={month}", queries.DELIVERY_HEADER)
-    lake = pipeline.Lake(f"{base}/lake")
-    pipeline.run_pipeline(spark, f"{base}/in", months, lake, "run1")
-    pipeline.run_pipeline(spark, f"{base}/in", months[1:], lake, "run2")
+    lake = layer_chain.Lake(f"{base}/lake")
+    layer_chain.run_layers(spark, f"{base}/in", months, lake, "run1")
+    layer_chain.run_layers(spark, f"{base}/in", months[1:], lake, "run2")
 
     expected = {r[0]: r[1] for r in feed.groupBy("_ano_mes").count().collect()}
     silver = read_table(spark, lake.table("silver"))

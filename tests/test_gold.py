@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from beneflow.operators import gold
 from beneflow.operators.percentiles import percentiles, percentiles_of_counts, value_counts
 from beneflow.operators.ranking import species_with_top_state, top_state_per_species
-from beneflow.plans import pipeline
+from beneflow.plans import lake as layer_chain
 from beneflow.operators.quality import reconcile
 
 TS = "2026-02-01T00:00:00Z"
@@ -45,7 +45,7 @@ def tables(silver):
 @pytest.fixture(scope="module")
 def shared(silver):
     """All tables from the stored summary and value counts."""
-    return pipeline.stored_gold(silver, TS)
+    return layer_chain.stored_gold(silver, TS)
 
 
 @pytest.mark.parametrize("name", COLUMNS)
