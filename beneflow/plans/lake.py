@@ -16,6 +16,7 @@ from beneflow.session import shared_folder
 from beneflow.sinks.tables import record_run, replace_parts
 from beneflow.sources.deliveries import read_monthly_deliveries
 from beneflow.sources.tables import MONTH, read_table
+from beneflow.streaming.arrivals import on_arrivals
 
 GOLD_TABLES = ("fat_uf", "fat_especie", "fat_banco", "kpis_nacionais")
 LANDING_SCHEMA = (
@@ -109,3 +110,15 @@ def run_layers(
     bronze = _require_same("bronze", run_bronze(spark, months, lake, run_ts), "landing", landed)
     _require_same("silver", run_silver(spark, months, lake, run_ts), "bronze", bronze)
     run_gold(spark, months, lake, run_ts)
+
+
+def follow_deliveries(
+    spark: SparkSession, deliveries: str, lake: Lake, checkpoint: str, run_ts: str
+) -> None:
+    """All layers for every month that got a delivery file since the last call."""
+    on_arrivals(
+        spark,
+        deliveries,
+        checkpoint,
+        lambda months: run_layers(spark, deliveries, months, lake, run_ts),
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -393,13 +393,11 @@ def reconciliation(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lake_kpis(spark: SparkSession, sf: str) -> DataFrame:
-    """Delimited monthly deliveries through all four layers on storage, then the KPI table."""
+    """Monthly deliveries, picked up as they arrive, through all layers on storage: the KPI table."""
     base = shared_folder(spark, "lake")
-    seen = Observation()
     (
         benefits.landing_feed(spark, sf)
         .hint("rebalance", MONTH)
-        .observe(seen, F.collect_set(MONTH).alias("months"))
         .write.partitionBy(MONTH)
         .option("header", "true")
         .option("sep", ";")
@@ -409,7 +407,7 @@ def lake_kpis(spark: SparkSession, sf: str) -> DataFrame:
         .csv(f"{base}/deliveries")
     )
     lake = layer_chain.Lake(f"{base}/layers")
-    layer_chain.run_layers(spark, f"{base}/deliveries", sorted(seen.get["months"]), lake, RUN_TS)
+    layer_chain.follow_deliveries(spark, f"{base}/deliveries", lake, f"{base}/checkpoint", RUN_TS)
     return read_table(spark, lake.table("kpis_nacionais"))
 
 

@@ -16,7 +16,7 @@ from beneflow.sources.tables import MONTH
 def header_line(spark: SparkSession, path: str) -> str:
     """First line of a delivery, decoded as the delivery is."""
     line = spark.read.csv(
-        path, sep="\x01", quote="", header=False, encoding=fixed.DELIVERY_ENCODING
+        path, schema="line string", sep="\x01", quote="", encoding=fixed.DELIVERY_ENCODING
     ).first()
     if line is None or line[0] is None:
         raise ValueError(f"no header line in {path}")
@@ -73,7 +73,9 @@ def read_monthly_deliveries(spark: SparkSession, base: str, months: Sequence[str
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
-def write_delivery(df: DataFrame, path: str, header: Sequence[str], separator: str = ";") -> None:
+def write_delivery(
+    df: DataFrame, path: str, header: Sequence[str], separator: str = ";", mode: str = "error"
+) -> None:
     """Write text columns as a delivery; ``header`` may repeat names, which the CSV writer refuses.
 
     Each task writes one file and puts the header before its first row. Fields are written as
@@ -86,7 +88,8 @@ def write_delivery(df: DataFrame, path: str, header: Sequence[str], separator: s
     ).otherwise(F.array(line))
     (
         df.select(F.explode(lines).alias("line"))
-        .write.option("encoding", fixed.DELIVERY_ENCODING)
+        .write.mode(mode)
+        .option("encoding", fixed.DELIVERY_ENCODING)
         .option("sep", "\x01")
         .option("quote", "")
         .option("ignoreLeadingWhiteSpace", "false")

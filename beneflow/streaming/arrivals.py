@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -10,35 +10,35 @@ from pyspark.sql import types as T
 from beneflow.sinks.tables import replace_parts
 from beneflow.sources.tables import MONTH, read_table
 
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
-def ingest_arrivals(
+
+def on_arrivals(
     spark: SparkSession,
-    landing: str,
-    schema: str | T.StructType,
-    target: str,
+    folder: str,
     checkpoint: str,
-    transform: Callable[[DataFrame], DataFrame],
+    rebuild: Callable[[Sequence[str]], None],
     key: str = MONTH,
 ) -> None:
-    """Process every landing file not seen before, then stop.
+    """Call ``rebuild`` with the partitions that got files not seen before, then stop.
 
-    A new file only tells which partitions changed: each of those is read again as a whole from
-    landing and replaced in the target, so earlier files of the same partition are kept and a
-    batch that runs twice after a failure gives the same table. Only partition values, a handful
-    per delivery, reach the driver.
+    Files of any format under ``folder/key=value/`` count; only their listing is streamed, their
+    content is not read here. Seen files are remembered in ``checkpoint``. A rebuild that fails is
+    repeated by the next run, so it has to replace, not add. Only partition values, a handful per
+    delivery, reach the driver.
     """
 
-    def rebuild(batch: DataFrame, _batch_id: int) -> None:
-        session = batch.sparkSession
-        touched = sorted(row[0] for row in batch.select(key).distinct().collect())
+    def batch_arrived(batch: DataFrame, _batch_id: int) -> None:
+        touched = sorted(row[0] for row in batch.distinct().collect())
         if touched:
-            whole = read_table(session, landing, touched, key, schema)
-            replace_parts(transform(whole), target, touched, key)
+            rebuild(touched)
 
     query = (
-        spark.readStream.schema(schema)
-        .parquet(landing)
-        .writeStream.foreachBatch(rebuild)
+        spark.readStream.format("binaryFile")
+        .schema(f"{FILE_SCHEMA}, {key} string")
+        .load(folder)
+        .select(key)
+        .writeStream.foreachBatch(batch_arrived)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -46,3 +46,24 @@ def ingest_arrivals(
     query.awaitTermination()
 
 
+def ingest_arrivals(
+    spark: SparkSession,
+    landing: str,
+    schema: str | T.StructType,
+    target: str,
+    checkpoint: str,
+    transform: Callable[[DataFrame], DataFrame],
+    key: str = MONTH,
+) -> None:
+    """Keep a target table in step with a landing table.
+
+    Each touched partition is read again as a whole and replaced, so earlier files of the same
+    partition are kept, and a batch that runs twice after a failure gives the same table. The work
+    runs in the caller's session: a streaming query's own session has adaptive execution off.
+    """
+
+    def rebuild(touched: Sequence[str]) -> None:
+        whole = read_table(spark, landing, touched, key, schema)
+        replace_parts(transform(whole), target, touched, key)
+
+    on_arrivals(spark, landing, checkpoint, rebuild, key)

@@ -73,7 +73,7 @@ def test_an_empty_delivery_is_an_error(spark):
         deliveries.read_delivery(spark, path)
 
 
-def test_two_months_end_to_end_and_again(spark, folder):
+def test_two_months_end_to_end_and_a_late_file(spark, folder):
     base = shared_folder(spark, "lake")
     months = ["199503", "199803"]
     feed = benefits.landing_feed(spark, folder).filter(F.col("_ano_mes").isin(*months)).cache()
@@ -81,10 +81,17 @@ def test_two_months_end_to_end_and_again(spark, folder):
         one = feed.filter(F.col("_ano_mes") == month).drop("_ano_mes")
         deliveries.write_delivery(one, f"{base}/in/_ano_mes={month}", queries.DELIVERY_HEADER)
     lake = layer_chain.Lake(f"{base}/lake")
-    layer_chain.run_layers(spark, f"{base}/in", months, lake, "run1")
-    layer_chain.run_layers(spark, f"{base}/in", months[1:], lake, "run2")
+    layer_chain.follow_deliveries(spark, f"{base}/in", lake, f"{base}/checkpoint", "run1")
+    # A second file for one month arrives; only that month runs again, with both files.
+    late = feed.filter(F.col("_ano_mes") == months[1]).drop("_ano_mes").limit(3)
+    deliveries.write_delivery(
+        late, f"{base}/in/_ano_mes={months[1]}", queries.DELIVERY_HEADER, mode="append"
+    )
+    layer_chain.follow_deliveries(spark, f"{base}/in", lake, f"{base}/checkpoint", "run2")
+    layer_chain.follow_deliveries(spark, f"{base}/in", lake, f"{base}/checkpoint", "run3")
 
     expected = {r[0]: r[1] for r in feed.groupBy("_ano_mes").count().collect()}
+    expected[months[1]] += 3
     silver = read_table(spark, lake.table("silver"))
     assert {r[0]: r[1] for r in silver.groupBy("_ano_mes").count().collect()} == expected
     assert len(silver.columns) == 29
@@ -94,4 +101,4 @@ def test_two_months_end_to_end_and_again(spark, folder):
     }
     history = run_history(spark, lake.audit, "silver", 5).collect()
     assert [r["run_ts"] for r in history] == ["run2", "run1"]
-    assert history[1]["linhas"] == sum(expected.values())
+    assert history[1]["linhas"] == sum(expected.values()) - 3
