@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beneflow.functions import measures as M
@@ -53,32 +55,45 @@ def same_town_counts(silver: DataFrame) -> DataFrame:
     )
 
 
+# Column of each table that has to add up to 100 within a month.
+SHARES = {"fat_uf": "pct_nacional_qtd", "fat_especie": None, "fat_banco": "market_share_pct"}
+
+
 def reconcile(gold: dict[str, DataFrame]) -> DataFrame:
-    """Per month: shares add up to 100 (within rounding), and all tables count the same rows."""
-    kpi = gold["kpis_nacionais"].select(MONTH, F.col("total_beneficios").cast("double").alias("rhs"))
-
-    def share_sum(name: str, table: str, column: str) -> DataFrame:
-        sums = gold[table].groupBy(MONTH).agg(F.round(F.sum(column), 2).alias("lhs"))
-        return sums.select(
-            F.lit(name).alias("verificacao"), MONTH, "lhs", F.lit(100.0).alias("rhs"),
-            (F.abs(F.col("lhs") - 100.0) < 1.0).alias("ok"),
+    """Per month: shares add up to 100 (within rounding), and all tables count the same rows.
+
+    Every table is read once.
+    """
+    monthly = []
+    for table, share in SHARES.items():
+        total_share = F.lit(None).cast("double") if share is None else F.round(F.sum(share), 2)
+        monthly.append(
+            gold[table]
+            .groupBy(MONTH)
+            .agg(F.sum("qtd_beneficios").cast("double").alias("linhas"), total_share.alias("fatia"))
+            .withColumn("tabela", F.lit(table))
         )
+    tables = reduce(DataFrame.unionByName, monthly)
+    names = F.array(*[F.lit(table) for table in SHARES])
+    expected = gold["kpis_nacionais"].select(
+        MONTH, F.col("total_beneficios").cast("double").alias("total"),
+        F.explode(names).alias("tabela"),
+    )
 
-    def same_rows(name: str, table: str) -> DataFrame:
-        sums = gold[table].groupBy(MONTH).agg(F.sum("qtd_beneficios").cast("double").alias("lhs"))
-        return sums.join(kpi, MONTH, "full").select(
-            F.lit(name).alias("verificacao"), MONTH, "lhs", "rhs",
-            F.col("lhs").eqNullSafe(F.col("rhs")).alias("ok"),
+    def check(name: str, lhs: Column, rhs: Column, ok: Column) -> Column:
+        return F.struct(
+            F.concat("tabela", F.lit(name)).alias("verificacao"), lhs.alias("lhs"),
+            rhs.alias("rhs"), ok.alias("ok"),
         )
 
-    checks = [
-        share_sum("fat_uf_soma_pct", "fat_uf", "pct_nacional_qtd"),
-        share_sum("fat_banco_soma_pct", "fat_banco", "market_share_pct"),
-        same_rows("fat_uf_total", "fat_uf"),
-        same_rows("fat_especie_total", "fat_especie"),
-        same_rows("fat_banco_total", "fat_banco"),
-    ]
-    result = checks[0]
-    for check in checks[1:]:
-        result = result.unionByName(check)
-    return result
+    rows, total, share = F.col("linhas"), F.col("total"), F.col("fatia")
+    checks = F.array(
+        check("_total", rows, total, rows.eqNullSafe(total)),
+        check("_soma_pct", share, F.lit(100.0), F.abs(share - 100.0) < 1.0),
+    )
+    return (
+        tables.join(expected, [MONTH, "tabela"], "full")
+        .select(MONTH, F.inline(checks))
+        .filter(~F.col("verificacao").endswith("_soma_pct") | F.col("lhs").isNotNull())
+        .select("verificacao", MONTH, "lhs", "rhs", "ok")
+    )

@@ -156,3 +156,11 @@ def test_one_month_with_only_zero_values(spark, silver):
     zero = silver.withColumn("vl_liquido", F.lit(0).cast("decimal(12,2)")).limit(5)
     rows = gold.fat_banco(zero, TS).collect()
     assert rows and all(r["market_share_valor_pct"] is None for r in rows)
+
+
+def test_a_month_missing_from_a_table_is_noticed(shared):
+    short = dict(shared, fat_uf=shared["fat_uf"].filter("_ano_mes != '199803'"))
+    broken = reconcile(short).filter("not ok").collect()
+    assert [(r["verificacao"], r["_ano_mes"], r["lhs"]) for r in broken] == [
+        ("fat_uf_total", "199803", None)
+    ]
