@@ -133,3 +133,11 @@ def test_shared_folder_follows_the_session(spark):
     Session.conf = type("Unset", (), {"get": lambda self, key, default: default})()
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(Session(), "x")
+
+
+def test_run_time_settings_apply_to_an_existing_session(spark):
+    from beneflow.session import RUNTIME_SETTINGS, tune
+
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64m")
+    tune(spark)
+    assert {key: spark.conf.get(key) for key in RUNTIME_SETTINGS} == RUNTIME_SETTINGS
