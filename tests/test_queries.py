@@ -4,9 +4,10 @@ import compare
 import pytest
 
 import __spark_entry__ as entry_point
+from beneflow.plans.oracle import ORACLE
+from beneflow.plans.queries import registered
 
-QUERIES = entry_point.queries()
-ORACLE = entry_point.oracle_sql()
+QUERIES = registered()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,11 @@ def test_only_the_sketch_has_no_sql():
     assert set(ORACLE) <= set(QUERIES)
 
 
+def test_registered():
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLE) <= set(entry_point.oracle_sql()) <= set(entry_point.queries())
+
+
 def test_entry(spark):
     df = entry_point.entry(spark)
     assert "rank_vl_total" in df.columns
