@@ -15,3 +15,38 @@ WITH whole AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+
+# Items of fewer words than a window are one window of their own length, so documents are cut into
+# windows of every length that occurs.
+DECONTAMINATION = r"""
+WITH item_words AS (
+    SELECT item_id::VARCHAR AS id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL
+), doc_words AS (
+    SELECT doc_id, coalesce(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+    FROM documents
+), item_windows AS (
+    SELECT DISTINCT id, least(13, len(w)) AS n, list_slice(w, pos, pos + least(13, len(w)) - 1) AS part
+    FROM item_words, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS t(pos)
+    WHERE len(w) > 0
+), doc_windows AS (
+    SELECT doc_id, pos, n, list_slice(w, pos, pos + n - 1) AS part
+    FROM doc_words, (SELECT DISTINCT n FROM item_windows) AS lengths, unnest(range(1, len(w) - n + 2)) AS t(pos)
+), found AS (
+    SELECT doc_id, pos, n, id FROM doc_windows JOIN item_windows USING (n, part)
+), hit AS (
+    SELECT doc_id, count(DISTINCT word) AS n_hit
+    FROM (SELECT DISTINCT doc_id, pos, n FROM found) AS f, unnest(range(pos, pos + n)) AS t(word) GROUP BY doc_id
+), items AS (
+    SELECT doc_id, count(DISTINCT id) AS n_items, string_agg(DISTINCT id, ',' ORDER BY id) AS ids
+    FROM found GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""

@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beneflow.llm import exact_top_k, oracle, secret_scan
+from beneflow.llm import decontamination, exact_top_k, oracle, secret_scan
 from beneflow.llm.frames import table
 
 
+def op2_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontamination.find_benchmark(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return decontamination.digest(found)
+
+
 def op6_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
     """Every row whose vec_id is divisible by 20 against all rows; 20 best."""
     return exact_top_k.exact_top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
@@ -19,10 +24,12 @@ def op10_secrets(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_decontamination": op2_decontamination,
     "op6_exact_top_k": op6_exact_top_k,
     "op10_secrets": op10_secrets,
 }
 
 ORACLE = {
+    "op2_decontamination": oracle.DECONTAMINATION,
     "op6_exact_top_k": oracle.EXACT_TOP_K,
 }
