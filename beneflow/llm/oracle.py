@@ -50,3 +50,74 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+# Targets: a source is at its limit if the water level of all with a smaller limit per weight reaches it.
+# Seats: the highest quotients of all possible seats, first over sources, then over a source's shards.
+MIXING = r"""
+WITH sized AS (
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+           md5('17:' || coalesce(doc_id::VARCHAR, 'null')) AS key
+    FROM documents
+), summed AS (
+    SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
+), weighed AS (
+    SELECT source, source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1)::INTEGER AS src FROM summed
+), numbered AS (
+    SELECT *, 1 + src % 3 AS weight, 3 * source_size AS cap, 3.0::DOUBLE * source_size / (1 + src % 3) AS level
+    FROM weighed
+), levels AS (
+    SELECT *, (sum(source_size) OVER ())::BIGINT AS whole,
+           coalesce(sum(cap) OVER below, 0)::BIGINT AS cap_below, (sum(weight) OVER up)::BIGINT AS weight_up
+    FROM numbered WHERE source_size > 0
+    WINDOW below AS (ORDER BY level, src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+           up AS (ORDER BY level, src ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+), limited AS (
+    SELECT *, (whole - cap_below) * weight > cap * weight_up AS full_up FROM levels
+), shared AS (
+    SELECT (whole - cap_below) AS rest, weight_up FROM limited WHERE NOT full_up ORDER BY level, src LIMIT 1
+), aimed AS (
+    SELECT n.source, n.src, n.source_size,
+           CASE WHEN n.source_size = 0 THEN 0.0::DOUBLE WHEN l.full_up THEN n.cap::DOUBLE
+                ELSE (s.rest * n.weight)::DOUBLE / s.weight_up END AS target,
+           greatest(1, (n.source_size + 799999) // 800000) AS sub
+    FROM numbered n LEFT JOIN limited l USING (src) LEFT JOIN shared s ON true
+), placed AS (
+    SELECT doc_id, size, key, src, source_size, target,
+           ('0x' || substr(key, 1, 8))::BIGINT % (16 * sub) AS bucket,
+           (('0x' || substr(key, 1, 8))::BIGINT % (16 * sub)) // sub AS shard
+    FROM sized JOIN aimed ON sized.source IS NOT DISTINCT FROM aimed.source
+), ends AS (
+    SELECT *, (sum(size) OVER (PARTITION BY src, shard ORDER BY bucket, key, doc_id, size
+                               ROWS UNBOUNDED PRECEDING))::BIGINT AS e
+    FROM placed
+), shards AS (
+    SELECT src, shard, sum(size)::BIGINT AS total,
+           CASE WHEN sum(size) > 0 THEN greatest(1, (2 * sum(size) + 64) // 128) ELSE 0 END::BIGINT AS n
+    FROM placed GROUP BY src, shard
+), source_seats AS (
+    SELECT src, count(*) AS seats FROM (
+        SELECT src, row_number() OVER (ORDER BY target / (2 * seat + 1) DESC, src, seat) AS place
+        FROM aimed JOIN (SELECT src, sum(n)::BIGINT AS n FROM shards GROUP BY src) USING (src),
+             unnest(range(3 * n)) AS t(seat)
+    ) WHERE place <= (SELECT (2 * sum(source_size) + 64) // 128 FROM aimed) GROUP BY src
+), shard_seats AS (
+    SELECT src, shard, count(*) AS quota FROM (
+        SELECT src, shard, seats,
+               row_number() OVER (PARTITION BY src ORDER BY total::DOUBLE / (2 * seat + 1) DESC, shard, seat) AS place
+        FROM shards JOIN source_seats USING (src), unnest(range(3 * n)) AS t(seat)
+    ) WHERE place <= seats GROUP BY src, shard
+), rounds AS (
+    SELECT src, shard, total, n, quota // n AS rounds, quota % n AS rest,
+           ('0x' || substr(md5('17:' || src || ':' || shard), 1, 8))::BIGINT % n AS start
+    FROM shards JOIN shard_seats USING (src, shard) WHERE n > 0
+), ranges AS (
+    SELECT src, shard, rounds, start * total // n AS a1, least(start + rest, n) * total // n AS b1,
+           greatest(0, start + rest - n) * total // n AS b2
+    FROM rounds
+)
+SELECT doc_id, size, source_size, target,
+       CASE WHEN rounds IS NULL THEN 0  -- least and greatest pass over NULL
+            ELSE rounds * size + greatest(0, least(b1, e) - greatest(a1, e - size))
+                 + greatest(0, least(b2, e) - (e - size)) END::BIGINT AS taken
+FROM ends LEFT JOIN ranges USING (src, shard)
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beneflow.llm import decontamination, exact_top_k, oracle, secret_scan
+from beneflow.llm import decontamination, exact_top_k, mixing, oracle, secret_scan
 from beneflow.llm.frames import table
 
 
@@ -19,6 +19,10 @@ def op6_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
     return exact_top_k.exact_top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
 
 
+def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.plan(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find_secrets(table(spark, sf, "documents")))
 
@@ -26,10 +30,12 @@ def op10_secrets(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op6_exact_top_k": op6_exact_top_k,
+    "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
 }
 
 ORACLE = {
     "op2_decontamination": oracle.DECONTAMINATION,
     "op6_exact_top_k": oracle.EXACT_TOP_K,
+    "op9_mixing": oracle.MIXING,
 }
