@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
+import os
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beneflow.llm import decontamination, exact_top_k, mixing, oracle, secret_scan
+from beneflow.llm import decontamination, exact_top_k, mixing, oracle, secret_scan, toxicity
 from beneflow.llm.frames import table
 
 
+def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = toxicity.train(docs, table(spark, sf, "labels"), ~toxicity.held_out())
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op2_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     found = decontamination.find_benchmark(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return decontamination.digest(found)
@@ -27,11 +39,23 @@ def op10_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find_secrets(table(spark, sf, "documents")))
 
 
+def on_workers(query):
+    """Python workers import this package from the folder the driver imports it from, beside their own path."""
+
+    @wraps(query)
+    def run(spark: SparkSession, *args) -> DataFrame:
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+        if root not in known:
+            spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+        return query(spark, *args)
+
+    return run
+
+
 QUERIES = {
-    "op2_decontamination": op2_decontamination,
-    "op6_exact_top_k": op6_exact_top_k,
-    "op9_mixing": op9_mixing,
-    "op10_secrets": op10_secrets,
+    query.__name__: on_workers(query)
+    for query in (op1_toxicity, op2_decontamination, op6_exact_top_k, op9_mixing, op10_secrets)
 }
 
 ORACLE = {

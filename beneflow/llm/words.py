@@ -69,6 +69,7 @@ class Words:
     starts: np.ndarray  # byte positions in ``data``, end exclusive
     ends: np.ndarray
     data: np.ndarray
+    prefixes: list[np.ndarray]  # hashes of the first bytes of each word, one array per asked length
 
     @property
     def counts(self) -> np.ndarray:
@@ -108,12 +109,14 @@ def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE) -> It
         at = end
 
 
-def words(column: pa.Array, classes=BY_SPACE) -> Words:
+def words(column: pa.Array, classes=BY_SPACE, prefixes: tuple[int, ...] = ()) -> Words:
+    """Words of all texts; the hash of a prefix of a whole word is that word's hash."""
     data, offsets = utf8(column)
     keep, fold = classes
     values, powers, inverses = _tables()
     values = np.where(keep, values[fold], np.uint64(0))
     hashes, starts, ends = [], [], []
+    short: list[list[np.ndarray]] = [[] for _ in prefixes]
     lo = 0
     while lo < len(data):
         hi = _cut(data, offsets, keep, lo)
@@ -131,15 +134,23 @@ def words(column: pa.Array, classes=BY_SPACE) -> Words:
             total = np.zeros(len(part) + 1, dtype=np.uint64)
             np.cumsum(values[part] * powers[: len(part)], out=total[1:])
             h = (total[e] - total[s]) * inverses[s]
+            for found, length in zip(short, prefixes, strict=True):
+                found.append(mix((total[np.minimum(s + length, e)] - total[s]) * inverses[s]))
         else:  # one word of more than a segment
             h = np.array([_long(values[part[a:b]], powers) for a, b in zip(s, e, strict=True)], dtype=np.uint64)
+            for found, length in zip(short, prefixes, strict=True):
+                cut = [_long(values[part[a : min(a + length, b)]], powers) for a, b in zip(s, e, strict=True)]
+                found.append(mix(np.array(cut, dtype=np.uint64)))
         hashes.append(mix(h))
         starts.append(s + lo)
         ends.append(e + lo)
         lo = hi
     join = lambda xs, kind: np.concatenate(xs) if xs else np.zeros(0, kind)
     starts = join(starts, np.int64)
-    return Words(join(hashes, np.uint64), np.searchsorted(starts, offsets), starts, join(ends, np.int64), data)
+    return Words(
+        join(hashes, np.uint64), np.searchsorted(starts, offsets), starts, join(ends, np.int64), data,
+        [join(found, np.uint64) for found in short],
+    )
 
 
 def _cut(data: np.ndarray, offsets: np.ndarray, keep: np.ndarray, lo: int) -> int:
