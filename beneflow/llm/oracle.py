@@ -121,3 +121,94 @@ SELECT doc_id, size, source_size, target,
                  + greatest(0, least(b2, e) - (e - size)) END::BIGINT AS taken
 FROM ends LEFT JOIN ranges USING (src, shard)
 """
+
+
+def _url_templates(depth: int = 4) -> str:
+    """The tree level by level: CTE ``level<d>`` holds the shapes with their first d template segments."""
+    segments = [f"s{d}" for d in range(1, depth + 2)]
+    rule = lambda host, path: (
+        f"((host = '{host}' OR suffix(host, '.{host}')) AND prefix(path, '{path}'))"
+    )
+    # Longest first.
+    rules = [("example.org", "/en/1", "block"), ("example.org", "/es/", "block"), ("com", "/de/", "block"),
+             ("com", "/fr/", "allow"), ("org", "/", "allow")]
+    whens = lambda what: " ".join(f"WHEN {rule(h, p)} THEN '{what(h, p, v)}'" for h, p, v in rules)
+    parts = ["""parsed AS (
+    SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+    FROM pages)""",
+    f"""judged AS (
+    SELECT *, CASE {whens(lambda h, p, v: h + p)} END AS rule, CASE {whens(lambda h, p, v: v)} END AS ruled,
+           list_filter(string_split(regexp_replace(path, '[0-9]+', '{{n}}', 'g'), '/'), lambda s: s <> '') AS parts
+    FROM parsed)""",
+    f"""pages_by_shape AS (
+    SELECT *, {', '.join(f"coalesce(parts[{d}], '') AS s{d}" for d in range(1, depth + 1))},
+           CASE WHEN len(parts) > {depth} THEN '**' ELSE '' END AS s{depth + 1}
+    FROM judged)""",
+    f"""level0 AS (
+    SELECT host, {', '.join(segments)}, count(*) AS n, count(*) FILTER (ruled = 'allow') AS good,
+           count(ruled) AS labelled
+    FROM pages_by_shape GROUP BY ALL)"""]
+    for d in range(1, depth + 1):
+        node = ", ".join(["host", *[f"t{i}" for i in range(1, d)]])
+        tail = f"concat_ws('/', {', '.join(segments[d:])})"
+        parts.append(f"""tails{d} AS (
+    SELECT {node}, s{d}, {tail} AS tail, sum(n)::DOUBLE AS n, sum(good)::DOUBLE AS good,
+           sum(labelled)::DOUBLE AS labelled FROM level{d - 1} GROUP BY {node}, s{d}, {tail}),
+branches{d} AS (
+    SELECT {node}, s{d}, sum(n) AS n_b, sum(good) AS good_b, sum(labelled) AS labelled_b FROM tails{d} GROUP BY {node}, s{d}),
+nodes{d} AS (
+    SELECT {node}, sum(n_b) AS n_p, sum(good_b) AS good_p, sum(labelled_b) AS labelled_p, count(*) AS children
+    FROM branches{d} GROUP BY {node}),
+node_tails{d} AS (SELECT {node}, tail, sum(n) AS n_t FROM tails{d} GROUP BY {node}, tail),
+distances{d} AS (
+    SELECT {node}, s{d}, n_b, good_b, labelled_b, n_p, children,
+           CASE WHEN labelled_p > 0 THEN good_p / labelled_p ELSE 0 END AS rate,
+           (sum(abs(n / n_b - n_t / n_p)) + 1 - sum(n_t / n_p)) / 2 AS distance
+    FROM (SELECT {node}, s{d}, tail, n FROM tails{d}) JOIN branches{d} USING ({node}, s{d}) JOIN nodes{d} USING ({node})
+         JOIN node_tails{d} USING ({node}, tail)
+    GROUP BY ALL),
+level{d} AS (
+    SELECT level{d - 1}.*, CASE WHEN s{d} <> '' AND ((children >= 16 AND n_b < n_p * 0.05)
+               OR (distance <= 0.2 + 1 / sqrt(n_b)
+                   AND NOT (good_b - labelled_b * rate) ** 2 > labelled_b * rate * (1 - rate) * 3.84))
+           THEN '*' ELSE s{d} END AS t{d}
+    FROM level{d - 1} JOIN distances{d} USING ({node}, s{d}))""")
+    parts.append(f"""pure0 AS (
+    SELECT host, (sum(good) + 10 * (SELECT (sum(good) + 1) / (sum(labelled) + 2)::DOUBLE FROM level{depth}))
+                 / (sum(labelled) + 10)::DOUBLE AS purity FROM level{depth} GROUP BY host)""")
+    for d in range(1, depth + 1):
+        above = ", ".join(["host", *[f"t{i}" for i in range(1, d)]])
+        parts.append(f"""pure{d} AS (
+    SELECT {above}, t{d}, (g + 10 * purity) / (l + 10)::DOUBLE AS purity
+    FROM (SELECT {above}, t{d}, sum(good) AS g, sum(labelled) AS l FROM level{depth} GROUP BY {above}, t{d})
+         JOIN pure{d - 1} USING ({above}))""")
+    node = ", ".join(["host", *[f"t{i}" for i in range(1, depth + 1)]])
+    return f"""WITH {', '.join(parts)}
+SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN purity < 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+FROM pages_by_shape LEFT JOIN (SELECT host, {', '.join(segments)}, purity FROM level{depth} JOIN pure{depth} USING ({node}))
+     USING (host, {', '.join(segments)})
+"""
+
+
+URL_TEMPLATES = _url_templates()
+
+# Base 32 of the 40 hexadecimal digits: five at a time are four characters.
+ZIP_WARC = """
+WITH digested AS (
+    SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), firsts AS (
+    SELECT hex, min(page_id) AS first FROM digested GROUP BY hex
+), named AS (
+    SELECT page_id, payload_bytes, first, array_to_string(list_transform(range(32), lambda i:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + ((('0x' || substr(hex, 1 + 5 * (i // 4)::INTEGER, 5))::BIGINT >> (15 - 5 * (i % 4))::INTEGER) & 31)::INTEGER,
+               1)), '') AS payload_digest
+    FROM digested JOIN firsts USING (hex)
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first THEN first END AS refers_to
+FROM named
+"""

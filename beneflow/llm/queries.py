@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beneflow.llm import decontamination, exact_top_k, mixing, oracle, secret_scan, toxicity
+from beneflow.llm import decontamination, exact_top_k, mixing, oracle, secret_scan, toxicity, url_templates, zip_warc
 from beneflow.llm.frames import table
 
 
@@ -26,11 +26,20 @@ def op2_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontamination.digest(found)
 
 
+def op3_url_templates(spark: SparkSession, sf: str) -> DataFrame:
+    judged = url_templates.judge(table(spark, sf, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op6_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
     """Every row whose vec_id is divisible by 20 against all rows; 20 best."""
     return exact_top_k.exact_top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
 
 
+def op7_zip_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return zip_warc.round_trip(table(spark, sf, "pages"))
+
+
 def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.plan(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -55,11 +64,13 @@ def on_workers(query):
 
 QUERIES = {
     query.__name__: on_workers(query)
-    for query in (op1_toxicity, op2_decontamination, op6_exact_top_k, op9_mixing, op10_secrets)
+    for query in (op1_toxicity, op2_decontamination, op3_url_templates, op6_exact_top_k, op7_zip_warc, op9_mixing, op10_secrets)
 }
 
 ORACLE = {
     "op2_decontamination": oracle.DECONTAMINATION,
+    "op3_url_templates": oracle.URL_TEMPLATES,
     "op6_exact_top_k": oracle.EXACT_TOP_K,
+    "op7_zip_warc": oracle.ZIP_WARC,
     "op9_mixing": oracle.MIXING,
 }
