@@ -6,7 +6,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from beneflow.llm.words import slices
 from beneflow.session import shared_folder
@@ -16,6 +17,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def held_out(doc_id: str = "doc_id") -> Column:
+    """Rows whose labels are never learned from."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written below ``spark.checkpoint.dir`` and read back.
 

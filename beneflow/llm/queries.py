@@ -8,15 +8,15 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beneflow.llm import decontamination, exact_top_k, mixing, oracle, secret_scan, toxicity, url_templates, zip_warc
-from beneflow.llm.frames import table
+from beneflow.llm import decontamination, exact_top_k, mixing, oracle, rule_ensemble, secret_scan, toxicity, url_templates, zip_warc
+from beneflow.llm.frames import held_out, table
 
 
 def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
-    model = toxicity.train(docs, table(spark, sf, "labels"), ~toxicity.held_out())
+    model = toxicity.train(docs, table(spark, sf, "labels"), ~held_out())
     return toxicity.score(docs, model).select(
-        "doc_id", toxicity.held_out().alias("held_out"), "score",
+        "doc_id", held_out().alias("held_out"), "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
     )
 
@@ -31,6 +31,15 @@ def op3_url_templates(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_rule_ensemble(spark: SparkSession, sf: str) -> DataFrame:
+    measured = rule_ensemble.measured(table(spark, sf, "documents"))
+    model = rule_ensemble.train(measured, table(spark, sf, "labels"), ~held_out())
+    return rule_ensemble.score(measured, model).select(
+        "doc_id", held_out().alias("held_out"), "score",
+        (F.col("score") >= rule_ensemble.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op6_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
     """Every row whose vec_id is divisible by 20 against all rows; 20 best."""
     return exact_top_k.exact_top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
@@ -64,7 +73,7 @@ def on_workers(query):
 
 QUERIES = {
     query.__name__: on_workers(query)
-    for query in (op1_toxicity, op2_decontamination, op3_url_templates, op6_exact_top_k, op7_zip_warc, op9_mixing, op10_secrets)
+    for query in (op1_toxicity, op2_decontamination, op3_url_templates, op5_rule_ensemble, op6_exact_top_k, op7_zip_warc, op9_mixing, op10_secrets)
 }
 
 ORACLE = {

@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -208,11 +209,6 @@ def fit(hashes: np.ndarray, positive: Sample, unlabelled: Sample, prior: float,
     return Model(Vocabulary(hashes[kept]), weights, bias)
 
 
-def held_out(doc_id: str = "doc_id") -> Column:
-    """Rows that are never learned from."""
-    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
-
-
 def without_copies(sample: DataFrame, chance: Column) -> DataFrame:
     """One text of near copies for each side of the sample; a copied text is one confirmation, not many.
 
@@ -293,9 +289,9 @@ def train(
     rows = rows.combine_chunks().sort_by([("doc_id", "ascending")])
     sides = []
     for positive in (True, False):
-        lists = rows.filter(pa.compute.equal(rows.column("positive"), positive)).column("numbers").to_pylist()
-        first = np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)])
-        sides.append(Sample(np.array([x for xs in lists for x in xs], dtype=np.int64), first.astype(np.int64)))
+        lists = rows.filter(pc.equal(rows.column("positive"), positive)).column("numbers").combine_chunks()
+        first = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(lists)), dtype=np.int64)])
+        sides.append(Sample(np.asarray(pc.list_flatten(lists)), first))
     if not len(sides[0]):
         return NOTHING
     return fit(vocabulary.hashes, *sides, prior)

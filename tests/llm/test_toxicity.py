@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from beneflow.llm import toxicity as X
+from beneflow.llm.frames import held_out
 
 DOCS = "doc_id bigint, text string, score string, label int, positive int"
 
@@ -35,7 +36,7 @@ def tables(spark):
 
 def test_finds_unconfirmed_texts(spark, tables):
     docs, labels = tables
-    model = X.train(docs, labels, ~X.held_out())
+    model = X.train(docs, labels, ~held_out())
     odd = spark.createDataFrame(
         [(None, "vile grotty", "", None, None), (5000, None, "", None, None), (5001, "", "", None, None),
          (5001, "", "", None, None), (5002, "tara " * 60_000 + "vile grotty vile", "", None, None)], DOCS
@@ -51,19 +52,19 @@ def test_finds_unconfirmed_texts(spark, tables):
     kept = X.without_toxic(docs, model)
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} == {i for i in range(1500) if scores[i] < 0.5}
-    again = {r.doc_id: r.score for r in X.score(docs, X.train(docs.repartition(5), labels, ~X.held_out())).collect()}
+    again = {r.doc_id: r.score for r in X.score(docs, X.train(docs.repartition(5), labels, ~held_out())).collect()}
     assert all(again[i] == pytest.approx(scores[i], abs=1e-9) for i in again)
 
 
 def test_held_out_rows_do_not_matter(spark, tables):
     docs, labels = tables
-    turned = labels.withColumn("toxic", F.when(X.held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
-    first, second = (X.train(docs, x, ~X.held_out()) for x in (labels, turned))
+    turned = labels.withColumn("toxic", F.when(held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    first, second = (X.train(docs, x, ~held_out()) for x in (labels, turned))
     assert np.array_equal(first.weights, second.weights) and first.bias == second.bias
 
 
 def test_held_out_is_crc32_of_the_id(spark):
-    rows = spark.range(300).withColumnRenamed("id", "doc_id").select("doc_id", X.held_out().alias("h")).collect()
+    rows = spark.range(300).withColumnRenamed("id", "doc_id").select("doc_id", held_out().alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
 
 
@@ -71,11 +72,11 @@ def test_nothing_to_learn_from(spark, tables):
     docs, labels = tables
     empty = docs.limit(0)
     none = labels.where("toxic = 0").unionAll(spark.createDataFrame([(3, 1, None)], labels.schema))
-    model = X.train(docs, none, ~X.held_out())
+    model = X.train(docs, none, ~held_out())
     assert {r.score for r in X.score(docs, model).collect()} == {0.0}
-    assert X.score(empty, X.train(empty, labels.limit(0), ~X.held_out())).collect() == []
+    assert X.score(empty, X.train(empty, labels.limit(0), ~held_out())).collect() == []
     # Labels of documents that are not there.
-    assert X.score(empty, X.train(empty, labels, ~X.held_out())).collect() == []
+    assert X.score(empty, X.train(empty, labels, ~held_out())).collect() == []
 
 
 def test_query_on_held_out_rows(spark):
