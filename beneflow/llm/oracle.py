@@ -212,3 +212,28 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id > first THEN first END AS refers_to
 FROM named
 """
+
+# Sets by all pairs that share a shingle; components by the smallest id reachable.
+JACCARD_JOIN = r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, coalesce(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+    FROM documents
+), shingled AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w]
+        ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: list_slice(w, i, i + 2))) END AS s
+    FROM split
+), tokens AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS token FROM shingled
+), pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM tokens a JOIN tokens b ON a.token = b.token AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 90 * (any_value(a.n) + any_value(b.n) - count(*))
+), reached AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION
+    SELECT reached.a, pairs.b FROM reached JOIN pairs ON reached.b = pairs.a
+), components AS (
+    SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id FROM shingled JOIN components USING (doc_id)
+"""

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beneflow.llm import decontamination, exact_top_k, mixing, oracle, rule_ensemble, secret_scan, toxicity, url_templates, zip_warc
+from beneflow.llm import decontamination, exact_top_k, jaccard_join, mixing, oracle, rule_ensemble, secret_scan, toxicity, url_templates, zip_warc
 from beneflow.llm.frames import held_out, table
 
 
@@ -49,6 +49,10 @@ def op7_zip_warc(spark: SparkSession, sf: str) -> DataFrame:
     return zip_warc.round_trip(table(spark, sf, "pages"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.similar_classes(table(spark, sf, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.plan(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -73,7 +77,7 @@ def on_workers(query):
 
 QUERIES = {
     query.__name__: on_workers(query)
-    for query in (op1_toxicity, op2_decontamination, op3_url_templates, op5_rule_ensemble, op6_exact_top_k, op7_zip_warc, op9_mixing, op10_secrets)
+    for query in (op1_toxicity, op2_decontamination, op3_url_templates, op5_rule_ensemble, op6_exact_top_k, op7_zip_warc, op8_jaccard_join, op9_mixing, op10_secrets)
 }
 
 ORACLE = {
@@ -81,5 +85,6 @@ ORACLE = {
     "op3_url_templates": oracle.URL_TEMPLATES,
     "op6_exact_top_k": oracle.EXACT_TOP_K,
     "op7_zip_warc": oracle.ZIP_WARC,
+    "op8_jaccard_join": oracle.JACCARD_JOIN,
     "op9_mixing": oracle.MIXING,
 }
