@@ -8,8 +8,9 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beneflow.llm import decontamination, exact_top_k, jaccard_join, mixing, oracle, rule_ensemble, secret_scan, toxicity, url_templates, zip_warc
+from beneflow.llm import decontamination, exact_top_k, jaccard_join, mixing, oracle, packing, rule_ensemble, secret_scan, toxicity, url_templates, zip_warc
 from beneflow.llm.frames import held_out, table
+from beneflow.session import shared_folder
 
 
 def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
@@ -31,6 +32,10 @@ def op3_url_templates(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.write_packed(packing.pack(table(spark, sf, "documents")), shared_folder(spark, "packed"))
+
+
 def op5_rule_ensemble(spark: SparkSession, sf: str) -> DataFrame:
     measured = rule_ensemble.measured(table(spark, sf, "documents"))
     model = rule_ensemble.train(measured, table(spark, sf, "labels"), ~held_out())
@@ -77,7 +82,7 @@ def on_workers(query):
 
 QUERIES = {
     query.__name__: on_workers(query)
-    for query in (op1_toxicity, op2_decontamination, op3_url_templates, op5_rule_ensemble, op6_exact_top_k, op7_zip_warc, op8_jaccard_join, op9_mixing, op10_secrets)
+    for query in (op1_toxicity, op2_decontamination, op3_url_templates, op4_packing, op5_rule_ensemble, op6_exact_top_k, op7_zip_warc, op8_jaccard_join, op9_mixing, op10_secrets)
 }
 
 ORACLE = {
