@@ -79,6 +79,8 @@ def main() -> None:
     spark = build_session(
         "bench", f"local[{cpus}]", spark__ui__enabled="false", spark__driver__memory="16g",
         spark__ui__showConsoleProgress="false", spark__sql__shuffle__partitions=str(cpus),
+        # The bench tables are small: splits that give every core some of them.
+        spark__sql__files__maxPartitionBytes="2m", spark__sql__files__openCostInBytes="64k",
     )
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {

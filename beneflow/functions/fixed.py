@@ -85,6 +85,5 @@ SPECIES_GROUPS = {
 }
 OTHER_GROUP = "Outros"
 
-# Accuracy of the approximate percentiles, and the row cap of interactive queries.
+# Accuracy of the approximate percentiles.
 PERCENTILE_ACCURACY = 100
-INTERACTIVE_ROW_CAP = 5000

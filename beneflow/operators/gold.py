@@ -1,106 +1,48 @@
-"""The four gold tables.
+"""The four gold tables, each one aggregation of silver by its own keys.
 
-All counts, sums, extremes and distinct counts come from one summary of silver: rows are
-aggregated once at a grain that keeps the columns counted distinctly, with map-side partial
-aggregation, and every table is a second, small aggregation of that summary. A group holding a
-third of all rows arrives at the shuffle as one partial row per task and summary key.
+Sums and counts are combined on the map side, and distinct counts collapse to (keys, value) sets one
+column at a time, so no grain ever holds two columns that are counted distinctly. A group with a third of
+all rows reaches the shuffle as one partial row per task and distinct value.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from beneflow.functions import measures as M
 from beneflow.operators.layers import add_species_group
-from beneflow.operators.percentiles import (
-    join_on_keys,
-    percentiles,
-    percentiles_of_counts,
-    value_counts,
-)
+from beneflow.operators.percentiles import join_on_keys, percentiles
 
 UF_KEYS = ("_ano_mes", "uf", "sg_uf", "grupo_especie")
 SPECIES_KEYS = ("_ano_mes", "especie_codigo", "especie_descricao", "grupo_especie")
 BANK_KEYS = ("_ano_mes", "banco_codigo", "banco_nome")
 MONTH_KEYS = ("_ano_mes",)
 
-# Columns each table counts distinctly; they join its keys in the summary grain.
-UF_DISTINCT = ("mun_resid_codigo", "banco_codigo")
-SPECIES_DISTINCT = ("uf", "sg_uf")
-BANK_DISTINCT = ("uf", "mun_pagto_codigo")
-MONTH_DISTINCT = ("uf", "mun_resid_codigo", "especie_codigo", "banco_codigo")
-
-VALUE_GRAIN = ("_ano_mes", "uf", "sg_uf", "especie_codigo", "especie_descricao", "grupo_especie")
+SPECIES_STATE_KEYS = (*SPECIES_KEYS, "sg_uf")
 MEDIAN = {"vl_mediano": 0.5}
 NATIONAL_PERCENTILES = {"vl_mediano_nacional": 0.5, "vl_p90_nacional": 0.9}
 
 
-def _unique(*columns: str) -> list[str]:
-    return list(dict.fromkeys(columns))
-
-
-SUMMARY_GRAIN = _unique(
-    *UF_KEYS, *UF_DISTINCT, *SPECIES_KEYS, *SPECIES_DISTINCT, *BANK_KEYS, *BANK_DISTINCT
-)
-
-
-def summarise(silver: DataFrame, grain: Sequence[str]) -> DataFrame:
-    """Mergeable measures per grain; measures a table does not use are pruned from its plan."""
-    flags = {
-        "n_feminino": F.col("sexo") == "Feminino",
-        "n_masculino": F.col("sexo") == "Masculino",
-        "n_sexo_nulo": F.col("sexo").isNull(),
-        "n_ramo_rural": F.col("ramo_atividade") == "Rural",
-        "n_urbano": F.col("clientela") == "Urbano",
-        "n_mesmo_municipio": F.col("fl_mesmo_municipio"),
-        "n_vl_zero": F.col("fl_vl_zero"),
-        "n_conta_corrente": F.col("meio_pag_codigo") == "CCF",
-        "n_cartao": F.col("meio_pag_codigo") == "CMG",
-    }
-    return (
-        add_species_group(silver)
-        .groupBy(*grain)
-        .agg(
-            M.rows().alias("n"),
-            F.count("vl_liquido").alias("n_valor"),
-            F.sum("vl_liquido").alias("soma"),
-            F.min("vl_liquido").alias("minimo"),
-            F.max("vl_liquido").alias("maximo"),
-            *[F.count_if(flag).alias(name) for name, flag in flags.items()],
-        )
-    )
-
-
-def _count() -> Column:
-    return F.sum("n")
-
-
 def _total() -> Column:
-    return F.sum("soma").cast("decimal(22,2)")
+    return F.sum("vl_liquido").cast("decimal(22,2)")
 
 
 def _mean() -> Column:
-    return M.exact_mean(F.sum("soma"), F.sum("n_valor"))
-
-
-def _percent(counter: str) -> Column:
-    return M.percent(F.sum(counter), F.sum("n"))
+    return M.exact_mean(F.sum("vl_liquido"), F.count("vl_liquido"))
 
 
-def _fat_uf(summary: DataFrame, medians: DataFrame, run_ts: str) -> DataFrame:
-    facts = summary.groupBy(*UF_KEYS).agg(
-        _count().alias("qtd_beneficios"),
+def _fat_uf(rows: DataFrame, medians: DataFrame, run_ts: str) -> DataFrame:
+    facts = rows.groupBy(*UF_KEYS).agg(
+        M.rows().alias("qtd_beneficios"),
         _total().alias("vl_total"),
         _mean().alias("vl_medio"),
-        F.min("minimo").alias("vl_minimo"),
-        F.max("maximo").alias("vl_maximo"),
-        _percent("n_feminino").alias("pct_feminino"),
-        _percent("n_masculino").alias("pct_masculino"),
-        _percent("n_ramo_rural").alias("pct_rural"),
-        _percent("n_mesmo_municipio").alias("pct_pagto_mesmo_municipio"),
+        F.min("vl_liquido").alias("vl_minimo"),
+        F.max("vl_liquido").alias("vl_maximo"),
+        M.percent_where(F.col("sexo") == "Feminino").alias("pct_feminino"),
+        M.percent_where(F.col("sexo") == "Masculino").alias("pct_masculino"),
+        M.percent_where(F.col("ramo_atividade") == "Rural").alias("pct_rural"),
+        M.percent_where(F.col("fl_mesmo_municipio")).alias("pct_pagto_mesmo_municipio"),
         M.distinct_count(F.col("mun_resid_codigo")).alias("qtd_municipios_atendidos"),
         M.distinct_count(F.col("banco_codigo")).alias("qtd_bancos_utilizados"),
     )
@@ -119,39 +61,33 @@ def _fat_uf(summary: DataFrame, medians: DataFrame, run_ts: str) -> DataFrame:
     )
 
 
-def _with_top_state(by_state: DataFrame) -> DataFrame:
-    """Mark each row with the state that has most payments of its month and species.
-
-    Ties go to the first code, NULL last; a missing species code has no top state. Works on rows
-    already summed per species and state, at most a few dozen per window partition.
-    """
-    species = ["_ano_mes", "especie_codigo"]
-    in_state = F.sum("n").over(Window.partitionBy(*species, "sg_uf"))
-    best_first = [F.col("n_estado").desc(), F.col("sg_uf").asc_nulls_last()]
-    best = F.first("sg_uf").over(Window.partitionBy(*species).orderBy(*best_first))
-    return by_state.withColumn("n_estado", in_state).withColumn(
-        "uf_com_mais_beneficios", F.when(F.col("especie_codigo").isNotNull(), best)
-    )
-
-
-def _fat_especie(summary: DataFrame, medians: DataFrame, run_ts: str) -> DataFrame:
-    by_state = summary.groupBy(*SPECIES_KEYS, *SPECIES_DISTINCT).agg(
-        *[F.sum(c).alias(c) for c in (
-            "n", "n_valor", "soma", "n_feminino", "n_ramo_rural", "n_urbano",
-            "n_mesmo_municipio", "n_vl_zero",
-        )],
-        F.max("maximo").alias("maximo"),
+def _fat_especie(rows: DataFrame, medians: DataFrame, run_ts: str) -> DataFrame:
+    """Two levels: sums per species and state, then per species. States are few, so are the rows between."""
+    by_state = rows.groupBy(*SPECIES_STATE_KEYS).agg(
+        M.rows().alias("n"),
+        F.count("vl_liquido").alias("n_valor"),
+        F.sum("vl_liquido").alias("soma"),
+        F.max("vl_liquido").alias("maximo"),
+        F.collect_set("uf").alias("ufs"),
+        *[F.count_if(flag).alias(name) for name, flag in {
+            "n_feminino": F.col("sexo") == "Feminino",
+            "n_ramo_rural": F.col("ramo_atividade") == "Rural",
+            "n_urbano": F.col("clientela") == "Urbano",
+            "n_mesmo_municipio": F.col("fl_mesmo_municipio"),
+            "n_vl_zero": F.col("fl_vl_zero"),
+        }.items()],
     )
+    percent = lambda counter: M.percent(F.sum(counter), F.sum("n"))
     facts = _with_top_state(by_state).groupBy(*SPECIES_KEYS, "uf_com_mais_beneficios").agg(
-        _count().alias("qtd_beneficios"),
-        _total().alias("vl_total"),
-        _mean().alias("vl_medio"),
+        F.sum("n").alias("qtd_beneficios"),
+        F.sum("soma").cast("decimal(22,2)").alias("vl_total"),
+        M.exact_mean(F.sum("soma"), F.sum("n_valor")).alias("vl_medio"),
         F.max("maximo").alias("vl_maximo"),
-        _percent("n_feminino").alias("pct_feminino"),
-        _percent("n_ramo_rural").alias("pct_rural"),
-        _percent("n_urbano").alias("pct_urbano"),
-        _percent("n_mesmo_municipio").alias("pct_mesmo_municipio"),
-        M.distinct_count(F.col("uf")).alias("qtd_ufs_atendidas"),
+        percent("n_feminino").alias("pct_feminino"),
+        percent("n_ramo_rural").alias("pct_rural"),
+        percent("n_urbano").alias("pct_urbano"),
+        percent("n_mesmo_municipio").alias("pct_mesmo_municipio"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("ufs")))).cast("bigint").alias("qtd_ufs_atendidas"),
         F.sum("n_vl_zero").alias("qtd_vl_zero"),
     )
     facts = join_on_keys(facts, medians, SPECIES_KEYS, "left")
@@ -166,15 +102,30 @@ def _fat_especie(summary: DataFrame, medians: DataFrame, run_ts: str) -> DataFra
     )
 
 
-def _fat_banco(summary: DataFrame, run_ts: str) -> DataFrame:
-    facts = summary.groupBy(*BANK_KEYS).agg(
-        _count().alias("qtd_beneficios"),
+def _with_top_state(by_state: DataFrame) -> DataFrame:
+    """Mark each row with the state that has most payments of its month and species.
+
+    Ties go to the first code, NULL last; a missing species code has no top state. Works on rows
+    already summed per species and state, at most a few dozen per window partition.
+    """
+    species = ["_ano_mes", "especie_codigo"]
+    in_state = F.sum("n").over(Window.partitionBy(*species, "sg_uf"))
+    best_first = [F.col("n_estado").desc(), F.col("sg_uf").asc_nulls_last()]
+    best = F.first("sg_uf").over(Window.partitionBy(*species).orderBy(*best_first))
+    return by_state.withColumn("n_estado", in_state).withColumn(
+        "uf_com_mais_beneficios", F.when(F.col("especie_codigo").isNotNull(), best)
+    )
+
+
+def _fat_banco(rows: DataFrame, run_ts: str) -> DataFrame:
+    facts = rows.groupBy(*BANK_KEYS).agg(
+        M.rows().alias("qtd_beneficios"),
         _total().alias("vl_total"),
         _mean().alias("vl_medio"),
         M.distinct_count(F.col("uf")).alias("qtd_ufs_atendidas"),
         M.distinct_count(F.col("mun_pagto_codigo")).alias("qtd_municipios_pagadores"),
-        _percent("n_conta_corrente").alias("pct_conta_corrente"),
-        _percent("n_cartao").alias("pct_cartao"),
+        M.percent_where(F.col("meio_pag_codigo") == "CCF").alias("pct_conta_corrente"),
+        M.percent_where(F.col("meio_pag_codigo") == "CMG").alias("pct_cartao"),
     )
     count, total = F.col("qtd_beneficios"), F.col("vl_total")
     return facts.select(
@@ -187,65 +138,53 @@ def _fat_banco(summary: DataFrame, run_ts: str) -> DataFrame:
     )
 
 
-def _kpis(summary: DataFrame, national: DataFrame, run_ts: str) -> DataFrame:
-    facts = summary.groupBy(*MONTH_KEYS).agg(
-        _count().alias("total_beneficios"),
+def _kpis(rows: DataFrame, national: DataFrame, run_ts: str) -> DataFrame:
+    facts = rows.groupBy(*MONTH_KEYS).agg(
+        M.rows().alias("total_beneficios"),
         M.distinct_count(F.col("uf")).alias("total_ufs_atendidas"),
         M.distinct_count(F.col("mun_resid_codigo")).alias("total_municipios_atendidos"),
         _total().alias("vl_total_brasil"),
         _mean().alias("vl_medio_nacional"),
-        F.max("maximo").alias("vl_maximo_nacional"),
-        _percent("n_feminino").alias("pct_feminino"),
-        _percent("n_ramo_rural").alias("pct_rural"),
-        _percent("n_mesmo_municipio").alias("pct_pagto_mesmo_municipio"),
+        F.max("vl_liquido").alias("vl_maximo_nacional"),
+        M.percent_where(F.col("sexo") == "Feminino").alias("pct_feminino"),
+        M.percent_where(F.col("ramo_atividade") == "Rural").alias("pct_rural"),
+        M.percent_where(F.col("fl_mesmo_municipio")).alias("pct_pagto_mesmo_municipio"),
         M.distinct_count(F.col("especie_codigo")).alias("total_especies_ativas"),
         M.distinct_count(F.col("banco_codigo")).alias("total_bancos_pagadores"),
-        F.sum("n_vl_zero").alias("qtd_vl_zero"),
-        F.sum("n_sexo_nulo").alias("qtd_sexo_nulo"),
+        F.count_if("fl_vl_zero").alias("qtd_vl_zero"),
+        F.count_if(F.col("sexo").isNull()).alias("qtd_sexo_nulo"),
     )
     return join_on_keys(facts, national, MONTH_KEYS, "left").withColumn("_gold_ts", F.lit(run_ts))
 
 
 def fat_uf(silver: DataFrame, run_ts: str, accuracy: int | None = None) -> DataFrame:
     """State x species group x month, ranked and shared within the month."""
-    medians = percentiles(add_species_group(silver), UF_KEYS, "vl_liquido", MEDIAN, accuracy)
-    return _fat_uf(summarise(silver, [*UF_KEYS, *UF_DISTINCT]), medians, run_ts)
+    rows = add_species_group(silver)
+    return _fat_uf(rows, percentiles(rows, UF_KEYS, "vl_liquido", MEDIAN, accuracy), run_ts)
 
 
 def fat_especie(silver: DataFrame, run_ts: str, accuracy: int | None = None) -> DataFrame:
     """Species x month with its top state, ranked within the species group."""
-    medians = percentiles(add_species_group(silver), SPECIES_KEYS, "vl_liquido", MEDIAN, accuracy)
-    return _fat_especie(summarise(silver, [*SPECIES_KEYS, *SPECIES_DISTINCT]), medians, run_ts)
+    rows = add_species_group(silver)
+    return _fat_especie(rows, percentiles(rows, SPECIES_KEYS, "vl_liquido", MEDIAN, accuracy), run_ts)
 
 
 def fat_banco(silver: DataFrame, run_ts: str) -> DataFrame:
     """Bank x month with market shares."""
-    return _fat_banco(summarise(silver, [*BANK_KEYS, *BANK_DISTINCT]), run_ts)
+    return _fat_banco(silver, run_ts)
 
 
 def kpis_nacionais(silver: DataFrame, run_ts: str, accuracy: int | None = None) -> DataFrame:
     """One row per month."""
     national = percentiles(silver, MONTH_KEYS, "vl_liquido", NATIONAL_PERCENTILES, accuracy)
-    return _kpis(summarise(silver, [*MONTH_KEYS, *MONTH_DISTINCT]), national, run_ts)
-
-
-def gold_inputs(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The shared summary and the value counts all four tables are built from."""
-    return (
-        summarise(silver, SUMMARY_GRAIN),
-        value_counts(add_species_group(silver), VALUE_GRAIN, "vl_liquido"),
-    )
-
-
-def gold_tables(summary: DataFrame, counts: DataFrame, run_ts: str) -> dict[str, DataFrame]:
-    """All four tables from ``gold_inputs``, which the caller has stored once."""
+    return _kpis(silver, national, run_ts)
 
-    def of(keys: Sequence[str], probabilities: dict[str, float]) -> DataFrame:
-        return percentiles_of_counts(counts, keys, "vl_liquido", probabilities)
 
+def gold_tables(silver: DataFrame, run_ts: str, accuracy: int | None = None) -> dict[str, DataFrame]:
+    """All four tables of a stored silver table; percentiles exact, or sketches of the given accuracy."""
     return {
-        "fat_uf": _fat_uf(summary, of(UF_KEYS, MEDIAN), run_ts),
-        "fat_especie": _fat_especie(summary, of(SPECIES_KEYS, MEDIAN), run_ts),
-        "fat_banco": _fat_banco(summary, run_ts),
-        "kpis_nacionais": _kpis(summary, of(MONTH_KEYS, NATIONAL_PERCENTILES), run_ts),
+        "fat_uf": fat_uf(silver, run_ts, accuracy),
+        "fat_especie": fat_especie(silver, run_ts, accuracy),
+        "fat_banco": fat_banco(silver, run_ts),
+        "kpis_nacionais": kpis_nacionais(silver, run_ts, accuracy),
     }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beneflow.functions import fixed
-from beneflow.operators.gold import gold_inputs, gold_tables
+from beneflow.operators.gold import gold_tables
 from beneflow.operators.layers import BRONZE_SCHEMA, to_bronze, to_silver
 from beneflow.operators.quality import reconcile
 from beneflow.session import shared_folder
@@ -59,7 +59,7 @@ def run_landing(
     spark: SparkSession, deliveries: str, months: Sequence[str], lake: Lake, run_ts: str
 ) -> int:
     """Delimited text -> Parquet text columns, one folder per month; all months in one job."""
-    landed = read_monthly_deliveries(spark, deliveries, months)
+    landed = read_monthly_deliveries(spark, deliveries, months, list(fixed.LANDING_TO_BRONZE))
     return _store(landed, lake, "landing", months, run_ts)
 
 
@@ -75,31 +75,36 @@ def run_silver(spark: SparkSession, months: Sequence[str], lake: Lake, run_ts: s
     return _store(to_silver(bronze, run_ts), lake, "silver", months, run_ts, ["sexo"])
 
 
-def stored_gold(silver: DataFrame, run_ts: str) -> dict[str, DataFrame]:
-    """The four tables over a summary and value counts that are computed and stored once."""
-    spark = silver.sparkSession
-    stored = []
-    for name, df in zip(("summary", "value-counts"), gold_inputs(silver), strict=True):
-        path = shared_folder(spark, name)
-        df.write.parquet(path)
-        stored.append(spark.read.schema(df.schema).parquet(path))
-    return gold_tables(*stored, run_ts)
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate folder of this run through the file system it is in."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def run_gold(spark: SparkSession, months: Sequence[str], lake: Lake, run_ts: str) -> None:
-    """Write the four tables, then fail unless they agree with each other for every month."""
+def run_gold(
+    spark: SparkSession, months: Sequence[str], lake: Lake, run_ts: str, accuracy: int | None = None
+) -> None:
+    """Check the four tables against each other for every month, then publish them.
+
+    They are made in a folder of their own first, so months that do not agree leave the published tables
+    as they were; what failed is kept in ``gold_failures``. Percentiles are exact unless an ``accuracy`` is given.
+    """
     silver_schema = to_silver(spark.createDataFrame([], BRONZE_SCHEMA), run_ts).schema
     silver = read_table(spark, lake.table("silver"), months, schema=silver_schema)
-    tables = stored_gold(silver, run_ts)
-    for name, df in tables.items():
+    staged, staging = {}, shared_folder(spark, "gold")
+    for name, df in gold_tables(silver, run_ts, accuracy).items():
+        df.write.parquet(f"{staging}/{name}")
+        staged[name] = spark.read.schema(df.schema).parquet(f"{staging}/{name}")
+    failures = reconcile(staged).where(~F.col("ok")).withColumn("run_ts", F.lit(run_ts))
+    failures.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_ts").parquet(
+        lake.table("gold_failures")
+    )
+    failed = spark.read.schema(failures.schema).parquet(lake.table("gold_failures"))
+    if broken := failed.where(F.col("run_ts") == run_ts).count():
+        raise RuntimeError(f"gold tables disagree in {broken} checks; see {lake.table('gold_failures')}")
+    for name, df in staged.items():
         _store(df, lake, name, months, run_ts, cluster=True)
-    written = {
-        name: read_table(spark, lake.table(name), months, schema=df.schema)
-        for name, df in tables.items()
-    }
-    broken = reconcile(written).filter(~F.col("ok")).limit(10).collect()
-    if broken:
-        raise RuntimeError(f"gold tables disagree: {broken}")
+    drop_folder(spark, staging)
 
 
 def run_layers(

@@ -27,8 +27,8 @@ SELECT
  ur.nome AS uf,
  CASE substr(o_orderpriority,1,1) WHEN '1' THEN 'Ccf - Conta' WHEN '2' THEN 'Cmg - Cartao' WHEN '3' THEN 'Ccl  -  Loterica' WHEN '4' THEN 'Xyz - Outro' ELSE 'Cmg' END AS meio_pagamento,
  CASE WHEN s_suppkey % 21 = 20 THEN 'SemCodigo' ELSE concat(CAST(100 + s_suppkey % 21 AS VARCHAR), '-Banco-', CAST(s_suppkey % 21 AS VARCHAR), ' ') END AS banco,
- CASE WHEN s_suppkey % 50 = 49 THEN 'Ignorado' ELSE concat(CAST(20000 + s_suppkey % 50 AS VARCHAR), '-', up.sg, '-Mun-', CAST(s_suppkey % 50 AS VARCHAR)) END AS mun_pagto,
- concat(CAST(20000 + c_custkey % 50 AS VARCHAR), '-', ur.sg, '-Mun-', CAST(c_custkey % 50 AS VARCHAR)) AS mun_resid,
+ CASE WHEN s_suppkey % 50 = 49 THEN 'Ignorado' ELSE CAST(20000 + s_suppkey % 50 AS VARCHAR) || '-' || up.sg || '-Mun-' || CAST(s_suppkey % 50 AS VARCHAR) END AS mun_pagto,
+ CAST(20000 + c_custkey % 50 AS VARCHAR) || '-' || ur.sg || '-Mun-' || CAST(c_custkey % 50 AS VARCHAR) AS mun_resid,
  CASE WHEN l_orderkey % 997 = 0 THEN 'n/d' WHEN l_linenumber = 3 AND l_tax = 0 THEN '0,00' ELSE translate(format('{{:,.2f}}', l_extendedprice), ',.', '.,') END AS vl_liquido,
  CASE c_mktsegment WHEN 'MACHINERY' THEN 'Rural' WHEN 'HOUSEHOLD' THEN '{{ñ class}}' ELSE 'Urbano ' END AS ramo_atividade,
  CASE WHEN l_orderkey % 991 = 0 THEN '31/02/2000' ELSE strftime(o_orderdate,'%d/%m/%Y') END AS dt_inicio_validade,
@@ -38,7 +38,7 @@ SELECT
 FROM lineitem
 JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
 JOIN supplier ON l_suppkey = s_suppkey JOIN customer ON o_custkey = c_custkey
-JOIN {_STATES} ur(k, nome, sg) ON c_nationkey = ur.k JOIN {_STATES} up(k, nome, sg) ON s_nationkey = up.k)"""
+LEFT JOIN {_STATES} ur(k, nome, sg) ON c_nationkey = ur.k LEFT JOIN {_STATES} up(k, nome, sg) ON s_nationkey = up.k)"""
 
 BRONZE = f"""bronze AS MATERIALIZED (
 SELECT * REPLACE (
@@ -97,11 +97,18 @@ SELECT * EXCLUDE (banco, mun_pagto, mun_resid, meio_pagamento),
 FROM parsed)"""
 
 N = "CAST(count(*) AS BIGINT)"
-MEAN = (
-    "CAST((CAST(sum(vl_liquido) * 100 AS HUGEINT) * 20000 + count(vl_liquido)) "
-    "// (2 * count(vl_liquido)) AS DOUBLE) / 1000000"
+
+
+def _fixed_point(units: str, digits: int) -> str:
+    """Exact text of a whole number of the last digit, as a decimal is printed."""
+    return f"CAST(({units}) // {10**digits} AS VARCHAR) || '.' || lpad(CAST(({units}) % {10**digits} AS VARCHAR), {digits}, '0')"
+
+
+# Mean to six digits, rounded half up, from whole cents.
+MEAN = _fixed_point(
+    "(CAST(sum(vl_liquido) * 100 AS HUGEINT) * 20000 + count(vl_liquido)) // (2 * count(vl_liquido))", 6
 )
-TOTAL = "CAST(sum(vl_liquido) AS DOUBLE)"
+TOTAL = "CAST(sum(vl_liquido) AS VARCHAR)"
 
 
 def _pct(condition: str) -> str:
@@ -121,13 +128,13 @@ def _rank(column: str, partition: str = "_ano_mes") -> str:
 
 
 def _q(p: float) -> str:
-    return f"CAST(quantile_disc(vl_liquido, {p}) AS DOUBLE)"
+    return f"CAST(quantile_disc(vl_liquido, {p}) AS VARCHAR)"
 
 
 FAT_UF = f"""uf_grupo AS (
 SELECT uf, sg_uf, _ano_mes, grupo_especie AS grupo_especie_top, {N} AS qtd_beneficios,
    sum(vl_liquido) AS total, {MEAN} AS vl_medio, {_q(0.5)} AS vl_mediano,
-   CAST(min(vl_liquido) AS DOUBLE) AS vl_minimo, CAST(max(vl_liquido) AS DOUBLE) AS vl_maximo,
+   CAST(min(vl_liquido) AS VARCHAR) AS vl_minimo, CAST(max(vl_liquido) AS VARCHAR) AS vl_maximo,
    {_pct("sexo = 'Feminino'")} AS pct_feminino, {_pct("sexo = 'Masculino'")} AS pct_masculino,
    {_pct("ramo_atividade = 'Rural'")} AS pct_rural,
    {_pct("fl_mesmo_municipio")} AS pct_pagto_mesmo_municipio,
@@ -135,7 +142,7 @@ SELECT uf, sg_uf, _ano_mes, grupo_especie AS grupo_especie_top, {N} AS qtd_benef
    count(DISTINCT banco_codigo) AS qtd_bancos_utilizados, {_text(Q.RUN_TS)} AS _gold_ts
 FROM silver GROUP BY ALL),
 fat_uf AS (
-SELECT * EXCLUDE (total), CAST(total AS DOUBLE) AS vl_total,
+SELECT * EXCLUDE (total), CAST(total AS VARCHAR) AS vl_total,
    {_rank("qtd_beneficios")} AS rank_qtd, {_rank("total")} AS rank_vl_total,
    {_share("qtd_beneficios")} AS pct_nacional_qtd, {_share("total")} AS pct_nacional_valor
 FROM uf_grupo)"""
@@ -150,7 +157,7 @@ FAT_ESPECIE = f"""{TOP_STATE},
 especie AS (
 SELECT especie_codigo, especie_descricao, grupo_especie, _ano_mes, {N} AS qtd_beneficios,
    {TOTAL} AS vl_total, {MEAN} AS vl_medio, {_q(0.5)} AS vl_mediano,
-   CAST(max(vl_liquido) AS DOUBLE) AS vl_maximo,
+   CAST(max(vl_liquido) AS VARCHAR) AS vl_maximo,
    {_pct("sexo = 'Feminino'")} AS pct_feminino, {_pct("ramo_atividade = 'Rural'")} AS pct_rural,
    {_pct("clientela = 'Urbano'")} AS pct_urbano,
    {_pct("fl_mesmo_municipio")} AS pct_mesmo_municipio,
@@ -170,14 +177,14 @@ SELECT banco_codigo, banco_nome, _ano_mes, {N} AS qtd_beneficios, sum(vl_liquido
    {_pct("meio_pag_codigo = 'CMG'")} AS pct_cartao, {_text(Q.RUN_TS)} AS _gold_ts
 FROM silver GROUP BY ALL),
 fat_banco AS (
-SELECT * EXCLUDE (total), CAST(total AS DOUBLE) AS vl_total, {_rank("qtd_beneficios")} AS rank_qtd,
+SELECT * EXCLUDE (total), CAST(total AS VARCHAR) AS vl_total, {_rank("qtd_beneficios")} AS rank_qtd,
    {_share("qtd_beneficios")} AS market_share_pct, {_share("total")} AS market_share_valor_pct
 FROM banco)"""
 
 KPIS = f"""kpis AS (
 SELECT _ano_mes, {N} AS total_beneficios, count(DISTINCT uf) AS total_ufs_atendidas,
    count(DISTINCT mun_resid_codigo) AS total_municipios_atendidos, {TOTAL} AS vl_total_brasil,
-   {MEAN} AS vl_medio_nacional, CAST(max(vl_liquido) AS DOUBLE) AS vl_maximo_nacional,
+   {MEAN} AS vl_medio_nacional, CAST(max(vl_liquido) AS VARCHAR) AS vl_maximo_nacional,
    {_pct("sexo = 'Feminino'")} AS pct_feminino, {_pct("ramo_atividade = 'Rural'")} AS pct_rural,
    {_pct("fl_mesmo_municipio")} AS pct_pagto_mesmo_municipio,
    count(DISTINCT especie_codigo) AS total_especies_ativas,
@@ -209,7 +216,7 @@ def _counted(columns: str) -> str:
 
 
 def _bronze_columns() -> str:
-    shown = {"vl_liquido": "CAST(vl_liquido AS DOUBLE) AS vl_liquido",
+    shown = {"vl_liquido": "CAST(vl_liquido AS VARCHAR) AS vl_liquido",
              "dt_inicio_validade": "CAST(dt_inicio_validade AS VARCHAR) AS dt_inicio_validade"}
     columns = [*fixed.LANDING_TO_BRONZE.values(), "_ano_mes", "_source_path", "_ingestion_ts"]
     return ", ".join(shown.get(c, c) for c in columns)
@@ -225,7 +232,7 @@ _DERIVED = (
 )
 _SILVER_ALL = (*_KEPT, "vl_liquido", "dt_inicio_validade", *_DERIVED)
 _SILVER_SHOWN = (
-    ", ".join([*_KEPT, *_DERIVED]) + ", CAST(vl_liquido AS DOUBLE) AS vl_liquido, "
+    ", ".join([*_KEPT, *_DERIVED]) + ", CAST(vl_liquido AS VARCHAR) AS vl_liquido, "
     "CAST(dt_inicio_validade AS VARCHAR) AS dt_inicio_validade"
 )
 
@@ -346,6 +353,10 @@ ORACLE: dict[str, str] = {
     ),
     "header_sniff": _raw(f"SELECT ';' AS separador, 14 AS colunas, {N} AS linhas FROM raw"),
     "header_dedup": _header_dedup(),
+    "delivery_mixed_headers": _raw(
+        f"SELECT CASE WHEN _ano_mes < {_text(Q.EVOLVED_FROM)} THEN 'older' ELSE 'newer' END AS pasta, sexo, uf, "
+        f"especie_codigo, especie_descricao, replace(vl_liquido, ',', '') AS vl_digitos, {N} AS qtd FROM raw GROUP BY ALL"
+    ),
     "bronze_typed": _bronze(f"SELECT {_bronze_columns()} FROM bronze"),
     "bronze_quality": _bronze(
         f"SELECT _ano_mes, {N} AS total, CAST(count(*) FILTER (WHERE vl_liquido IS NULL) AS BIGINT) AS nulos_vl, "
@@ -360,9 +371,10 @@ ORACLE: dict[str, str] = {
         "ORDER BY qtd_beneficios DESC, uf ASC NULLS LAST LIMIT 10"
     ),
     "bronze_preview": _bronze(
-        "SELECT despacho, sexo, uf, tipo_beneficio, CAST(vl_liquido AS DOUBLE) AS vl_liquido, "
-        "CAST(dt_inicio_validade AS VARCHAR) AS dt_inicio_validade, especie_codigo, especie_descricao, "
-        "_ano_mes, _ingestion_ts FROM bronze ORDER BY ALL ASC NULLS FIRST LIMIT 5"
+        "SELECT * REPLACE (CAST(vl_liquido AS VARCHAR) AS vl_liquido, "
+        "CAST(dt_inicio_validade AS VARCHAR) AS dt_inicio_validade) FROM ("
+        "SELECT despacho, sexo, uf, tipo_beneficio, vl_liquido, dt_inicio_validade, especie_codigo, "
+        "especie_descricao, _ano_mes, _ingestion_ts FROM bronze ORDER BY ALL ASC NULLS FIRST LIMIT 5)"
     ),
     "silver_clean": _over(
         "SELECT despacho, sexo, clientela, tipo_beneficio, uf, ramo_atividade, especie_codigo, "
@@ -382,7 +394,7 @@ ORACLE: dict[str, str] = {
     "silver_schema": _silver_schema(),
     "silver_uf_volume": _silver(
         f"SELECT sg_uf, uf, {N} AS qtd, {TOTAL} AS vl_total, {MEAN} AS vl_medio FROM silver "
-        "GROUP BY ALL ORDER BY vl_total DESC NULLS LAST, uf ASC NULLS LAST LIMIT 5"
+        "GROUP BY ALL ORDER BY sum(vl_liquido) DESC NULLS LAST, uf ASC NULLS LAST LIMIT 5"
     ),
     "silver_top_species": _silver(
         f"SELECT especie_codigo, especie_descricao, {N} AS qtd, {TOTAL} AS vl_total FROM silver "
@@ -403,8 +415,12 @@ ORACLE: dict[str, str] = {
         "WHERE vl_liquido IS NOT NULL GROUP BY ALL"
     ),
     "percentile_approx_error": _silver(
-        f"SELECT _ano_mes, {N} AS n, true AS p50_ok, true AS p90_ok FROM silver "
-        "WHERE vl_liquido IS NOT NULL GROUP BY _ano_mes"
+        "SELECT _ano_mes, n, " + ", ".join(f"CAST({name} AS VARCHAR) AS {name}" for name in Q.RANK_WINDOW)
+        + ", p50_de <= p50 AND p50 <= p50_ate AS p50_ok, p90_de <= p90 AND p90 <= p90_ate AS p90_ok "
+        f"FROM (SELECT _ano_mes, {N} AS n, " + ", ".join(
+            f"quantile_disc(vl_liquido, {p}) AS {name}" for name, p in Q.RANK_WINDOW.items()
+        ) + ", quantile_disc(vl_liquido, 0.5) AS p50, quantile_disc(vl_liquido, 0.9) AS p90 "
+        "FROM silver WHERE vl_liquido IS NOT NULL GROUP BY _ano_mes)"
     ),
     "distinct_counts": _silver(
         "SELECT _ano_mes, count(DISTINCT uf) AS ufs, count(DISTINCT mun_resid_codigo) AS municipios, "
@@ -413,16 +429,18 @@ ORACLE: dict[str, str] = {
     ),
     "distinct_approx_error": _silver(
         "SELECT _ano_mes, count(DISTINCT mun_resid_codigo) AS municipios, "
-        "count(DISTINCT vl_liquido) AS valores, true AS municipios_ok, true AS valores_ok "
+        "count(DISTINCT vl_liquido) AS valores, "
+        "abs(approx_count_distinct(mun_resid_codigo) - municipios) <= 0.3 * municipios AS municipios_ok, "
+        "abs(approx_count_distinct(vl_liquido) - valores) <= 0.3 * valores AS valores_ok "
         "FROM silver GROUP BY _ano_mes"
     ),
     "silver_view_sql": _silver(
         f"SELECT _ano_mes, grupo_especie, {N} AS qtd, {TOTAL} AS vl_total, "
-        "CAST(min(vl_liquido) AS DOUBLE) AS vl_minimo, CAST(max(vl_liquido) AS DOUBLE) AS vl_maximo "
+        "CAST(min(vl_liquido) AS VARCHAR) AS vl_minimo, CAST(max(vl_liquido) AS VARCHAR) AS vl_maximo "
         "FROM silver GROUP BY ALL"
     ),
     "share_of_total": _silver(
-        f"SELECT _ano_mes, uf, qtd, CAST(total AS DOUBLE) AS vl_total, {_share('qtd')} AS pct_qtd, "
+        f"SELECT _ano_mes, uf, qtd, CAST(total AS VARCHAR) AS vl_total, {_share('qtd')} AS pct_qtd, "
         f"{_share('total')} AS pct_valor FROM (SELECT _ano_mes, uf, {N} AS qtd, "
         "sum(vl_liquido) AS total FROM silver GROUP BY ALL)"
     ),
@@ -464,7 +482,7 @@ ORACLE: dict[str, str] = {
     ),
     "incremental_ingest": (
         f"SELECT strftime(ts, '%Y%m%d') AS dia, event_type, {N} AS qtd, "
-        "CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS valor FROM events GROUP BY ALL"
+        "CAST(sum(CAST(value AS DECIMAL(18,2))) AS VARCHAR) AS valor FROM events GROUP BY ALL"
     ),
     "synthetic_people": _people(),
     "run_audit": _run_audit(),
@@ -474,7 +492,7 @@ ORACLE: dict[str, str] = {
     ),
     "bounded_query": _silver(
         f"{_REGISTERED} ORDER BY _ano_mes ASC NULLS FIRST, banco_codigo ASC NULLS FIRST, "
-        f"banco_nome ASC NULLS FIRST LIMIT {fixed.INTERACTIVE_ROW_CAP}", FAT_BANCO
+        f"banco_nome ASC NULLS FIRST LIMIT {Q.SHOWN_ROWS}", FAT_BANCO
     ),
     "reconciliation": _reconciliation(),
     "lake_kpis": _silver("SELECT * FROM kpis", KPIS),

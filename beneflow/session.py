@@ -37,6 +37,13 @@ STATIC_SETTINGS = {
 }
 
 
+# On a cluster: begin with many shuffle partitions, which are merged at run time as far as they are small.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "10000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+}
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
     for key, value in RUNTIME_SETTINGS.items():
@@ -49,7 +56,8 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    options = STATIC_SETTINGS | RUNTIME_SETTINGS | {k.replace("__", "."): v for k, v in settings.items()}
+    sizing = {} if master and master.startswith("local") else CLUSTER_SETTINGS
+    options = STATIC_SETTINGS | RUNTIME_SETTINGS | sizing | {k.replace("__", "."): v for k, v in settings.items()}
     for key, value in options.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

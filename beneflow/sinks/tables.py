@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from beneflow.sources.tables import MONTH, read_table
 
 AUDIT_SCHEMA = (
-    "run_ts string, tabela string, operacao string, linhas bigint, nulos bigint, _ano_mes string"
+    "operacao string, linhas bigint, nulos bigint, tabela string, run_ts string, _ano_mes string"
 )
 
 
@@ -66,6 +66,7 @@ def replace_parts(
 
 
 def _empty_part(df: DataFrame, path: str, key: str, part: str) -> None:
+    # A second commit; a run that is lost before it is repeated as a whole.
     nothing = df.sparkSession.createDataFrame([], df.schema).drop(key)
     nothing.write.mode("overwrite").parquet(f"{path}/{key}={part}")
 
@@ -89,26 +90,26 @@ def record_run(
     run_ts: str,
     watched: Sequence[str] = (),
 ) -> None:
-    """Append one audit row per part just written; fail when the table does not hold those rows."""
+    """Record one audit row per part just written; fail before that when the table does not hold those rows.
+
+    The rows of a table, run and part are replaced, so a run that is repeated is recorded once. Counts
+    come from the table as it is now: its footers and the watched columns, no other column is read.
+    """
     metrics = part_metrics(read_table(spark, table_path, written.parts), watched)
-    rows = metrics.select(
-        F.lit(run_ts).alias("run_ts"),
-        F.lit(table).alias("tabela"),
-        F.lit("replace").alias("operacao"),
-        "linhas",
-        "nulos",
-        MONTH,
+    # One row per part.
+    found = metrics.select("linhas", "nulos", MONTH).collect()
+    if (total := sum(row.linhas for row in found)) != written.rows:
+        raise RuntimeError(f"{table}: {total} rows in {', '.join(written.parts)}, {written.rows} expected")
+    rows = spark.createDataFrame(found, f"linhas bigint, nulos bigint, {MONTH} string").select(
+        F.lit("replace").alias("operacao"), "linhas", "nulos",
+        F.lit(table).alias("tabela"), F.lit(run_ts).alias("run_ts"), MONTH,
+    )
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("tabela", "run_ts", MONTH)
+        .parquet(audit_path)
     )
-    seen = Observation()
-    # One row per month, so one small file per run.
-    rows.coalesce(1).observe(seen, F.coalesce(F.sum("linhas"), F.lit(0)).alias("rows")).write.mode(
-        "append"
-    ).parquet(audit_path)
-    if seen.get["rows"] != written.rows:
-        raise RuntimeError(
-            f"{table}: {seen.get['rows']} rows in {', '.join(written.parts)}, "
-            f"{written.rows} expected"
-        )
 
 
 def run_history(spark: SparkSession, audit_path: str, table: str, n: int) -> DataFrame:
@@ -129,11 +130,18 @@ def run_history(spark: SparkSession, audit_path: str, table: str, n: int) -> Dat
 
 
 def register_table(spark: SparkSession, name: str, path: str, schema: str, key: str = MONTH) -> None:
-    """Give an existing partitioned folder a SQL name; its data stays where it is."""
+    """Give an existing partitioned folder a SQL name; its data stays where it is.
+
+    A name that stands for another folder or other columns is given anew, and partitions that are gone
+    are forgotten. A table that owns its data is never replaced.
+    """
     location = path.replace("'", "\\'")
+    if spark.catalog.tableExists(name):
+        if spark.catalog.getTable(name).tableType != "EXTERNAL":
+            raise ValueError(f"{name} is not a table over a folder")
+        spark.sql(f"DROP TABLE {name}")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet "
-        f"PARTITIONED BY ({key}) LOCATION '{location}'"
+        f"CREATE TABLE {name} ({schema}) USING parquet PARTITIONED BY ({key}) LOCATION '{location}'"
     )
     spark.catalog.recoverPartitions(name)
 

@@ -8,21 +8,12 @@ from pyspark.sql import functions as F
 from beneflow.functions import fixed
 from beneflow.functions.parsing import text_literal
 
-# Fixed values of the feed: nation key -> state name and its mixed-case code.
+# Nation key -> state name and its mixed-case code: the first states of the contract, then abroad.
 FEED_STATES = [
-    (0, "Acre", "Ac"), (1, "Alagoas", "Al"), (2, "Amapá", "Ap"), (3, "Amazonas", "Am"),
-    (4, "Bahia", "Ba"), (5, "Ceará", "Ce"), (6, "Distrito Federal", "Df"),
-    (7, "Espírito Santo", "Es"), (8, "Goiás", "Go"), (9, "Maranhão", "Ma"),
-    (10, "Mato Grosso", "Mt"), (11, "Mato Grosso do Sul", "Ms"), (12, "Minas Gerais", "Mg"),
-    (13, "Pará", "Pa"), (14, "Paraíba", "Pb"), (15, "Paraná", "Pr"), (16, "Pernambuco", "Pe"),
-    (17, "Piauí", "Pi"), (18, "Rio de Janeiro", "Rj"), (19, "Rio Grande do Norte", "Rn"),
-    (20, "Rio Grande do Sul", "Rs"), (21, "Rondônia", "Ro"), (22, "Roraima", "Rr"),
-    (23, "Santa Catarina", "Sc"), (24, "Exterior", "Ex"),
+    (key, name, code.capitalize())
+    for key, (name, code) in enumerate([*list(fixed.STATE_CODES.items())[:24], ("Exterior", "EX")])
 ]
 
-
-SPLIT_BYTES = 128 * 1024 * 1024
-
 # Schemas of the shared tables in use, so that no job runs to infer them.
 SCHEMAS = {
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
@@ -44,23 +35,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def spread_if_small(df: DataFrame, path: str, *keys: str) -> DataFrame:
-    """Hash a table that cannot fill the cores over all of them; leave a larger one alone.
-
-    One small file is one split, so a single task would do all the work behind it. The
-    shuffle happens only below one ordinary split per core, so it never grows with the data.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
-        return df
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    size = files.agg(F.sum("length")).first()[0] or 0
-    return df.repartition(cores, *keys) if size < cores * SPLIT_BYTES else df
-
-
 def _by_nation(key: Column, position: int) -> Column:
-    """Text of the state a nation key stands for, from the fixed list above."""
+    """Text of the state a nation key stands for; NULL for a key that is not in the list."""
     texts = ", ".join(text_literal(state[position]) for state in sorted(FEED_STATES))
     return F.get(F.expr(f"array({texts})"), key)
 
@@ -84,7 +60,7 @@ def raw_feed(spark: SparkSession, folder: str) -> DataFrame:
     priority = F.substring("o_orderpriority", 1, 1)
 
     # Texts that depend on one dimension are made on that dimension, before it is joined.
-    suppliers = table(spark, folder, "supplier").filter(F.col("s_nationkey").between(0, 24)).select(
+    suppliers = table(spark, folder, "supplier").select(
         "s_suppkey",
         F.when(bank_no == 20, "SemCodigo")
         .otherwise(F.concat((bank_no + 100).cast("string"), F.lit("-Banco-"),
@@ -94,7 +70,7 @@ def raw_feed(spark: SparkSession, folder: str) -> DataFrame:
                             _by_nation(F.col("s_nationkey"), 2), F.lit("-Mun-"),
                             paid_no.cast("string"))).alias("mun_pagto"),
     )
-    customers = table(spark, folder, "customer").filter(F.col("c_nationkey").between(0, 24)).select(
+    customers = table(spark, folder, "customer").select(
         "c_custkey",
         _by_nation(F.col("c_nationkey"), 1).alias("uf"),
         F.concat((home_no + 20000).cast("string"), F.lit("-"),
@@ -120,9 +96,8 @@ def raw_feed(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.date_format("o_orderdate", "dd/MM/yyyy")).alias("dt_inicio_validade"),
         F.date_format("o_orderdate", "yyyyMM").alias("_ano_mes"),
     )
-    lineitem = table(spark, folder, "lineitem")
     return (
-        spread_if_small(lineitem, f"{folder}/lineitem.parquet", "l_orderkey", "l_linenumber")
+        table(spark, folder, "lineitem")
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))

@@ -1,10 +1,16 @@
-"""Delimited deliveries: separator sniff, repeated headers, all-text scan."""
+"""Delimited deliveries: separator sniff, repeated headers, all-text scan.
+
+Every file speaks for itself: its first line gives its separator and its columns. Files with the same
+line share one scan; scans are united by column name.
+"""
 
 from __future__ import annotations
 
+import csv
+import re
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,64 +19,96 @@ from beneflow.functions import fixed
 from beneflow.sources.tables import MONTH
 
 
-def header_line(spark: SparkSession, path: str) -> str:
-    """First line of a delivery, decoded as the delivery is."""
-    line = spark.read.csv(
-        path, schema="line string", sep="\x01", quote="", encoding=fixed.DELIVERY_ENCODING
-    ).first()
-    if line is None or line[0] is None:
-        raise ValueError(f"no header line in {path}")
-    return line[0]
+def file_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """First line of every file below the paths, from one job; one entry per file with any line."""
+    lines = spark.read.csv(
+        list(paths), schema="line string", sep="\x01", quote="", encoding=fixed.DELIVERY_ENCODING
+    )
+    # Rows of a file's first block keep their order within the task that reads it.
+    first = (
+        lines.select("line", "_metadata.file_path", F.col("_metadata.file_block_start").alias("start"))
+        .withColumn("row", F.monotonically_increasing_id())
+        .where(F.col("start") == 0)
+        .groupBy("file_path")
+        .agg(F.min_by("line", "row").alias("line"))
+    )
+    return {unquote(row.file_path): row.line for row in first.collect()}
 
 
 def sniff_separator(header: str) -> str:
-    """First known separator found more than twice in the header."""
+    """First known separator found more than twice in the header, outside quoted names."""
+    plain = re.sub(r'"[^"]*"', "", header)
     for separator in fixed.SEPARATORS:
-        if header.count(separator) > 2:
+        if plain.count(separator) > 2:
             return separator
     return fixed.DEFAULT_SEPARATOR
 
 
-def distinct_names(names: Sequence[str]) -> list[str]:
-    """Give every repeated header its column position as a suffix, as Spark's CSV reader does."""
+def distinct_names(names: Sequence[str], known: Sequence[str] = ()) -> list[str]:
+    """Give every repeated header its column position as a suffix, as Spark's CSV reader does.
+
+    Where ``known`` has as many names of a repeated header with positions, those are given in their
+    order: another column order does not change what the columns are called.
+    """
     lowered = [name.lower() for name in names]
-    return [
-        f"{name}{position}" if lowered.count(name.lower()) > 1 else name
-        for position, name in enumerate(names)
-    ]
+    out = []
+    for position, name in enumerate(names):
+        if lowered.count(name.lower()) > 1:
+            told = [k for k in known if re.fullmatch(re.escape(name) + r"\d+", k, re.IGNORECASE)]
+            if len(told) == lowered.count(name.lower()):
+                out.append(told[lowered[:position].count(name.lower())])
+            else:
+                out.append(f"{name}{position}")
+        else:
+            out.append(name)
+    return out
+
+
+def columns_of(header: str, known: Sequence[str] = ()) -> tuple[str, tuple[str, ...]]:
+    """Separator and column names of a header line; a quoted name may hold separators."""
+    separator = sniff_separator(header)
+    return separator, tuple(distinct_names(next(csv.reader([header], delimiter=separator)), known))
 
 
-def _scan(spark: SparkSession, paths: Sequence[str], header: str, base: str | None) -> DataFrame:
-    separator = sniff_separator(header)
-    names = distinct_names([name.strip('"') for name in header.split(separator)])
+def _scan(
+    spark: SparkSession, paths: Sequence[str], separator: str, names: Sequence[str], base: str | None
+) -> DataFrame:
     schema = ", ".join(f"`{name.replace('`', '``')}` string" for name in names)
-    reader = spark.read.options(
-        header=True, sep=separator, encoding=fixed.DELIVERY_ENCODING
-    )
+    reader = spark.read.options(header=True, sep=separator, encoding=fixed.DELIVERY_ENCODING)
     if base is not None:
         reader = reader.option("basePath", base)
         schema += f", {MONTH} string"
     return reader.schema(schema).csv(list(paths))
 
 
-def read_delivery(spark: SparkSession, path: str) -> DataFrame:
-    """A delivery as text columns. Lines are single records, so large files split freely."""
-    return _scan(spark, [path], header_line(spark, path), None)
+def _read(
+    spark: SparkSession, paths: Sequence[str], known: Sequence[str], base: str | None
+) -> DataFrame:
+    by_columns: dict[tuple[str, tuple[str, ...]], list[str]] = {}
+    for path, header in sorted(file_headers(spark, paths).items()):
+        by_columns.setdefault(columns_of(header, known), []).append(path)
+    if not by_columns:
+        raise ValueError(f"no header line in {', '.join(paths)}")
+    for (_, names), files in by_columns.items():
+        if known and (missing := [name for name in known if name not in names]):
+            raise ValueError(f"{files[0]} and {len(files) - 1} more: no column {', '.join(missing)}")
+    scans = [_scan(spark, files, *columns, base) for columns, files in by_columns.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
-def read_monthly_deliveries(spark: SparkSession, base: str, months: Sequence[str]) -> DataFrame:
-    """Deliveries kept as ``base/_ano_mes=YYYYMM/`` as text columns plus the month.
+def read_delivery(spark: SparkSession, path: str, known: Sequence[str] = ()) -> DataFrame:
+    """A delivery as text columns. Lines are single records, so large files split freely.
 
-    Months with the same header line share one scan; a column some months lack reads as NULL.
+    A column some files lack reads as NULL; a file without one of the ``known`` columns is refused.
     """
-    paths = {month: f"{base}/{MONTH}={month}" for month in months}
-    with ThreadPoolExecutor(8) as pool:
-        headers = pool.map(lambda path: header_line(spark, path), paths.values())
-    by_header: dict[str, list[str]] = {}
-    for path, header in zip(paths.values(), headers, strict=True):
-        by_header.setdefault(header, []).append(path)
-    scans = [_scan(spark, same, header, base) for header, same in by_header.items()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+    return _read(spark, [path], known, None)
+
+
+def read_monthly_deliveries(
+    spark: SparkSession, base: str, months: Sequence[str], known: Sequence[str] = ()
+) -> DataFrame:
+    """Deliveries kept as ``base/_ano_mes=YYYYMM/`` as text columns plus the month."""
+    return _read(spark, [f"{base}/{MONTH}={month}" for month in months], known, base)
 
 
 def write_delivery(
@@ -89,6 +127,8 @@ def write_delivery(
     (
         df.select(F.explode(lines).alias("line"))
         .write.mode(mode)
+        # A task's second file would have no header.
+        .option("maxRecordsPerFile", 0)
         .option("encoding", fixed.DELIVERY_ENCODING)
         .option("sep", "\x01")
         .option("quote", "")

@@ -27,7 +27,9 @@ def read_table(
     reader = spark.read.option("mergeSchema", str(merge_schema).lower())
     df = (reader.schema(schema) if schema is not None else reader).parquet(path)
     if not isinstance(df.schema[key].dataType, T.StringType):
-        df = df.withColumn(key, F.col(key).cast("string"))
+        # Values were read as another type: '007' as 7. With the key's type given they stay as they are.
+        typed = [T.StructField(key, T.StringType()) if f.name == key else f for f in df.schema.fields]
+        df = reader.schema(T.StructType(typed)).parquet(path)
     return df if parts is None else df.filter(F.col(key).isin(*parts))
 
 

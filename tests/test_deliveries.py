@@ -66,6 +66,50 @@ def test_months_with_different_headers(spark):
     ]
 
 
+def _files(spark, *texts):
+    """A folder with a file for each text."""
+    path = shared_folder(spark, "files")
+    for text in texts:
+        lines = [(line,) for line in text.split("\n")]
+        spark.createDataFrame(lines, "line string").coalesce(1).write.mode("append").text(path)
+    return path
+
+
+def test_files_of_one_folder_with_other_separators_and_column_orders(spark):
+    path = _files(spark, "A;B;C;D\n1;2;3;4", "D;C;B;A\n4;3;2;1", "A,B,C,D\n1,2,3,4", "B|A|D|C|E\n2|1|4|3|5", "")
+    rows = deliveries.read_delivery(spark, path, ["A", "B", "C", "D"]).select(*"ABCDE").collect()
+    assert sorted(map(tuple, rows), key=str) == [("1", "2", "3", "4", "5")] + [("1", "2", "3", "4", None)] * 3
+
+
+def test_separators_inside_quoted_names(spark):
+    df = deliveries.read_delivery(spark, _files(spark, '"A;x";B;C;D\n1;2;3;4'))
+    assert df.columns == ["A;x", "B", "C", "D"]
+    assert [tuple(r) for r in df.collect()] == [("1", "2", "3", "4")]
+
+
+def test_a_file_without_a_known_column_is_refused(spark):
+    path = _files(spark, "A;B;C;D\n1;2;3;4", "A;B;X;D\n1;2;3;4")
+    with pytest.raises(ValueError, match="no column C"):
+        deliveries.read_delivery(spark, path, ["A", "B", "C", "D"])
+
+
+def test_repeated_names_in_another_order():
+    known = list(fixed.LANDING_TO_BRONZE)
+    turned = queries.DELIVERY_HEADER[-2:] + queries.DELIVERY_HEADER[:-2]
+    assert deliveries.distinct_names(turned, known) == known[-2:] + known[:-2]
+
+
+def test_every_written_file_has_its_header(spark):
+    path = shared_folder(spark, "delivery")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "10")
+    try:
+        df = spark.range(50).selectExpr("cast(id AS string) AS a", "'x' AS b", "'y' AS c", "'z' AS d")
+        deliveries.write_delivery(df.coalesce(2), path, df.columns)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert deliveries.read_delivery(spark, path).count() == 50
+
+
 def test_an_empty_delivery_is_an_error(spark):
     path = shared_folder(spark, "empty")
     spark.createDataFrame([], "x string").write.csv(path)

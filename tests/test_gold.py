@@ -11,6 +11,9 @@ from beneflow.operators.percentiles import percentiles, percentiles_of_counts, v
 from beneflow.operators.ranking import species_with_top_state, top_state_per_species
 from beneflow.plans import lake as layer_chain
 from beneflow.operators.quality import reconcile
+from beneflow.session import shared_folder
+from beneflow.sinks.tables import replace_parts
+from beneflow.sources.tables import read_table
 
 TS = "2026-02-01T00:00:00Z"
 COLUMNS = {
@@ -44,8 +47,8 @@ def tables(silver):
 
 @pytest.fixture(scope="module")
 def shared(silver):
-    """All tables from the stored summary and value counts."""
-    return layer_chain.stored_gold(silver, TS)
+    """All tables as the layer chain makes them."""
+    return gold.gold_tables(silver, TS)
 
 
 @pytest.mark.parametrize("name", COLUMNS)
@@ -63,6 +66,46 @@ def test_shared_inputs_give_the_same_tables(tables, shared, name):
     assert alone
 
 
+def test_accuracy_reaches_every_percentile(silver):
+    exact, sketched = (gold.gold_tables(silver, TS, accuracy) for accuracy in (None, 5))
+    plans = {name: df._jdf.queryExecution().toString() for name, df in sketched.items()}
+    assert [name for name, plan in plans.items() if "percentile_approx" in plan] == ["fat_uf", "fat_especie", "kpis_nacionais"]
+    assert all("percentile_approx" not in df._jdf.queryExecution().toString() for df in exact.values())
+
+
+def test_no_table_keeps_two_distinct_columns_in_one_grain(silver):
+    """What a table shuffles stays far below the rows it reads."""
+    for df in gold.gold_tables(silver, TS).values():
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("FileScan") <= 2
+
+
+def test_disagreeing_months_are_not_published(spark, silver, monkeypatch):
+    lake = layer_chain.Lake(shared_folder(spark, "unpublished"))
+    replace_parts(silver, lake.table("silver"), cluster=True)
+    months = ["199803", "199804"]
+    layer_chain.run_gold(spark, months, lake, "run1")
+
+    def rows_of(name):
+        return sorted(map(str, read_table(spark, lake.table(name)).collect()))
+
+    before = {name: rows_of(name) for name in layer_chain.GOLD_TABLES}
+    make = layer_chain.gold_tables
+
+    def short(rows, *args):
+        return make(rows, *args) | {"fat_banco": gold.fat_banco(rows.filter("banco_codigo != 100"), TS)}
+
+    monkeypatch.setattr(layer_chain, "gold_tables", short)
+    with pytest.raises(RuntimeError, match="disagree in 2 checks"):
+        layer_chain.run_gold(spark, months, lake, "run2")
+    assert {name: rows_of(name) for name in layer_chain.GOLD_TABLES} == before
+    failures = spark.read.parquet(lake.table("gold_failures")).collect()
+    assert {(r["run_ts"], r["verificacao"], r["_ano_mes"]) for r in failures} == {
+        ("run2", "fat_banco_total", month) for month in months
+    }
+
+
 def test_tables_agree(shared):
     checks = reconcile(shared).collect()
     assert len(checks) == 5 * 80

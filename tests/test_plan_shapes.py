@@ -31,6 +31,13 @@ def test_no_python_and_no_cross_join(spark, folder, name):
         assert bad not in plan
 
 
+@pytest.mark.parametrize("name", ["bronze_typed", "silver_full", "fat_uf", "fat_especie", "fat_banco", "kpis_nacionais"])
+def test_no_job_runs_while_a_plan_is_built(spark, folder, name):
+    spark.sparkContext.setJobGroup("plan", name)
+    queries.QUERIES[name](spark, folder)
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("plan")) == []
+
+
 def test_silver_is_narrow(spark, folder):
     bronze = queries.bronze(spark, folder)
     path = shared_folder(spark, "bronze")

@@ -95,6 +95,50 @@ def test_history_lists_the_latest_runs_first(spark, two_months):
     assert run_history(spark, audit, "other", 9).count() == 0
 
 
+def test_a_repeated_run_is_recorded_once(spark, two_months):
+    audit = shared_folder(spark, "audit")
+    for _ in range(3):
+        rows = frame(spark, (1, "202601"), (None, "202601"), (5, "202602"))
+        written = replace_parts(rows, two_months, ["202601", "202602"])
+        record_run(spark, audit, two_months, "t", written, "run", ["v"])
+    assert [tuple(r) for r in run_history(spark, audit, "t", 9).collect()] == [
+        ("run", "replace", "202601", "202602", 3, 1)
+    ]
+
+
+def test_a_failed_check_records_nothing(spark, two_months):
+    audit = shared_folder(spark, "audit")
+    written = replace_parts(frame(spark, (1, "202601")), two_months, ["202601"])
+    record_run(spark, audit, two_months, "t", written, "good")
+    with pytest.raises(RuntimeError, match="7 expected"):
+        record_run(spark, audit, two_months, "t", Written(7, ["202601"]), "bad")
+    assert [r["run_ts"] for r in run_history(spark, audit, "t", 9).collect()] == ["good"]
+
+
+def test_a_name_follows_its_folder_and_columns(spark, two_months):
+    other = shared_folder(spark, "sink-test")
+    replace_parts(frame(spark, *[(i, "202603") for i in range(9)]), other, ["202603"])
+    register_table(spark, "sink_moved", two_months, SCHEMA)
+    assert spark.table("sink_moved").count() == 3
+    register_table(spark, "sink_moved", other, SCHEMA.replace("v int", "v int, w string"))
+    assert spark.table("sink_moved").columns == ["v", "w", "_ano_mes"]
+    assert spark.table("sink_moved").count() == 9
+    register_table(spark, "sink_moved", two_months, SCHEMA)
+    assert {r["_ano_mes"] for r in spark.table("sink_moved").collect()} == {"202601", "202602"}
+    spark.sql("DROP TABLE sink_moved")
+
+
+@pytest.mark.parametrize("inference", ["true", "false"])
+def test_part_names_stay_text(spark, path, inference):
+    replace_parts(frame(spark, *[(i, "007") for i in range(3)]), path, ["007"])
+    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", inference)
+    try:
+        assert rows_of(spark, path, parts=["007"]) == [(0, "007"), (1, "007"), (2, "007")]
+        record_run(spark, shared_folder(spark, "audit"), path, "t", Written(3, ["007"]), "run", ["v"])
+    finally:
+        spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+
+
 def test_a_table_without_the_written_rows_fails_the_run(spark, two_months):
     with pytest.raises(RuntimeError, match="5 expected"):
         record_run(spark, shared_folder(spark, "audit"), two_months, "t",
