@@ -25,7 +25,7 @@ HEADLINE = (
     "bronze_typed", "silver_full", "silver_null_profile", "fat_uf", "fat_especie", "fat_banco",
     "kpis_nacionais", "percentile_exact", "percentile_approx_100", "distinct_counts",
     "share_of_total", "top_state_per_species", "landing_roundtrip_by_uf", "incremental_ingest",
-    "synthetic_people", "reconciliation",
+    "synthetic_people", "reconciliation", "lake_kpis",
 )
 # The delivery is read this many times over, so that a layer's rate is not mostly start-up.
 COPIES = 10

@@ -87,3 +87,22 @@ OTHER_GROUP = "Outros"
 
 # Accuracy of the approximate percentiles.
 PERCENTILE_ACCURACY = 100
+
+# Columns of the reports over gold tables, in their order.
+TOP_STATES_REPORT = (
+    "_ano_mes", "rank_vl_total", "sg_uf", "grupo_especie_top", "qtd_beneficios", "vl_total",
+    "vl_medio", "pct_feminino", "pct_nacional_valor",
+)
+SPECIES_VOLUME_REPORT = (
+    "_ano_mes", "especie_codigo", "especie_descricao", "grupo_especie", "qtd_beneficios",
+    "vl_total", "vl_medio", "uf_com_mais_beneficios",
+)
+BANK_SHARES_REPORT = (
+    "_ano_mes", "rank_qtd", "banco_codigo", "banco_nome", "qtd_beneficios", "market_share_pct",
+    "market_share_valor_pct",
+)
+# Columns a bronze preview shows.
+BRONZE_PREVIEW = (
+    "despacho", "sexo", "uf", "tipo_beneficio", "vl_liquido", "dt_inicio_validade", "especie_codigo",
+    "especie_descricao", "_ano_mes", "_ingestion_ts",
+)

@@ -10,9 +10,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A value band is 2^13 steps of the value's last digit (about 82 currency units of a money column).
-# Ordering one band takes at most that many rows, whatever the number of input rows.
-BAND_BITS = 13
+# Bands grow with the value: so many for each doubling. Sixteen digits have 54 doublings to either side,
+# so a group has a bounded number of bands, whatever its values are.
+BANDS_PER_DOUBLING = 1024
+
+
+def _band(units: Column) -> Column:
+    """Number of a value's band; it never falls as the value grows."""
+    size = F.floor(F.log2(F.abs(units) + F.lit(1)) * BANDS_PER_DOUBLING)
+    return F.when(units < 0, -size).otherwise(size)
 
 
 def join_on_keys(
@@ -61,14 +67,14 @@ def _exact(
     NULL values carry no weight; a group of only NULLs has no row.
 
     A group is never sorted as a whole: the band holding the target rank is found on band totals,
-    and only that band's distinct values are ordered, so a hot group spreads over many tasks.
+    and only that band's distinct values, within a thousandth of each other, are ordered.
     """
     dtype = df.schema[value].dataType
     # One struct key: NULL fields compare equal in it, and joins, windows and aggregates share it.
     values = (
         df.groupBy(F.struct(*keys).alias("key"), _units(value, dtype).alias("units"))
         .agg(weight.alias("n"))
-        .withColumn("band", F.shiftright("units", BAND_BITS))
+        .withColumn("band", _band(F.col("units")))
     )
 
     group = Window.partitionBy("key")

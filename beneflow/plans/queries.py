@@ -149,10 +149,7 @@ def bronze_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def bronze_preview(spark: SparkSession, sf: str) -> DataFrame:
-    shown = bronze(spark, sf).select(
-        "despacho", "sexo", "uf", "tipo_beneficio", "vl_liquido", "dt_inicio_validade",
-        "especie_codigo", "especie_descricao", MONTH, "_ingestion_ts",
-    )
+    shown = bronze(spark, sf).select(*fixed.BRONZE_PREVIEW)
     return top_ordered(shown, [F.col(c).asc_nulls_first() for c in shown.columns], 5)
 
 
@@ -439,6 +436,38 @@ def lake_kpis(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, lake.table("kpis_nacionais"))
 
 
+def top_states_by_count(spark: SparkSession, sf: str) -> DataFrame:
+    measures = {"qtd_beneficios": M.rows(), "vl_total": F.sum("vl_liquido")}
+    order = [F.col("qtd_beneficios").desc(), F.col("uf").asc_nulls_last()]
+    return reports.volume_report(bronze(spark, sf), ["uf"], measures, order, 10)
+
+
+def top_states_by_value(spark: SparkSession, sf: str) -> DataFrame:
+    measures = {"qtd": M.rows(), "vl_total": F.sum("vl_liquido"), "vl_medio": F.avg("vl_liquido")}
+    order = [F.col("vl_total").desc_nulls_last(), F.col("uf").asc_nulls_last()]
+    return reports.volume_report(silver(spark, sf), ["sg_uf", "uf"], measures, order, 5)
+
+
+def top_species(spark: SparkSession, sf: str) -> DataFrame:
+    keys = ["especie_codigo", "especie_descricao"]
+    measures = {"qtd": M.rows(), "vl_total": F.sum("vl_liquido")}
+    order = [F.col("qtd").desc(), *[F.col(key).asc_nulls_last() for key in keys]]
+    return reports.volume_report(silver(spark, sf), keys, measures, order, 5)
+
+
+def group_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Species groups from the species table: an aggregate of an aggregate."""
+    measures = {"qtd": F.sum("qtd_beneficios"), "vl_total": F.sum("vl_total")}
+    return reports.volume_report(gold.fat_especie(silver(spark, sf), RUN_TS), ["grupo_especie"], measures)
+
+
+def species_by_volume(spark: SparkSession, sf: str) -> DataFrame:
+    order = [F.col("qtd_beneficios").desc(), F.col(MONTH), F.col("especie_codigo").asc_nulls_last(),
+             F.col("especie_descricao").asc_nulls_last()]
+    species = gold.fat_especie(silver(spark, sf), RUN_TS)
+    return top_ordered(species.select(*fixed.SPECIES_VOLUME_REPORT), order, 5)
+
+
 def _over_silver(report: Callable[[DataFrame], DataFrame]) -> Callable:
     return lambda spark, sf: report(silver(spark, sf))
 
@@ -450,7 +479,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delivery_mixed_headers": delivery_mixed_headers,
     "bronze_typed": bronze,
     "bronze_quality": bronze_quality,
-    "bronze_top_uf": lambda spark, sf: reports.top_states_by_count(bronze(spark, sf), 10),
+    "bronze_top_uf": top_states_by_count,
     "bronze_preview": bronze_preview,
     "silver_clean": silver_clean,
     "silver_bank": silver_bank,
@@ -462,8 +491,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_full": silver,
     "silver_null_profile": silver_null_profile,
     "silver_schema": silver_schema,
-    "silver_uf_volume": _over_silver(lambda s: reports.top_states_by_value(s, 5)),
-    "silver_top_species": _over_silver(lambda s: reports.top_species(s, 5)),
+    "silver_uf_volume": top_states_by_value,
+    "silver_top_species": top_species,
     "silver_same_town": _over_silver(quality.same_town_counts),
     "species_group": species_group,
     "fat_uf": _over_silver(lambda s: gold.fat_uf(s, RUN_TS)),
@@ -480,12 +509,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rank_in_group": rank_in_group,
     "top_state_per_species": top_state,
     "species_with_top_state": species_top_state,
-    "group_rollup": _over_silver(lambda s: reports.group_totals(gold.fat_especie(s, RUN_TS))),
-    "top5_uf_by_value": _over_silver(lambda s: reports.top_ranked_states(gold.fat_uf(s, RUN_TS), 5)),
-    "top5_species_by_volume": _over_silver(
-        lambda s: reports.species_by_volume(gold.fat_especie(s, RUN_TS), 5)
+    "group_rollup": group_totals,
+    "top5_uf_by_value": _over_silver(
+        lambda s: reports.ranked_report(gold.fat_uf(s, RUN_TS), fixed.TOP_STATES_REPORT, "rank_vl_total", 5)
+    ),
+    "top5_species_by_volume": species_by_volume,
+    "bank_market_share": _over_silver(
+        lambda s: reports.ranked_report(gold.fat_banco(s, RUN_TS), fixed.BANK_SHARES_REPORT, "rank_qtd", 5)
     ),
-    "bank_market_share": _over_silver(lambda s: reports.bank_shares(gold.fat_banco(s, RUN_TS), 5)),
     "month_replace_idempotent": month_replace_idempotent,
     "schema_evolution": schema_evolution,
     "incremental_ingest": incremental_ingest,
