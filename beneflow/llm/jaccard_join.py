@@ -4,9 +4,9 @@ Equal sets are one class, so copies never meet each other. For the rest:
 
 1. Tokens (shingle hashes) get a global order: rarest first by a fixed-size count sketch of the whole
    corpus, then by hash. Any order gives the same result; this one keeps passages that many documents
-   share out of the prefixes below. Two sets that are similar enough share a token among the first
-   ``n - ceil(t * n) + 1`` of each, so only those are compared at first, and of them those that a second
-   class has too.
+   share out of the prefixes below. Two sets that are similar enough share ``SHARED`` tokens among the
+   first ``n - ceil(t * n) + SHARED`` of each (or all they have to share, if that is less). So only those
+   are compared at first, and only classes of which that many are held by a second class too.
 2. Classes are grouped with those that share their most common such token and are about as large. A group
    holds a bounded number of tokens; beyond that it is split by hash.
 3. The token-group matrix holds the union of each group's prefix tokens, one row for each token and
@@ -52,8 +52,10 @@ BITMAP = 1 << 20
 GROUP_TOKENS = 50_000
 GROUP_CLASSES = 64
 CHUNK_TOKENS = 400_000
-CHUNK_VISITORS = 512
+CHUNK_VISITORS = 256
 ROUNDS = 100
+# Prefix tokens that a link needs in common. More make prefixes longer and chance visits rarer.
+SHARED = 8
 
 
 def least_overlap(n, m, percent: int = PERCENT):
@@ -126,7 +128,7 @@ def signatures(texts: DataFrame, ranks: np.ndarray, size: int, percent: int) ->
         classes, prefixes = [], []
         for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
             classes.append(_class_of(hashes[a:b]) if b > a else None)
-            take = b - a - -(-percent * (b - a) // 100) + 1 if b > a else 0
+            take = min(b - a, b - a - -(-percent * (b - a) // 100) + SHARED)
             own = keys[a:b]
             prefixes.append(np.sort(np.partition(own, take - 1)[:take] if take < b - a else own))
         offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
@@ -142,7 +144,7 @@ def signatures(texts: DataFrame, ranks: np.ndarray, size: int, percent: int) ->
 # --- 2. to 4. groups, visits, links -----------------------------------------------------------
 
 
-def grouped(classes: DataFrame) -> DataFrame:
+def grouped(classes: DataFrame, percent: int) -> DataFrame:
     """(cls, n, group_token, group_size, salt, tokens): classes that share a prefix token with another."""
     postings = classes.select("cls", "n", F.posexplode("prefix").alias("pos", "token"))
     counts = postings.groupBy("token").agg(F.count("*").alias("classes")).where(F.col("classes") > 1)
@@ -150,7 +152,7 @@ def grouped(classes: DataFrame) -> DataFrame:
     members = live.groupBy("cls", "n").agg(
         F.collect_list(F.struct("pos", "token")).alias("tokens"),
         F.max(F.struct("classes", "token")).alias("most"),
-    )
+    ).where(F.size("tokens") >= F.least(F.lit(SHARED), F.ceil(F.col("n") * percent / 100)))
     # About as large: within a quarter. Beyond its bound of tokens or classes a group is split.
     size = F.floor(F.log("n") / F.log(F.lit(1.25))).cast("int")
     parts = F.ceil(F.col("most.classes") / F.greatest(F.lit(1), F.least(F.lit(GROUP_CLASSES), F.floor(GROUP_TOKENS / F.col("group_n")))))
@@ -168,11 +170,11 @@ GROUP = ["group_token", "group_size", "salt"]
 def visits(members: DataFrame, percent: int) -> DataFrame:
     """(cls, n, group): groups that a class may have a link in, by shared prefix tokens, sizes and positions.
 
-    Of two sets the larger one visits.
+    The tokens shared with the union of a group are at least those shared with any member. Of two sets the larger one visits.
     """
     rows = members.select("cls", "n", *GROUP, F.explode("tokens").alias("t")).select("cls", "n", *GROUP, "t.pos", "t.token")
     n = F.col("n")
-    matrix = rows.where(F.col("pos") <= n - least_overlap(n, n, percent)).groupBy("token", *GROUP).agg(
+    matrix = rows.where(F.col("pos") < n - least_overlap(n, n, percent) + SHARED).groupBy("token", *GROUP).agg(
         F.min("pos").alias("first"), F.min("n").alias("n_low"), F.max("n").alias("n_high"), F.count("*").alias("having")
     )
     least = F.greatest(F.col("n_low"), F.ceil(n * percent / 100))
@@ -182,12 +184,18 @@ def visits(members: DataFrame, percent: int) -> DataFrame:
         own &= F.col(f"q.{c}") == F.col(f"m.{c}")
     may_link = (
         (least <= most)
-        & (F.col("pos") <= n - least_overlap(n, least, percent))
-        & (F.col("first") <= most - least_overlap(n, most, percent))
+        & (F.col("pos") < n - least_overlap(n, least, percent) + SHARED)
+        & (F.col("first") < most - least_overlap(n, most, percent) + SHARED)
         & ~(own & (F.col("having") == 1))
     )
     found = rows.alias("q").join(stored(matrix, "token-groups").alias("m"), (F.col("q.token") == F.col("m.token")) & may_link)
-    return found.select("cls", "n", *[F.col(f"m.{c}").alias(c) for c in GROUP]).distinct()
+    needed = F.least(F.lit(SHARED), F.min(least_overlap(n, least, percent)))
+    return (
+        found.groupBy("cls", "n", *[F.col(f"m.{c}").alias(c) for c in GROUP])
+        .agg(F.count("*").alias("shared"), needed.alias("needed"))
+        .where(F.col("shared") >= F.col("needed"))
+        .drop("shared", "needed")
+    )
 
 
 def whole_sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -267,7 +275,8 @@ def links(texts: DataFrame, members: DataFrame, visiting: DataFrame, size: int,
         "cls", *GROUP, F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(False).alias("visits")
     )
     present = stored(guests.unionByName(hosts), "present")
-    sets = stored(whole_sets(texts, stored(present.select("cls").distinct(), "wanted"), size), "sets")
+    # Sets stay dealt out by class for the join, so they are shuffled to their class and to their groups only.
+    sets = whole_sets(texts, stored(present.select("cls").distinct(), "wanted"), size)
 
     def make(table: pa.Table) -> pa.Table:
         sides: tuple[list, list] = ([], [])
@@ -312,7 +321,7 @@ def similar_classes(
         signed.where(F.col("cls").isNotNull()).groupBy("cls", "n").agg(F.min("doc_id").alias("least"), F.first("prefix").alias("prefix")),
         "classes",
     )
-    members = stored(grouped(classes), "members")
+    members = stored(grouped(classes, percent), "members")
     visiting = stored(visits(members, percent), "visits")
     found = stored(links(texts, members, visiting, size, percent), "links")
     roots = components(found)
