@@ -33,6 +33,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Steps:
+    """Tables an operator needs only on its way, in a folder of their own below ``spark.checkpoint.dir``."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.folder = spark, shared_folder(spark, label)
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """The rows written and read back."""
+        df.write.parquet(f"{self.folder}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+
+    def drop(self) -> None:
+        """Remove them all; what was made from them has to be stored by then."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def by_slice(
     df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, text: str = "text"
 ) -> DataFrame:

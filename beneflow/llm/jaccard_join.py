@@ -40,7 +40,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beneflow.llm.frames import by_slice, record_batch, stored
+from beneflow.llm.frames import Steps, by_slice, record_batch, stored
 from beneflow.llm.words import mix, shingles, slices, words
 
 SHINGLE = 3
@@ -144,11 +144,11 @@ def signatures(texts: DataFrame, ranks: np.ndarray, size: int, percent: int) ->
 # --- 2. to 4. groups, visits, links -----------------------------------------------------------
 
 
-def grouped(classes: DataFrame, percent: int) -> DataFrame:
+def grouped(classes: DataFrame, percent: int, steps: Steps) -> DataFrame:
     """(cls, n, group_token, group_size, salt, tokens): classes that share a prefix token with another."""
     postings = classes.select("cls", "n", F.posexplode("prefix").alias("pos", "token"))
     counts = postings.groupBy("token").agg(F.count("*").alias("classes")).where(F.col("classes") > 1)
-    live = postings.join(stored(counts, "common-tokens"), "token")
+    live = postings.join(steps.keep(counts, "common-tokens"), "token")
     members = live.groupBy("cls", "n").agg(
         F.collect_list(F.struct("pos", "token")).alias("tokens"),
         F.max(F.struct("classes", "token")).alias("most"),
@@ -167,7 +167,7 @@ def grouped(classes: DataFrame, percent: int) -> DataFrame:
 GROUP = ["group_token", "group_size", "salt"]
 
 
-def visits(members: DataFrame, percent: int) -> DataFrame:
+def visits(members: DataFrame, percent: int, steps: Steps) -> DataFrame:
     """(cls, n, group): groups that a class may have a link in, by shared prefix tokens, sizes and positions.
 
     The tokens shared with the union of a group are at least those shared with any member. Of two sets the larger one visits.
@@ -188,7 +188,7 @@ def visits(members: DataFrame, percent: int) -> DataFrame:
         & (F.col("first") < most - least_overlap(n, most, percent) + SHARED)
         & ~(own & (F.col("having") == 1))
     )
-    found = rows.alias("q").join(stored(matrix, "token-groups").alias("m"), (F.col("q.token") == F.col("m.token")) & may_link)
+    found = rows.alias("q").join(steps.keep(matrix, "token-groups").alias("m"), (F.col("q.token") == F.col("m.token")) & may_link)
     needed = F.least(F.lit(SHARED), F.min(least_overlap(n, least, percent)))
     return (
         found.groupBy("cls", "n", *[F.col(f"m.{c}").alias(c) for c in GROUP])
@@ -263,10 +263,12 @@ def open_group(members: list[tuple[int, np.ndarray]], visitors: list[tuple[int,
     return links
 
 
-def links(texts: DataFrame, members: DataFrame, visiting: DataFrame, size: int, percent: int) -> DataFrame:
+def links(
+    texts: DataFrame, members: DataFrame, visiting: DataFrame, size: int, percent: int, steps: Steps
+) -> DataFrame:
     """(a, b): links between classes that connect all that any link connects."""
     load = F.greatest(F.ceil(F.sum("n") / CHUNK_TOKENS), F.ceil(F.count("*") / CHUNK_VISITORS)).cast("int")
-    chunks = stored(visiting.groupBy(*GROUP).agg(load.alias("chunks")), "visited")
+    chunks = steps.keep(visiting.groupBy(*GROUP).agg(load.alias("chunks")), "visited")
     inside = members.join(chunks, GROUP)
     guests = visiting.join(chunks, GROUP).select(
         "cls", *GROUP, F.pmod(F.xxhash64(F.lit("chunk"), F.col("cls")), "chunks").cast("int").alias("chunk"), F.lit(True).alias("visits")
@@ -274,9 +276,9 @@ def links(texts: DataFrame, members: DataFrame, visiting: DataFrame, size: int,
     hosts = inside.select(
         "cls", *GROUP, F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(False).alias("visits")
     )
-    present = stored(guests.unionByName(hosts), "present")
+    present = steps.keep(guests.unionByName(hosts), "present")
     # Sets stay dealt out by class for the join, so they are shuffled to their class and to their groups only.
-    sets = whole_sets(texts, stored(present.select("cls").distinct(), "wanted"), size)
+    sets = whole_sets(texts, steps.keep(present.select("cls").distinct(), "wanted"), size)
 
     def make(table: pa.Table) -> pa.Table:
         sides: tuple[list, list] = ([], [])
@@ -292,19 +294,19 @@ def links(texts: DataFrame, members: DataFrame, visiting: DataFrame, size: int,
 # --- 5. components ------------------------------------------------------------------------------
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, steps: Steps) -> DataFrame:
     """(node, root) of every node of the edges (a, b); the root is the smallest node connected."""
-    both = stored(
+    both = steps.keep(
         edges.select(F.col("a").alias("node"), F.col("b").alias("other")).union(edges.select("b", "a")).distinct(), "edges"
     )
-    roots = stored(both.groupBy("node").agg(F.least("node", F.min("other")).alias("root")), "roots-0")
+    roots = steps.keep(both.groupBy("node").agg(F.least("node", F.min("other")).alias("root")), "roots-0")
     for i in range(1, ROUNDS + 1):
         far = roots.select(F.col("node").alias("other"), F.col("root").alias("far"))
         least = both.join(far, "other").groupBy("node").agg(F.min("far").alias("far"))
         hooked = roots.join(least, "node").select("node", F.col("root").alias("before"), F.least("root", "far").alias("root"))
         jump = hooked.select(F.col("node").alias("root"), F.col("root").alias("next"))
         # A root is itself a node, so every row finds its next root.
-        moved = stored(hooked.join(jump, "root").select("node", "before", F.col("next").alias("root")), f"roots-{i}")
+        moved = steps.keep(hooked.join(jump, "root").select("node", "before", F.col("next").alias("root")), f"roots-{i}")
         roots = moved.select("node", "root")
         if moved.where(F.col("root") != F.col("before")).isEmpty():
             return roots
@@ -316,21 +318,24 @@ def similar_classes(
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     texts = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    signed = stored(signatures(texts, token_ranks(texts, size), size, percent), "signatures")
-    classes = stored(
+    steps = Steps(docs.sparkSession, "jaccard-join")
+    signed = steps.keep(signatures(texts, token_ranks(texts, size), size, percent), "signatures")
+    classes = steps.keep(
         signed.where(F.col("cls").isNotNull()).groupBy("cls", "n").agg(F.min("doc_id").alias("least"), F.first("prefix").alias("prefix")),
         "classes",
     )
-    members = stored(grouped(classes, percent), "members")
-    visiting = stored(visits(members, percent), "visits")
-    found = stored(links(texts, members, visiting, size, percent), "links")
-    roots = components(found)
+    rows = stored(signed.select("doc_id", "n", "cls"), "rows")
+    members = steps.keep(grouped(classes, percent, steps), "members")
+    visiting = steps.keep(visits(members, percent, steps), "visits")
+    found = steps.keep(links(texts, members, visiting, size, percent, steps), "links")
+    roots = components(found, steps)
     linked = classes.select("cls", "least").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
     # The root stands for its class; classes without a link are their own.
     linked = linked.withColumn("root", F.coalesce("root", "cls"))
     smallest = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     names = stored(linked.join(smallest, "root").select("cls", "component_id"), "names")
-    return signed.select("doc_id", "n", "cls").join(names, "cls", "left").select(
+    steps.drop()
+    return rows.join(names, "cls", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )

@@ -151,10 +151,12 @@ def plan(
         F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(text).alias("size"),
         key.alias("key"), *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []),
     )
+    # Sizes alone for all that is counted; rows are only read again where they are carried along.
+    narrow = stored(sized.drop("row"), "sizes")
     if not carry:
-        sized = stored(sized, "sizes")
+        sized = narrow
     spread = F.conv(F.substring("key", 1, 8), 16, 10).cast("bigint")
-    rows = sized.groupBy("source").agg(F.sum("size").alias("size")).limit(MAX_SOURCES + 1).collect()
+    rows = narrow.groupBy("source").agg(F.sum("size").alias("size")).limit(MAX_SOURCES + 1).collect()
     if len(rows) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
     rows.sort(key=lambda r: (r.source is None, r.source or ""))
@@ -166,14 +168,15 @@ def plan(
         [(i, r.source, size, aim, sub) for i, (r, size, aim, sub) in enumerate(zip(rows, sizes, aims, subs, strict=True))],
         "src int, name string, source_size bigint, target double, sub bigint",
     ))
-    placed = sized.join(sources, F.col("source").eqNullSafe(F.col("name"))).withColumn(
-        "bucket", spread % (F.col("sub") * shards)
-    )
-    buckets = placed.groupBy("src", "bucket").agg(
+
+    def placed(rows: DataFrame) -> DataFrame:
+        known = rows.join(sources, F.col("source").eqNullSafe(F.col("name")))
+        return known.withColumn("bucket", spread % (F.col("sub") * shards))
+
+    buckets = placed(narrow).groupBy("src", "bucket").agg(
         F.sum("size").alias("words"), F.first((F.col("bucket") / F.col("sub")).cast("int")).alias("shard")
     )
-    if not carry:
-        buckets = stored(buckets, "buckets")
+    buckets = stored(buckets, "buckets")
     totals = buckets.groupBy("src", "shard").agg(F.sum("words").alias("words")).collect()
     shard_words = [[0] * shards for _ in rows]
     for r in totals:
@@ -187,7 +190,7 @@ def plan(
     before = Window.partitionBy("src", "shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = buckets.withColumn("base", F.coalesce(F.sum("words").over(before), F.lit(0))).drop("words")
     inside = Window.partitionBy("src", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    at = placed.withColumn("end", F.sum("size").over(inside)).join(bases, ["src", "bucket"]).join(given, ["src", "shard"])
+    at = placed(sized).withColumn("end", F.sum("size").over(inside)).join(bases, ["src", "bucket"]).join(given, ["src", "shard"])
     start = F.col("base") + F.col("end") - F.col("size")
 
     def piece(r: Column) -> Column:

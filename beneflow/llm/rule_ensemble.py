@@ -24,7 +24,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beneflow.llm.frames import stored
+from beneflow.llm.frames import Steps, stored
 
 TREES = 24
 DEPTH = 3
@@ -141,7 +141,14 @@ def train(
     known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("double").alias("label"))
     known = known.where(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & may_learn)
     rows = VectorAssembler(inputCols=list(NAMES), outputCol="features").transform(stats.join(known, "doc_id"))
-    rows = stored(rows.select("features", "label", *NAMES), "labelled")
+    steps = Steps(stats.sparkSession, "rule-ensemble")
+    try:
+        return _fitted(steps.keep(rows.select("features", "label", *NAMES), "labelled"), trees, depth, lasso, seed)
+    finally:
+        steps.drop()
+
+
+def _fitted(rows: DataFrame, trees: int, depth: int, lasso: float, seed: int) -> Model:
     counts = rows.agg(F.count("*").alias("n"), F.sum("label").alias("good")).first()
     if not counts.n:
         return Model((), 0.0)

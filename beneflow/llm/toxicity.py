@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from beneflow.llm.frames import by_slice, keep_rows, record_batch, stored
+from beneflow.llm.frames import Steps, by_slice, keep_rows, record_batch
 from beneflow.llm.words import BY_LETTER, mix, shingles, slices, words
 
 PREFIXES = (4, 5, 6, 7, 8)
@@ -263,7 +263,8 @@ def train(
     others = texts.select("doc_id").orderBy(chance, "doc_id").limit(max_unlabelled).select("doc_id", F.lit(False).alias("positive"))
     # At most max_positive + max_unlabelled ids.
     sample = texts.join(F.broadcast(picked.union(others)), "doc_id").select("doc_id", "positive", "text")
-    sample = stored(without_copies(sample, chance), "sample")
+    steps = Steps(spark, "toxicity")
+    sample = steps.keep(without_copies(sample, chance), "sample")
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -286,6 +287,7 @@ def train(
         return record_batch(doc_id=part.column("doc_id").cast(pa.string()), positive=part.column("positive"), numbers=lists)
 
     rows = by_slice(sample, numbered, "doc_id string, positive boolean, numbers array<int>").toArrow()
+    steps.drop()
     rows = rows.combine_chunks().sort_by([("doc_id", "ascending")])
     sides = []
     for positive in (True, False):

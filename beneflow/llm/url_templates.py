@@ -31,7 +31,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beneflow.llm.frames import stored
+from beneflow.llm.frames import Steps, stored
 
 DEPTH = 4
 MIN_CHILDREN = 16
@@ -123,10 +123,10 @@ def _generalised(shapes: DataFrame, level: int) -> DataFrame:
     return shapes.join(distances.select(*node, own, template.alias(f"t{level}")), [*node, own])
 
 
-def template_purity(shapes: DataFrame) -> DataFrame:
+def template_purity(shapes: DataFrame, steps: Steps) -> DataFrame:
     """(host, segments, template, purity) from (host, segments, n, good, labelled) rows."""
     for level in range(1, DEPTH + 1):
-        shapes = stored(_generalised(shapes, level), f"templates-{level}")
+        shapes = steps.keep(_generalised(shapes, level), f"templates-{level}")
     columns = [f"t{d}" for d in range(1, DEPTH + 1)]
     leaves = shapes.groupBy("host", *columns).agg(F.sum("good").alias("good"), F.sum("labelled").alias("labelled"))
     total = leaves.agg(F.sum("good").alias("g"), F.sum("labelled").alias("l")).select(
@@ -163,7 +163,9 @@ def judge(
         F.count_if(F.col("ruled") == "allow").alias("good"),
         F.count("ruled").alias("labelled"),
     )
-    purity = stored(template_purity(stored(shapes, "shapes")), "purity")
+    steps = Steps(pages.sparkSession, "url-templates")
+    purity = stored(template_purity(steps.keep(shapes, "shapes"), steps), "purity")
+    steps.drop()
     by_method = F.when(F.col("purity") < PURITY, "block").otherwise("allow")
     return rows.join(purity, ["host", *segments], "left").select(
         "page_id", "host", "path", "rule", F.coalesce("ruled", by_method).alias("verdict"), "template", "purity"

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beneflow.llm.frames import record_batch, stored
+from beneflow.llm.frames import Steps, record_batch, stored
 from beneflow.session import shared_folder
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
@@ -297,7 +297,9 @@ class Package:
         return len(self.lines)
 
 
-def with_first_pages(pages: DataFrame, page_id: str, url: str, html: str, min_bytes: int) -> DataFrame:
+def with_first_pages(
+    pages: DataFrame, page_id: str, url: str, html: str, min_bytes: int, steps: Steps
+) -> DataFrame:
     """(page_id, url, payload, refers_to): pages whose payload another page stores refer to that page."""
     payload = F.coalesce(F.col(html), F.lit("")).cast("binary")
     rows = pages.select(
@@ -305,13 +307,13 @@ def with_first_pages(pages: DataFrame, page_id: str, url: str, html: str, min_by
         F.sha1(payload).alias("sha1"),
     )
     # Narrow, so that the two joins by digest and page never carry payloads but once.
-    digests = stored(rows.select("page_id", "sha1", F.octet_length("payload").alias("bytes")), "digests")
-    firsts = stored(
+    digests = steps.keep(rows.select("page_id", "sha1", F.octet_length("payload").alias("bytes")), "digests")
+    firsts = steps.keep(
         digests.where(F.col("bytes") >= min_bytes).groupBy("sha1", "bytes").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
         .where(F.col("n") > 1).drop("n"), "first-pages",
     )
     later = F.col("page_id").isNull() | (F.col("page_id") > F.col("first"))
-    refers = stored(
+    refers = steps.keep(
         digests.join(firsts, ["sha1", "bytes"]).where(F.col("first").isNotNull() & later)
         .select(F.col("page_id").alias("id"), F.col("sha1").alias("digest"), F.col("first").alias("refers_to")).distinct(),
         "revisits",
@@ -357,8 +359,11 @@ def write_packages(
         if open_one is not None:
             yield done()
 
-    rows = with_first_pages(pages, page_id, url, html, min_bytes)
-    return stored(rows.mapInArrow(run, "path string, records bigint"), "manifest")
+    steps = Steps(pages.sparkSession, "zip-warc")
+    rows = with_first_pages(pages, page_id, url, html, min_bytes, steps)
+    manifest = stored(rows.mapInArrow(run, "path string, records bigint"), "manifest")
+    steps.drop()
+    return manifest
 
 
 READ_SCHEMA = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"

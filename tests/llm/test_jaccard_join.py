@@ -3,6 +3,7 @@ import random
 import pytest
 
 from beneflow.llm import jaccard_join as J
+from beneflow.llm.frames import Steps
 
 SCHEMA = "doc_id bigint, text string, cls string, n int, component_id string"
 
@@ -87,5 +88,5 @@ def test_least_overlap():
 
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(1000, 999)], "a bigint, b bigint")
-    roots = {r.node: r.root for r in J.components(edges).collect()}
+    roots = {r.node: r.root for r in J.components(edges, Steps(spark, "chain")).collect()}
     assert {roots[i] for i in range(201)} == {0} and roots[1000] == roots[999] == 999

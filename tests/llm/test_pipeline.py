@@ -6,6 +6,12 @@ from beneflow.llm import decontamination, jaccard_join, mixing, packing, toxicit
 from beneflow.llm.frames import held_out, stored
 
 
+@pytest.fixture(scope="module")
+def folder():
+    """The smallest tables have too few toxic labels to learn from."""
+    return "/root/testdata/sf0.01"
+
+
 @pytest.fixture(scope="module")
 def stages(spark, folder):
     """Every stage's input and output, written and read as a driver would."""
