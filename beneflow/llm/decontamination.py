@@ -7,8 +7,9 @@ block, so most words are never looked at. Where the shift is 0, the block's hash
 end in it, and those are compared word by word, then byte by byte. Searching starts in many runs of
 positions at once, each moving on by its own shifts.
 
-Patterns are broadcast in blocks of at most ``BLOCK_PATTERNS`` windows; each block is one narrow pass over
-the texts, and no text is ever shuffled.
+Patterns are broadcast in blocks of at most ``BLOCK_PATTERNS`` windows, and ``ROUND_BLOCKS`` blocks are searched
+in one narrow pass over the texts, which bounds what a worker holds. What the passes before have found goes
+along with the rows; no text is ever shuffled.
 
 Words are runs of letters, digits and code points from 0x80 on, with A-Z lower-cased. A null or empty
 text has no words and no hits; an item without words or id has no windows. Items with the same id count
@@ -19,18 +20,21 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from beneflow.llm.frames import keep_rows, record_batch
+from beneflow.llm.frames import stored
 from beneflow.llm.words import BY_LETTER, Words, mix, slices, words
 
 WINDOW = 13
 BLOCK_PATTERNS = 100_000
+ROUND_BLOCKS = 4
 # A text is contaminated if at least one of so many of its words is hit.
 ONE_IN = 20
 RUN = 128
@@ -163,14 +167,6 @@ class Hits:
     runs: list[list[int]]
     items: list[list[str]]
 
-    @property
-    def n_hit(self) -> np.ndarray:
-        return np.array([sum(r[1::2]) - sum(r[::2]) for r in self.runs], dtype=np.int64)
-
-    @property
-    def contaminated(self) -> np.ndarray:
-        return (self.n_hit > 0) & (ONE_IN * self.n_hit >= self.n_words)
-
 
 def _merged(pairs: list[tuple[int, int]]) -> list[int]:
     out: list[int] = []
@@ -202,13 +198,43 @@ def hits(column: pa.Array, blocks: list[Broadcast]) -> Hits:
     return Hits(found.counts, [_merged(r) for r in runs], [sorted(x) for x in items])
 
 
-def sent_blocks(benchmark: DataFrame, window: int, size: int, item_id: str, text: str) -> list[Broadcast]:
-    context = benchmark.sparkSession.sparkContext
-    return [context.broadcast(b) for b in pattern_blocks(benchmark, window, size, item_id, text)]
+#: Columns that go along with the rows, under names no table has.
+_RUNS, _ITEMS, _WORDS = "__benchmark_runs", "__benchmark_items", "__benchmark_words"
+
+
+def _searched(
+    docs: DataFrame, benchmark: DataFrame, window: int, size: int, item_id: str, text: str
+) -> DataFrame:
+    """The rows with all their columns, number of words, hit runs and items found."""
+    kinds = {_WORDS: pa.int64(), _RUNS: pa.list_(pa.int64()), _ITEMS: pa.list_(pa.string())}
+    types = {_WORDS: LongType(), _RUNS: ArrayType(LongType()), _ITEMS: ArrayType(StringType())}
+    schema = StructType([*docs.schema.fields, *(StructField(name, kind) for name, kind in types.items())])
+
+    def one_pass(blocks: list[Broadcast], first: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in slices(batch, text):
+                    found = hits(part.column(text), blocks)
+                    if not first:
+                        known = zip(part.column(_RUNS).to_pylist(), part.column(_ITEMS).to_pylist(), strict=True)
+                        for i, (runs, items) in enumerate(known):
+                            pairs = [*zip(runs[::2], runs[1::2], strict=True)]
+                            pairs += zip(found.runs[i][::2], found.runs[i][1::2], strict=True)
+                            found.runs[i], found.items[i] = _merged(pairs), sorted({*items, *found.items[i]})
+                        part = part.drop_columns(list(kinds))
+                    values = (found.n_words, found.runs, found.items)
+                    new = [pa.array(v, kind) for v, kind in zip(values, kinds.values(), strict=True)]
+                    yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, *kinds])
 
+        return run
 
-PASS_SCHEMA = "doc_id bigint, text string, n_words bigint, runs array<bigint>, items array<string>"
-_RUNS, _ITEMS = pa.list_(pa.int64()), pa.list_(pa.string())
+    context, out, first = docs.sparkSession.sparkContext, docs, True
+    blocks = pattern_blocks(benchmark, window, size, item_id, text)
+    while (own := [context.broadcast(b) for b in islice(blocks, ROUND_BLOCKS)]) or first:
+        if not first:
+            out = stored(out, "benchmark-rounds")
+        out, first = out.mapInArrow(one_pass(own, first), schema), False
+    return out
 
 
 def find_benchmark(
@@ -223,56 +249,44 @@ def find_benchmark(
     """(doc_id, n_words, runs, items) for every row of ``docs``.
 
     ``runs`` holds the hit words as first, end, first, end, ...; ``items`` the sorted ids found.
-    One pass per block of patterns; with more blocks than one, the passes' findings are merged.
     """
+    chosen = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    items = benchmark.select(item_id, F.col(text).alias("text"))
+    return _searched(chosen, items, window, size, item_id, "text").select(
+        "doc_id", F.col(_WORDS).alias("n_words"), F.col(_RUNS).alias("runs"), F.col(_ITEMS).alias("items")
+    )
 
-    def one_pass(block: Broadcast, first: bool):
-        def make(part: pa.RecordBatch) -> dict:
-            found = hits(part.column("text"), [block])
-            runs, items = found.runs, found.items
-            if not first:
-                for i, (r, x) in enumerate(
-                    zip(part.column("runs").to_pylist(), part.column("items").to_pylist(), strict=True)
-                ):
-                    runs[i] = _merged([*zip(r[::2], r[1::2], strict=True), *zip(runs[i][::2], runs[i][1::2], strict=True)])
-                    items[i] = sorted({*x, *items[i]})
-            return {"n_words": found.n_words, "runs": pa.array(runs, _RUNS), "items": pa.array(items, _ITEMS)}
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for part in slices(batch):
-                    yield record_batch(doc_id=part.column("doc_id"), text=part.column("text"), **make(part))
+def n_hit(runs: str) -> Column:
+    """Words inside the hit runs."""
+    ends = F.filter(runs, lambda _, i: i % 2 == 1)
+    begins = F.filter(runs, lambda _, i: i % 2 == 0)
+    total = lambda xs: F.aggregate(xs, F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return total(ends) - total(begins)
 
-        return run
 
-    found = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    blocks = sent_blocks(benchmark, window, size, item_id, text)
-    if not blocks:
-        blocks = [docs.sparkSession.sparkContext.broadcast([])]
-    for i, block in enumerate(blocks):
-        found = found.mapInArrow(one_pass(block, i == 0), PASS_SCHEMA)
-    return found.drop("text")
+def is_contaminated(n_words: str, runs: str) -> Column:
+    return (n_hit(runs) > 0) & (n_hit(runs) * ONE_IN >= F.col(n_words))
 
 
 def digest(found: DataFrame) -> DataFrame:
     """Counts, hash of the item ids and the verdict, per row."""
-    ends = F.filter("runs", lambda _, i: i % 2 == 1)
-    begins = F.filter("runs", lambda _, i: i % 2 == 0)
-    total = lambda xs: F.aggregate(xs, F.lit(0).cast("bigint"), lambda a, x: a + x)
-    counted = found.withColumn("n_hit", total(ends) - total(begins))
-    return counted.select(
-        "doc_id", "n_words", "n_hit",
+    return found.select(
+        "doc_id", "n_words", n_hit("runs").alias("n_hit"),
         F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (F.col("n_hit") * ONE_IN >= F.col("n_words"))).alias("contaminated"),
+        is_contaminated("n_words", "runs").alias("contaminated"),
     )
 
 
 def without_contaminated(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, size: int = BLOCK_PATTERNS, text: str = "text"
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int = WINDOW,
+    size: int = BLOCK_PATTERNS,
+    item_id: str = "item_id",
+    text: str = "text",
 ) -> DataFrame:
     """The rows of ``docs``, with all their columns, that are not contaminated."""
-    # The verdict is taken where the text is read, so nothing is joined.
-    blocks = sent_blocks(benchmark, window, size, "item_id", "text")
-
-    return keep_rows(docs, lambda part: ~hits(part.column(text), blocks).contaminated, text)
+    found = _searched(docs, benchmark, window, size, item_id, text)
+    return found.where(~is_contaminated(_WORDS, _RUNS)).drop(_WORDS, _RUNS, _ITEMS)

@@ -7,7 +7,8 @@ the k-th score found so far. That score is carried from shard to shard, and star
 itself, whose vectors are candidates too. So vectors are never shuffled; only the k best of each query
 and task are.
 
-Queries are broadcast in blocks of at most about ``query_block`` rows, each a pass over all vectors.
+Queries are broadcast in blocks of at most about ``query_block`` rows, each a pass over all vectors whose
+result is written before the next block is sent; the driver never holds more than one.
 
 Defined results: vectors that are null, or hold a null or non-finite component, or have no id, take no
 part. A query is compared with vectors of its own length only. Rows with the query's own id are its own
@@ -24,10 +25,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from beneflow.llm.frames import record_batch
+from beneflow.session import shared_folder
 
 SHARD_ROWS = 16384
 LEAF_ROWS = 256
@@ -144,10 +147,8 @@ def _by_length(ids: pa.Array, vectors: pa.Array) -> Iterator[tuple[np.ndarray, n
         yield at, np.asarray(ids)[at], values[offsets[at][:, None] + np.arange(length)]
 
 
-def _search_task(queries: dict[int, Queries], k: int, shard_rows: int, leaf_rows: int):
-    best = {length: [Best(k, floor) for floor in q.floors] for length, q in queries.items()}
-
-    def one_shard(rows: pa.Table) -> None:
+def _search_task(sent: Broadcast, k: int, shard_rows: int, leaf_rows: int):
+    def one_shard(rows: pa.Table, queries: dict[int, Queries], best: dict[int, list[Best]]) -> None:
         rows = rows.combine_chunks()
         ids, vectors = (rows.column(c).chunk(0) for c in ("id", "vector"))
         for _, own_ids, points in _by_length(ids, vectors):
@@ -166,6 +167,8 @@ def _search_task(queries: dict[int, Queries], k: int, shard_rows: int, leaf_rows
                     search(tree, vector, q.ids[i], bound, best[length][i])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries: dict[int, Queries] = sent.value
+        best = {length: [Best(k, floor) for floor in q.floors] for length, q in queries.items()}
         waiting: list[pa.RecordBatch] = []
         count = 0
         for batch in batches:
@@ -173,10 +176,10 @@ def _search_task(queries: dict[int, Queries], k: int, shard_rows: int, leaf_rows
                 waiting.append(batch.slice(at, shard_rows))
                 count += waiting[-1].num_rows
                 if count >= shard_rows:
-                    one_shard(pa.Table.from_batches(waiting))
+                    one_shard(pa.Table.from_batches(waiting), queries, best)
                     waiting, count = [], 0
         if count:
-            one_shard(pa.Table.from_batches(waiting))
+            one_shard(pa.Table.from_batches(waiting), queries, best)
         for length, found in best.items():
             q = queries[length]
             counts = [len(b.scores) for b in found]
@@ -218,12 +221,13 @@ def exact_top_k(
 
     ``query_block`` bounds what is collected and broadcast at a time.
     """
-    context = vectors.sparkSession.sparkContext
+    spark = vectors.sparkSession
     all_rows = quantised(vectors, scale, vec_id, vector)
     asked = quantised(vectors.where(is_query), scale, vec_id, vector)
     blocks = max(1, math.ceil(asked.count() / query_block))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
-    parts = []
+    order = Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id")
+    folder, schema = shared_folder(spark, "top-k"), "query_id bigint, rank int, vec_id bigint, score bigint"
     for block in range(blocks):
         rows = asked.where(F.col("block") == block).select("id", "vector").toArrow().combine_chunks()
         queries = {}
@@ -231,15 +235,9 @@ def exact_top_k(
             ids, found = (rows.column(c).chunk(0) for c in ("id", "vector"))
             for at, own_ids, points in _by_length(ids, found):
                 queries[points.shape[1]] = make_queries(own_ids, at, points, k)
-        sent = context.broadcast(queries)
-        task = lambda batches, sent=sent: _search_task(sent.value, k, shard_rows, leaf_rows)(batches)
-        parts.append(all_rows.mapInArrow(task, SCHEMA).withColumn("block", F.lit(block)))
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.union(part)
-    order = Window.partitionBy("query_id", "block", "query_row").orderBy(F.desc("score"), "vec_id")
-    return (
-        found.withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+        sent = spark.sparkContext.broadcast(queries)
+        found = all_rows.mapInArrow(_search_task(sent, k, shard_rows, leaf_rows), SCHEMA)
+        ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        ranked.select("query_id", "rank", "vec_id", "score").write.mode("append").parquet(folder)
+        sent.destroy()
+    return spark.read.schema(schema).parquet(folder)

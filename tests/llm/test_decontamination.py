@@ -41,8 +41,9 @@ def cases():
 
 
 @pytest.mark.parametrize("size", [100_000, 7])
-def test_equals_brute_force(spark, size):
+def test_equals_brute_force(spark, monkeypatch, size):
     docs, items = cases()
+    monkeypatch.setattr(D, "ROUND_BLOCKS", 2)
     df = spark.createDataFrame([(i, t, "r", "i") for i, t in docs], "doc_id bigint, text string, runs string, items string")
     bench = spark.createDataFrame(items, "item_id bigint, text string").withColumn("lang", F.lit("x"))
     rows = D.find_benchmark(df, bench, window=4, size=size).collect()
