@@ -30,11 +30,11 @@ WITH item_words AS (
         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
     FROM documents
 ), item_windows AS (
-    SELECT DISTINCT id, least(13, len(w)) AS n, list_slice(w, pos, pos + least(13, len(w)) - 1) AS part
+    SELECT DISTINCT id, least(13, len(w)) AS n, array_to_string(list_slice(w, pos, pos + least(13, len(w)) - 1), ' ') AS part
     FROM item_words, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS t(pos)
     WHERE len(w) > 0
 ), doc_windows AS (
-    SELECT doc_id, pos, n, list_slice(w, pos, pos + n - 1) AS part
+    SELECT doc_id, pos, n, array_to_string(list_slice(w, pos, pos + n - 1), ' ') AS part
     FROM doc_words, (SELECT DISTINCT n FROM item_windows) AS lengths, unnest(range(1, len(w) - n + 2)) AS t(pos)
 ), found AS (
     SELECT doc_id, pos, n, id FROM doc_windows JOIN item_windows USING (n, part)
@@ -220,12 +220,13 @@ WITH RECURSIVE split AS (
         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
     FROM documents
 ), shingled AS (
-    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w]
-        ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: list_slice(w, i, i + 2))) END AS s
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(list_slice(w, i, i + 2), ' ')))
+        END AS s
     FROM split
-), tokens AS (
+), tokens AS MATERIALIZED (
     SELECT doc_id, len(s) AS n, unnest(s) AS token FROM shingled
-), pairs AS (
+), pairs AS MATERIALIZED (
     SELECT a.doc_id AS a, b.doc_id AS b FROM tokens a JOIN tokens b ON a.token = b.token AND a.doc_id <> b.doc_id
     GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 90 * (any_value(a.n) + any_value(b.n) - count(*))
 ), reached AS (
