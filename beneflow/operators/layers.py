@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,9 +24,12 @@ def _literal(value: str | Column) -> Column:
 
 
 def to_bronze(
-    landing: DataFrame, month: str | Column, source: str | Column, run_ts: str
+    landing: DataFrame, month: str | Column, source: str | Column, run_ts: str, extra: Sequence[str] = ()
 ) -> DataFrame:
-    """Rename, type money and date, stamp lineage: 14 -> 17 columns, nothing dropped."""
+    """Rename, type money and date, stamp lineage: 14 -> 17 columns, nothing dropped.
+
+    Columns beyond the contract that are named in ``extra`` follow as the text they are.
+    """
     parsers = {"vl_liquido": parsing.money, "dt_inicio_validade": parsing.day}
     business = []
     for header, column in fixed.LANDING_TO_BRONZE.items():
@@ -37,6 +40,7 @@ def to_bronze(
         _literal(month).alias("_ano_mes"),
         _literal(source).alias("_source_path"),
         F.lit(run_ts).alias("_ingestion_ts"),
+        *[parsing.named(name).alias(name) for name in extra],
     )
 
 

@@ -1,4 +1,7 @@
-"""landing -> bronze -> silver -> gold for any set of monthly deliveries."""
+"""landing -> bronze -> silver -> gold for any set of monthly deliveries.
+
+A column that a delivery has beyond the contract goes along as text up to silver, NULL where it is missing.
+"""
 
 from __future__ import annotations
 
@@ -63,15 +66,27 @@ def run_landing(
     return _store(landed, lake, "landing", months, run_ts)
 
 
+def _read_months(
+    spark: SparkSession, path: str, months: Sequence[str], schema: str
+) -> tuple[DataFrame, list[str]]:
+    """Months of a layer under its schema and whatever text columns their files have besides, and those."""
+    folders = [f"{path}/{MONTH}={month}" for month in months]
+    found = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(*folders)
+    known = set(spark.createDataFrame([], schema).columns)
+    extra = [name for name in found.columns if name not in known]
+    named = ", ".join([*[f"`{name.replace('`', '``')}` string" for name in extra], schema])
+    return read_table(spark, path, months, schema=named), extra
+
+
 def run_bronze(spark: SparkSession, months: Sequence[str], lake: Lake, run_ts: str) -> int:
-    landing = read_table(spark, lake.table("landing"), months, schema=LANDING_SCHEMA)
+    landing, extra = _read_months(spark, lake.table("landing"), months, LANDING_SCHEMA)
     source = F.concat(F.lit("landing/"), F.col(MONTH))
-    bronze = to_bronze(landing, F.col(MONTH), source, run_ts)
+    bronze = to_bronze(landing, F.col(MONTH), source, run_ts, extra)
     return _store(bronze, lake, "bronze", months, run_ts, ["vl_liquido", "dt_inicio_validade"])
 
 
 def run_silver(spark: SparkSession, months: Sequence[str], lake: Lake, run_ts: str) -> int:
-    bronze = read_table(spark, lake.table("bronze"), months, schema=BRONZE_SCHEMA)
+    bronze, _ = _read_months(spark, lake.table("bronze"), months, BRONZE_SCHEMA)
     return _store(to_silver(bronze, run_ts), lake, "silver", months, run_ts, ["sexo"])
 
 

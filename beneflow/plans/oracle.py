@@ -488,7 +488,7 @@ ORACLE: dict[str, str] = {
     "run_audit": _run_audit(),
     "table_register": _silver(
         f"SELECT _ano_mes, {N} AS bancos, CAST(sum(qtd_beneficios) AS BIGINT) AS qtd, "
-        "max(market_share_pct) AS maior_fatia FROM fat_banco GROUP BY _ano_mes", FAT_BANCO
+        "max(market_share_pct) AS maior_fatia, 2 AS revisao FROM fat_banco GROUP BY _ano_mes", FAT_BANCO
     ),
     "bounded_query": _silver(
         f"{_REGISTERED} ORDER BY _ano_mes ASC NULLS FIRST, banco_codigo ASC NULLS FIRST, "

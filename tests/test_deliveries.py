@@ -117,6 +117,23 @@ def test_an_empty_delivery_is_an_error(spark):
         deliveries.read_delivery(spark, path)
 
 
+def test_a_new_column_reaches_silver(spark, folder):
+    base = shared_folder(spark, "lake")
+    months = ["199503", "199803"]
+    feed = benefits.landing_feed(spark, folder)
+    for month in months:
+        one = feed.filter(F.col("_ano_mes") == month).drop("_ano_mes")
+        header = list(queries.DELIVERY_HEADER)
+        if month == "199803":
+            one, header = one.withColumn("nota", F.lit(" nova ")), [*header, "Observação"]
+        deliveries.write_delivery(one, f"{base}/in/_ano_mes={month}", header)
+    lake = layer_chain.Lake(f"{base}/lake")
+    layer_chain.run_layers(spark, f"{base}/in", months, lake, "run1")
+    rows = read_table(spark, lake.table("silver"), merge_schema=True).select("_ano_mes", "Observação").distinct()
+    assert sorted(map(tuple, rows.collect())) == [("199503", None), ("199803", "nova")]
+    assert "Observação" in read_table(spark, lake.table("bronze"), merge_schema=True).columns
+
+
 def test_two_months_end_to_end_and_a_late_file(spark, folder):
     base = shared_folder(spark, "lake")
     months = ["199503", "199803"]
