@@ -16,7 +16,7 @@ Equal sets are one class, so copies never meet each other. For the rest:
    only if that could be enough the group is opened and the overlaps with its members are counted, all
    at once. Visitors of a group come in bounded chunks. Of the links found in a chunk, those that
    connect what was not connected yet are kept; the classes come out the same.
-5. Connected components by repeated minima and pointer jumping over those links.
+5. Connected components of those links by repeated contraction.
 
 Whole sets are not stored for all documents: those of classes that visit or are visited are made from the
 texts a second time, found by a fixed-size bitmap, and joined by class.
@@ -295,22 +295,37 @@ def links(
 
 
 def components(edges: DataFrame, steps: Steps) -> DataFrame:
-    """(node, root) of every node of the edges (a, b); the root is the smallest node connected."""
-    both = steps.keep(
-        edges.select(F.col("a").alias("node"), F.col("b").alias("other")).union(edges.select("b", "a")).distinct(), "edges"
-    )
-    roots = steps.keep(both.groupBy("node").agg(F.least("node", F.min("other")).alias("root")), "roots-0")
+    """(node, root) of every node of the edges (a, b); the root is the smallest node connected.
+
+    Nodes are merged with the first of their neighbours in a random order, and edges between the merged
+    nodes are all that is left for the next round, so edges become few quickly.
+    """
+    node = lambda c: F.struct(F.xxhash64(c).alias("place"), F.col(c).alias("id"))
+
+    def open_edges(df: DataFrame) -> DataFrame:
+        """Edges between different nodes, each once."""
+        return df.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    left = steps.keep(open_edges(edges.select(node("a").alias("a"), node("b").alias("b"))), "edges-0")
+    roots = steps.keep(left.select("a").union(left.select("b")).distinct().select(F.col("a").alias("node"), F.col("a").alias("root")), "roots-0")
     for i in range(1, ROUNDS + 1):
-        far = roots.select(F.col("node").alias("other"), F.col("root").alias("far"))
-        least = both.join(far, "other").groupBy("node").agg(F.min("far").alias("far"))
-        hooked = roots.join(least, "node").select("node", F.col("root").alias("before"), F.least("root", "far").alias("root"))
-        jump = hooked.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        # A root is itself a node, so every row finds its next root.
-        moved = steps.keep(hooked.join(jump, "root").select("node", "before", F.col("next").alias("root")), f"roots-{i}")
-        roots = moved.select("node", "root")
-        if moved.where(F.col("root") != F.col("before")).isEmpty():
-            return roots
-    raise RuntimeError(f"components are not done after {ROUNDS} rounds")
+        if left.isEmpty():
+            break
+        both = left.select(F.col("a").alias("node"), F.col("b").alias("other")).union(left.select("b", "a"))
+        first = both.groupBy("node").agg(F.least("node", F.min("other")).alias("up"))
+        # A node's first neighbour has one itself: two steps at once.
+        next_up = first.select(F.col("node").alias("up"), F.col("up").alias("upper"))
+        ups = steps.keep(first.join(next_up, "up").select("node", F.col("upper").alias("up")), f"ups-{i}")
+        moved = left
+        for end in ("a", "b"):
+            moved = moved.join(ups.withColumnsRenamed({"node": end, "up": f"{end}_up"}), end)
+        left = steps.keep(open_edges(moved.select(F.col("a_up").alias("a"), F.col("b_up").alias("b"))), f"edges-{i}")
+        higher = roots.join(ups.withColumnsRenamed({"node": "root"}), "root", "left")
+        roots = steps.keep(higher.select("node", F.coalesce("up", "root").alias("root")), f"roots-{i}")
+    else:
+        raise RuntimeError(f"components are not done after {ROUNDS} rounds")
+    smallest = roots.groupBy("root").agg(F.min("node.id").alias("smallest"))
+    return roots.join(smallest, "root").select(F.col("node.id").alias("node"), F.col("smallest").alias("root"))
 
 
 def similar_classes(
