@@ -8,7 +8,19 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beneflow.llm import decontamination, exact_top_k, jaccard_join, mixing, oracle, packing, rule_ensemble, secret_scan, toxicity, url_templates, zip_warc
+from beneflow.llm import (
+    decontamination,
+    exact_top_k,
+    jaccard_join,
+    mixing,
+    oracle,
+    packing,
+    rule_ensemble,
+    secret_scan,
+    toxicity,
+    url_templates,
+    zip_warc,
+)
 from beneflow.llm.frames import held_out, table
 from beneflow.session import shared_folder
 
