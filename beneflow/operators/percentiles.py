@@ -16,8 +16,8 @@ BANDS_PER_DOUBLING = 1024
 
 
 def _band(units: Column) -> Column:
-    """Number of a value's band; it never falls as the value grows."""
-    size = F.floor(F.log2(F.abs(units) + F.lit(1)) * BANDS_PER_DOUBLING)
+    """Number of a value's band; it never falls as the value grows, and is never NULL (see ``_units``)."""
+    size = F.coalesce(F.floor(F.log2(F.abs(units) + F.lit(1)) * BANDS_PER_DOUBLING), F.lit(0))
     return F.when(units < 0, -size).otherwise(size)
 
 
