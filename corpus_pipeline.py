@@ -1,7 +1,7 @@
 """A training-data pipeline over ``documents``: five stages, each written as Parquet and read by the next.
 
 1. toxicity: documents that the classifier rejects go
-2. near duplicates: of documents connected by similar shingle sets, the one with the smallest id stays
+2. near duplicates: of documents connected by similar sets of five-word shingles, the one with the smallest id stays
 3. decontamination: documents with benchmark passages go
 4. mixing: documents are repeated, cut or left out so that sources meet their target weights
 5. packing: token ids of what is left, in matrices
@@ -24,7 +24,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard_join.one_of_each(docs)
+    """Five words and 0.8; the query on the join has parameters of its own."""
+    return jaccard_join.one_of_each(docs, size=5, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

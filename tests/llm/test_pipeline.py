@@ -1,3 +1,5 @@
+from collections import Counter, defaultdict
+
 import numpy as np
 import pytest
 
@@ -48,6 +50,31 @@ def test_near_duplicates(stages):
     assert ids(after) == sorted(set(classes.values())) and len(ids(after)) < len(classes)
 
 
+def test_near_duplicates_of_five_words(stages):
+    """Pairs by their shingle sets, five words and 0.8."""
+    before, after = stages["near_duplicates"]
+    sets, holders, group = {}, defaultdict(list), {}
+    for row in before.select("doc_id", "text").collect():
+        w = "".join(" " if c in "\t\n\x0b\x0c\r" else c for c in row.text or "").split(" ")
+        w = [x.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")) for x in w if x]
+        sets[row.doc_id] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    def root(i):
+        while group.get(i, i) != i:
+            i = group[i]
+        return i
+
+    for i in sorted(sets):
+        shared = Counter(j for s in sets[i] for j in holders[s])
+        for j, n in shared.items():
+            if 5 * n >= 4 * (len(sets[i]) + len(sets[j]) - n):
+                a, b = root(i), root(j)
+                group[max(a, b)] = min(a, b)
+        for s in sets[i]:
+            holders[s].append(i)
+    assert ids(after) == [i for i in sorted(sets) if root(i) == i]
+
+
 def test_decontamination(spark, folder, stages):
     before, after = stages["decontamination"]
     found = decontamination.digest(decontamination.find_benchmark(before, spark.read.parquet(f"{folder}/benchmark.parquet")))
