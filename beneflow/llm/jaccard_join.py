@@ -174,7 +174,8 @@ def visits(members: DataFrame, percent: int, steps: Steps) -> DataFrame:
     """
     rows = members.select("cls", "n", *GROUP, F.explode("tokens").alias("t")).select("cls", "n", *GROUP, "t.pos", "t.token")
     n = F.col("n")
-    matrix = rows.where(F.col("pos") < n - least_overlap(n, n, percent) + SHARED).groupBy("token", *GROUP).agg(
+    looked_up = F.col("pos") < n - least_overlap(n, n, percent) + SHARED
+    matrix = rows.where(looked_up).groupBy("token", *GROUP).agg(
         F.min("pos").alias("first"), F.min("n").alias("n_low"), F.max("n").alias("n_high"), F.count("*").alias("having")
     )
     least = F.greatest(F.col("n_low"), F.ceil(n * percent / 100))
@@ -186,7 +187,8 @@ def visits(members: DataFrame, percent: int, steps: Steps) -> DataFrame:
         (least <= most)
         & (F.col("pos") < n - least_overlap(n, least, percent) + SHARED)
         & (F.col("first") < most - least_overlap(n, most, percent) + SHARED)
-        & ~(own & (F.col("having") == 1))
+        # A class does not visit its own group for a token that only it is looked up by there.
+        & ~(own & (F.col("having") == 1) & looked_up)
     )
     found = rows.alias("q").join(steps.keep(matrix, "token-groups").alias("m"), (F.col("q.token") == F.col("m.token")) & may_link)
     needed = F.least(F.lit(SHARED), F.min(least_overlap(n, least, percent)))
@@ -239,16 +241,18 @@ class Forest:
         return a != b
 
 
-def open_group(members: list[tuple[int, np.ndarray]], visitors: list[tuple[int, np.ndarray]], percent: int) -> list[tuple[int, int]]:
-    """Links of visitors with members, as far as they connect anything new."""
+def open_group(
+    members: list[tuple[int, np.ndarray]], visitors: list[tuple[int, np.ndarray]], percent: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, new): links of visitors a with members b of a smaller size or hash; whether one connects anything new."""
     sizes = np.array([len(s) for _, s in members])
-    names = np.array([c for c, _ in members])
+    names = np.array([c for c, _ in members], dtype=np.int64)
     flat, owner = np.concatenate([s for _, s in members]), np.repeat(np.arange(len(members)), sizes)
     order = np.argsort(flat, kind="stable")
     flat, owner = flat[order], owner[order]
     union, begin = np.unique(flat, return_index=True)
     many = np.diff(np.append(begin, len(flat)))
-    forest, links = Forest(), []
+    forest, a, b, new = Forest(), [], [], []
     for cls, tokens in visitors:
         at = np.minimum(np.searchsorted(union, tokens), len(union) - 1)
         at = at[union[at] == tokens]
@@ -258,15 +262,20 @@ def open_group(members: list[tuple[int, np.ndarray]], visitors: list[tuple[int,
         n = many[at]
         hits = owner[np.repeat(begin[at] - np.cumsum(n) + n, n) + np.arange(n.sum())]
         shared = np.bincount(hits, minlength=len(members))
-        similar = (100 * shared >= percent * (len(tokens) + sizes - shared)) & (names != cls)
-        links += [(cls, other) for other in names[similar].tolist() if forest.join(cls, other)]
-    return links
+        similar = 100 * shared >= percent * (len(tokens) + sizes - shared)
+        found = names[similar & ((sizes < len(tokens)) | (sizes == len(tokens)) & (names < cls))].tolist()
+        a += [cls] * len(found)
+        b += found
+        new += [forest.join(cls, other) for other in found]
+    return np.array(a, np.int64), np.array(b, np.int64), np.array(new, bool)
 
 
 def links(
-    texts: DataFrame, members: DataFrame, visiting: DataFrame, size: int, percent: int, steps: Steps
+    texts: DataFrame, members: DataFrame, visiting: DataFrame, size: int, percent: int, steps: Steps, every: bool = False
 ) -> DataFrame:
-    """(a, b): links between classes that connect all that any link connects."""
+    """(a, b, links): links between classes that connect all that any link connects, with 0, and (a, a) with
+    numbers of links that add up to those of a. ``every``: each link once instead, with 1.
+    """
     load = F.greatest(F.ceil(F.sum("n") / CHUNK_TOKENS), F.ceil(F.count("*") / CHUNK_VISITORS)).cast("int")
     chunks = steps.keep(visiting.groupBy(*GROUP).agg(load.alias("chunks")), "visited")
     inside = members.join(chunks, GROUP)
@@ -284,11 +293,16 @@ def links(
         sides: tuple[list, list] = ([], [])
         for cls, own, visits in zip(*(table.column(c) for c in ("cls", "set", "visits")), strict=True):
             sides[visits.as_py()].append((cls.as_py(), np.frombuffer(own.as_buffer(), np.uint64)))
-        found = open_group(*sides, percent) if all(sides) else []
-        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+        a, b, new = open_group(*sides, percent) if all(sides) else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))
+        counts = np.ones(len(a), np.int64)
+        if not every:
+            linked, counts = np.unique(np.concatenate([a, b]), return_counts=True)
+            a, b = np.concatenate([a[new], linked]), np.concatenate([b[new], linked])
+            counts = np.concatenate([np.zeros(new.sum(), np.int64), counts.astype(np.int64)])
+        return pa.table({"a": a, "b": b, "links": counts})
 
     seated = present.join(sets, "cls").select(*GROUP, "chunk", "cls", "visits", "set")
-    return seated.groupBy(*GROUP, "chunk").applyInArrow(make, "a bigint, b bigint")
+    return seated.groupBy(*GROUP, "chunk").applyInArrow(make, "a bigint, b bigint, links bigint")
 
 
 # --- 5. components ------------------------------------------------------------------------------
@@ -328,34 +342,71 @@ def components(edges: DataFrame, steps: Steps) -> DataFrame:
     return roots.join(smallest, "root").select(F.col("node.id").alias("node"), F.col("smallest").alias("root"))
 
 
-def similar_classes(
-    docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row."""
+def _linked(
+    docs: DataFrame, size: int, percent: int, doc_id: str, text: str, steps: Steps, every: bool = False
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Signatures of the rows, their classes with the smallest id, and the ``links``."""
     texts = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    steps = Steps(docs.sparkSession, "jaccard-join")
     signed = steps.keep(signatures(texts, token_ranks(texts, size), size, percent), "signatures")
     classes = steps.keep(
         signed.where(F.col("cls").isNotNull()).groupBy("cls", "n").agg(F.min("doc_id").alias("least"), F.first("prefix").alias("prefix")),
         "classes",
     )
-    rows = stored(signed.select("doc_id", "n", "cls"), "rows")
     members = steps.keep(grouped(classes, percent, steps), "members")
     visiting = steps.keep(visits(members, percent, steps), "visits")
-    found = steps.keep(links(texts, members, visiting, size, percent, steps), "links")
-    roots = components(found, steps)
+    return signed, classes, steps.keep(links(texts, members, visiting, size, percent, steps, every), "links")
+
+
+def similar_classes(
+    docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text", counts: bool = False
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row.
+
+    With ``counts`` also (class, n_links, component_links): the hash of its set, with how many other sets that
+    one is linked, and how many links its component has.
+    """
+    steps = Steps(docs.sparkSession, "jaccard-join")
+    signed, classes, found = _linked(docs, size, percent, doc_id, text, steps)
+    rows = stored(signed.select("doc_id", "n", "cls"), "rows")
+    roots = components(found.select("a", "b"), steps)
     linked = classes.select("cls", "least").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
     # The root stands for its class; classes without a link are their own.
     linked = linked.withColumn("root", F.coalesce("root", "cls"))
-    smallest = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    names = stored(linked.join(smallest, "root").select("cls", "component_id"), "names")
+    more = []
+    if counts:
+        each = found.where(F.col("a") == F.col("b")).groupBy(F.col("a").alias("cls")).agg(F.sum("links").alias("n_links"))
+        linked = linked.join(each, "cls", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("bigint")))
+        # Both ends have counted a link.
+        more = [(F.sum("n_links") / 2).cast("bigint").alias("component_links")]
+    smallest = linked.groupBy("root").agg(F.min("least").alias("component_id"), *more)
+    names = linked.join(smallest, "root").select("cls", "component_id", *(["n_links", "component_links"] if counts else []))
+    names = stored(names, "names")
     steps.drop()
+    none = F.lit(0).cast("bigint")
     return rows.join(names, "cls", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        *([F.col("cls").alias("class"), *(F.coalesce(c, none).alias(c) for c in ("n_links", "component_links"))] if counts else []),
     )
 
 
+def similar_pairs(
+    docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """(class_a, class_b, id_a, id_b): every link between different sets once, with the smallest id that holds each.
+
+    Rows belong to a class by ``class`` of ``similar_classes``. The links of a family grow with its square.
+    """
+    steps = Steps(docs.sparkSession, "jaccard-pairs")
+    _, classes, found = _linked(docs, size, percent, doc_id, text, steps, every=True)
+    pairs = found.select(F.col("a").alias("class_a"), F.col("b").alias("class_b"))
+    for end in ("a", "b"):
+        pairs = pairs.join(classes.select(F.col("cls").alias(f"class_{end}"), F.col("least").alias(f"id_{end}")), f"class_{end}")
+    pairs = stored(pairs.select("class_a", "class_b", "id_a", "id_b"), "pairs")
+    steps.drop()
+    return pairs
+
+
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """Rows, with all their columns, whose id is their class id; of rows repeating an id, one.
 

@@ -90,3 +90,32 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(1000, 999)], "a bigint, b bigint")
     roots = {r.node: r.root for r in J.components(edges, Steps(spark, "chain")).collect()}
     assert {roots[i] for i in range(201)} == {0} and roots[1000] == roots[999] == 999
+
+
+@pytest.mark.parametrize(("size", "percent", "small"), [(3, 90, False), (3, 90, True), (3, 60, True), (5, 80, True)])
+def test_all_links_and_their_counts(spark, monkeypatch, size, percent, small):
+    if small:
+        for name, value in (("GROUP_TOKENS", 500), ("GROUP_CLASSES", 5), ("CHUNK_TOKENS", 700), ("CHUNK_VISITORS", 6)):
+            monkeypatch.setattr(J, name, value)
+    rows = corpus()
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    least = {}
+    for doc_id, text, *_ in rows:
+        own = frozenset(shingle_set(text, size))
+        least[own] = min((i for i in (least.get(own), doc_id) if i is not None), default=None)
+    sets = [s for s in least if s]
+    expected = [(a, b) for i, a in enumerate(sets) for b in sets[:i] if 100 * len(a & b) >= percent * len(a | b)]
+    pairs = J.similar_pairs(df, size=size, percent=percent).collect()
+    assert len({frozenset((r.class_a, r.class_b)) for r in pairs}) == len(pairs)
+    in_order = lambda links: sorted((sorted(x, key=str) for x in links), key=str)
+    assert in_order((r.id_a, r.id_b) for r in pairs) == in_order((least[a], least[b]) for a, b in expected)
+
+    of_set = {s: sum(s in link for link in expected) for s in least}
+    found = J.similar_classes(df, size=size, percent=percent, counts=True).collect()
+    assert sorted(((r.doc_id, r.n_links) for r in found), key=str) == sorted(
+        ((r[0], of_set[frozenset(shingle_set(r[1], size))]) for r in rows), key=str
+    )
+    of_component = {}
+    for links, own in {r["class"]: (r.component_links, r) for r in found if r["class"] is not None}.values():
+        of_component.setdefault((own.component_id, links), []).append(own.n_links)
+    assert all(sum(own) == 2 * links for (_, links), own in of_component.items())
