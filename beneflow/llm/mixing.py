@@ -7,6 +7,10 @@ its seats in the same way by their words, so each shard has an integer quota. A
 once for each full round; the rest are blocks that follow each other from a seeded start. As the order of
 the documents is seeded itself, that is a random choice of documents, and at most four are cut.
 
+Shards with hardly a block would miss their share by far, as a seat is a block there, however few words it
+has. So a source with fewer than ``FEW_BLOCKS`` blocks a shard on average is one shard, its blocks and seats
+are single words, and the other sources share the words that those sources leave.
+
 Targets share the size of all sources by weight; one stops at ``max_repeats`` times its source's words,
 and what is left over is shared again by weight until none is above. Weights repeat over the sources in
 code point order, a null source last.
@@ -38,6 +42,8 @@ MAX_REPEATS = 3
 MAX_SOURCES = 100_000
 BLOCK_WORDS = 64
 SHARDS = 16
+# Blocks a shard, below which a source is dealt by single words.
+FEW_BLOCKS = 2
 BUCKET_WORDS = 50_000
 SEED = 17
 
@@ -110,11 +116,25 @@ class Quota:
     ranges: list[tuple[int, int]]
 
 
-def quotas(shard_words: list[list[int]], aims: list[float], block: int, most: int, seed: int) -> list[Quota]:
-    """Seats to sources, then to each source's shards, then blocks."""
-    blocks = [[max(1, (2 * w + block) // (2 * block)) if w else 0 for w in shards] for shards in shard_words]
-    seats = (2 * sum(map(sum, shard_words)) + block) // (2 * block)
-    by_source = sainte_lague(aims, seats, [most * sum(b) for b in blocks])
+def is_small(size: int, block: int, shards: int) -> bool:
+    return size < FEW_BLOCKS * block * shards
+
+
+def quotas(
+    shard_words: list[list[int]], aims: list[float], small: list[bool], block: int, most: int, seed: int
+) -> list[Quota]:
+    """Seats to sources, then to each source's shards, then blocks. A small source's words are all in its first shard."""
+    blocks = [
+        list(shards) if few else [max(1, (2 * w + block) // (2 * block)) if w else 0 for w in shards]
+        for shards, few in zip(shard_words, small, strict=True)
+    ]
+    full = [most * sum(b) for b in blocks]
+    # A word a seat for the small ones; what they take is not there for the others.
+    by_word = [aim if few else 0.0 for aim, few in zip(aims, small, strict=True)]
+    by_block = [0.0 if few else aim for aim, few in zip(aims, small, strict=True)]
+    words_given = sainte_lague(by_word, int(sum(by_word) + 0.5), full)
+    seats = (2 * (sum(map(sum, shard_words)) - sum(words_given)) + block) // (2 * block)
+    by_source = [w + b for w, b in zip(words_given, sainte_lague(by_block, seats, full), strict=True)]
     out = []
     for source, (shards, own, seats) in enumerate(zip(shard_words, blocks, by_source, strict=True)):
         given = sainte_lague([float(w) for w in shards], seats, [most * b for b in own])
@@ -163,15 +183,17 @@ def plan(
     sizes = [r.size for r in rows]
     aims = targets(sizes, weights, max_repeats)
     subs = [max(1, -(-size // (shards * bucket_words))) for size in sizes]
+    small = [is_small(size, block_words, shards) for size in sizes]
     # One row for each source: bounded by MAX_SOURCES.
     sources = F.broadcast(spark.createDataFrame(
-        [(i, r.source, size, aim, sub) for i, (r, size, aim, sub) in enumerate(zip(rows, sizes, aims, subs, strict=True))],
-        "src int, name string, source_size bigint, target double, sub bigint",
+        [(i, r.source, size, aim, sub, 1 if few else shards)
+         for i, (r, size, aim, sub, few) in enumerate(zip(rows, sizes, aims, subs, small, strict=True))],
+        "src int, name string, source_size bigint, target double, sub bigint, own_shards int",
     ))
 
     def placed(rows: DataFrame) -> DataFrame:
         known = rows.join(sources, F.col("source").eqNullSafe(F.col("name")))
-        return known.withColumn("bucket", spread % (F.col("sub") * shards))
+        return known.withColumn("bucket", spread % (F.col("sub") * F.col("own_shards")))
 
     buckets = placed(narrow).groupBy("src", "bucket").agg(
         F.sum("size").alias("words"), F.first((F.col("bucket") / F.col("sub")).cast("int")).alias("shard")
@@ -181,7 +203,7 @@ def plan(
     shard_words = [[0] * shards for _ in rows]
     for r in totals:
         shard_words[r.src][r.shard] = r.words
-    given = quotas(shard_words, aims, block_words, max_repeats, seed)
+    given = quotas(shard_words, aims, small, block_words, max_repeats, seed)
     # One row for each source and shard.
     given = F.broadcast(spark.createDataFrame(
         [(q.source, q.shard, q.rounds, [list(r) for r in q.ranges]) for q in given],

@@ -85,3 +85,20 @@ def test_too_many_sources(spark, monkeypatch):
     df = spark.createDataFrame([(i, "a", str(i), "", 1, 1) for i in range(5)], SCHEMA)
     with pytest.raises(ValueError):
         M.plan(df)
+
+
+def test_small_sources_meet_their_targets(spark):
+    """With the parameters of the query: sources of 50 to 2,000 words beside large ones."""
+    sizes = {"a": 50, "b": 200, "c": 600, "d": 1000, "e": 2000, "f": 30_000, "g": 40_000, "h": 3}
+    docs = []
+    for source, size in sizes.items():
+        each = 1 if size < 10 else 10 if size <= 2000 else 100
+        docs += [(len(docs) + i, " ".join(["w"] * each), source, None, None, None) for i in range(size // each)]
+    by_source = {}
+    for r in M.plan(spark.createDataFrame(docs, SCHEMA)).collect():
+        own = by_source.setdefault(r.source_size, [0, r.target])
+        own[0] += r.taken
+        assert 0 <= r.taken <= 3 * r.size
+    for size, (taken, target) in by_source.items():
+        assert abs(taken - target) <= (1 if size <= 2000 else 64 + 0.01 * target), (size, taken, target)
+    assert sum(taken for taken, _ in by_source.values()) == pytest.approx(sum(sizes.values()), abs=100)
