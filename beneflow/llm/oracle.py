@@ -122,6 +122,89 @@ SELECT doc_id, size, source_size, target,
 FROM ends LEFT JOIN ranges USING (src, shard)
 """
 
+# The checksum bit by bit over a table of 256, as DuckDB has none. Two words of one length are near if they are
+# equal without the same place; of lengths that differ by one, if the longer without some place is the shorter.
+SPELLING = r"""
+WITH RECURSIVE bits AS (
+    SELECT b AS byte, 0 AS round, b::BIGINT AS c FROM range(256) AS t(b)
+    UNION ALL
+    SELECT byte, round + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END FROM bits WHERE round < 8
+), crc AS (
+    SELECT list(c ORDER BY byte) AS codes FROM bits WHERE round = 8
+), runs AS (
+    SELECT doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run
+    FROM documents
+), counted AS (
+    SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 5 GROUP BY ALL
+), hashed AS (
+    SELECT run, n, xor(4294967295::BIGINT, list_reduce(
+        list_concat([4294967295::BIGINT], list_transform(
+            range(1, strlen(hex(concat(doc_id, ':', run))) // 2 + 1),
+            lambda i: ('0x' || substr(hex(concat(doc_id, ':', run)), 2 * i - 1, 2))::BIGINT)),
+        lambda c, b: xor(c >> 8, codes[(xor(c, b) & 255) + 1]))) AS h
+    FROM counted, crc
+), typed AS (
+    SELECT CASE WHEN h % 97 = 0 THEN concat(substr(run, 1, h % length(run)), substr(run, h % length(run) + 2)) ELSE run END AS word, n
+    FROM hashed
+), known AS (
+    SELECT word, sum(n)::BIGINT AS n FROM typed WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), without AS (
+    SELECT word, n, i, concat(substr(word, 1, i - 1), substr(word, i + 1)) AS rest
+    FROM known, unnest(range(1, length(word) + 1)) AS t(i)
+), near AS (
+    SELECT a.word, b.word AS near, b.n FROM without a JOIN without b USING (i, rest) WHERE a.word <> b.word
+    UNION SELECT w.word, k.word, k.n FROM without w JOIN known k ON k.word = w.rest
+    UNION SELECT k.word, w.word, w.n FROM without w JOIN known k ON k.word = w.rest
+), chosen AS (
+    SELECT word, near, n, row_number() OVER (PARTITION BY word ORDER BY n DESC, near) AS place,
+           count(*) OVER (PARTITION BY word) AS n_near
+    FROM near
+), formed AS (
+    SELECT k.word, k.n, coalesce(c.n_near, 0)::BIGINT AS n_near, CASE WHEN c.n >= 2 * k.n THEN c.near END AS form,
+           CASE WHEN c.n >= 2 * k.n THEN c.n END::BIGINT AS form_n
+    FROM known k LEFT JOIN chosen c ON c.word = k.word AND c.place = 1
+), walked AS (
+    SELECT word, word AS root, form AS ahead FROM formed
+    UNION ALL
+    SELECT w.word, f.word, f.form FROM walked w JOIN formed f ON f.word = w.ahead
+)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN (SELECT word, root FROM walked WHERE ahead IS NULL) USING (word)
+"""
+
+PHRASES = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+    FROM documents, unnest(string_split_regex(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS t(piece)
+), totals AS (
+    SELECT lang, sum(len(w))::HUGEINT AS n FROM pieces GROUP BY lang
+), frequent AS (
+    SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase, count(*)::HUGEINT AS a
+    FROM pieces, unnest(range(1, 6)) AS t(k), unnest(range(1, len(w) - k + 2)) AS s(i)
+    GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+    SELECT lang, phrase, a, cut, array_to_string(list_slice(string_split(phrase, ' '), 1, cut), ' ') AS head,
+           array_to_string(list_slice(string_split(phrase, ' '), cut + 1, k), ' ') AS tail
+    FROM frequent, unnest(range(1, k)) AS t(cut)
+), scored AS (
+    SELECT c.lang, c.phrase, c.a, h.a AS l, t.a AS r, n, (1000::HUGEINT * c.a * n) // (h.a * t.a) AS score,
+           row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY (1000::HUGEINT * c.a * n) // (h.a * t.a), cut) AS place
+    FROM cuts c JOIN frequent h ON h.lang = c.lang AND h.phrase = c.head
+    JOIN frequent t ON t.lang = c.lang AND t.phrase = c.tail JOIN totals ON totals.lang = c.lang
+), inner_parts AS (
+    SELECT lang, array_to_string(list_slice(string_split(phrase, ' '), i, i + m - 1), ' ') AS phrase, max(a) AS most
+    FROM frequent, unnest(range(2, k)) AS t(m), unnest(range(1, k - m + 2)) AS s(i) GROUP BY ALL
+), kept AS (
+    SELECT s.* FROM scored s LEFT JOIN inner_parts p ON p.lang = s.lang AND p.phrase = s.phrase
+    WHERE place = 1 AND (most IS NULL OR 100 * most < 100 * a)
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+"""
+
 
 def _url_templates(depth: int = 4) -> str:
     """The tree level by level: CTE ``level<d>`` holds the shapes with their first d template segments."""

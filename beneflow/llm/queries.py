@@ -5,18 +5,22 @@ from __future__ import annotations
 import os
 from functools import wraps
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beneflow.llm import (
+    byte_pairs,
     decontamination,
     exact_top_k,
     jaccard_join,
     mixing,
     oracle,
     packing,
+    phrases,
     rule_ensemble,
     secret_scan,
+    spelling,
     toxicity,
     url_templates,
     zip_warc,
@@ -78,6 +82,18 @@ def op10_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find_secrets(table(spark, sf, "documents")))
 
 
+def op11_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf, "documents"))
+
+
+def op12_byte_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return byte_pairs.digests(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op13_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.mine(table(spark, sf, "documents"))
+
+
 def on_workers(query):
     """Python workers import this package from the folder the driver imports it from, beside their own path."""
 
@@ -94,7 +110,7 @@ def on_workers(query):
 
 QUERIES = {
     query.__name__: on_workers(query)
-    for query in (op1_toxicity, op2_decontamination, op3_url_templates, op4_packing, op5_rule_ensemble, op6_exact_top_k, op7_zip_warc, op8_jaccard_join, op9_mixing, op10_secrets)
+    for query in (op1_toxicity, op2_decontamination, op3_url_templates, op4_packing, op5_rule_ensemble, op6_exact_top_k, op7_zip_warc, op8_jaccard_join, op9_mixing, op10_secrets, op11_spelling, op12_byte_pairs, op13_phrases)
 }
 
 ORACLE = {
@@ -104,4 +120,6 @@ ORACLE = {
     "op7_zip_warc": oracle.ZIP_WARC,
     "op8_jaccard_join": oracle.JACCARD_JOIN,
     "op9_mixing": oracle.MIXING,
+    "op11_spelling": oracle.SPELLING,
+    "op13_phrases": oracle.PHRASES,
 }
