@@ -1,13 +1,15 @@
 """Collocations: phrases of two to five words that occur often and more often than their parts let expect.
 
-Phrases are mined by SON partitioning, in three passes over the texts:
-
-1. words are counted per language, which gives every shard its share of the corpus;
-2. each shard, some millions of words read by one task, is mined completely, level by level, at the global
-   support lowered to its share: a phrase that occurs ``support`` times must reach that in some shard. The
-   union of what the shards find holds every frequent phrase;
-3. all occurrences of the union's phrases are counted exactly. What a task looks up is a Bloom filter of
-   the union, of a bounded size; what it lets through by chance is counted as exactly and falls below the
+Phrases are mined by SON partitioning. Read splits are dealt over ``SHARDS`` shards, and a shard may be as many
+tasks as it needs, so its share of the support does not sink as the corpus grows:
+
+1. Each shard is mined completely, at the global support lowered to its share of all words: a phrase that
+   occurs ``support`` times must reach that in some shard. Words are counted first, which gives the shares;
+   then pairs of words, then longer phrases, each only where both its parts are candidates already.
+2. The union of what the shards find holds every frequent phrase. Where a shard did not find a phrase, it has
+   at most one less than its share; what cannot reach the support even so is left out of the union.
+3. All occurrences of the union's phrases are counted exactly. What a task looks up is a Bloom filter of the
+   union, of a bounded size; what that lets through by chance is counted as exactly and falls below the
    support like any other false candidate.
 
 Counts are joined and summed by language and words, never by hash. All that follows, cuts, scores and
@@ -22,17 +24,19 @@ An empty table has no phrases. Other columns do not matter, whatever their names
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from beneflow.llm.frames import Steps
-from beneflow.llm.words import _classes, mix, slices, utf8, words
+from beneflow.llm.words import _classes, mix, slices, words
 
 # Fixed values of the splitting rule.
 PIECE_SIGNS = (*b".,;:!?", *range(10, 14))
@@ -42,8 +46,10 @@ UNKNOWN_LANG = "und"
 LONGEST = 5
 SUPPORT = 100
 BEST = 2000
-# Words of a shard; a task's last one may have up to twice as many.
-SHARD_WORDS = 3_000_000
+SHARDS = 10
+# Words a task counts at a time, up to twice as many at last; phrases written at a time.
+RUN_WORDS = 2_000_000
+WRITTEN = 1 << 15
 # Bits of the filter for each candidate, and bits at most (64 MB).
 BITS_EACH = 16
 MOST_BITS = 1 << 29
@@ -58,13 +64,17 @@ class Run:
     hashes: np.ndarray
     new_piece: np.ndarray
     lang: np.ndarray  # number in ``langs``
-    start: np.ndarray  # in ``data``, end exclusive
+    start: np.ndarray  # in ``data``, end exclusive; empty where texts are not needed
     end: np.ndarray
     data: np.ndarray
     langs: list[str]
 
+    def cut(self, lo: int, hi: int) -> Run:
+        own = slice(lo, hi)
+        return Run(self.hashes[own], self.new_piece[own], self.lang[own], self.start[own], self.end[own], self.data, self.langs)
 
-def _of_slice(part: pa.RecordBatch, langs: dict[str, int]) -> Run:
+
+def _of_slice(part: pa.RecordBatch, langs: dict[str, int], with_text: bool) -> Run:
     found = words(part.column("text"), _WORDS)
     names = part.column("lang").to_pylist()
     own = np.array([langs.setdefault(name, len(langs)) for name in names], dtype=np.int32)
@@ -77,7 +87,8 @@ def _of_slice(part: pa.RecordBatch, langs: dict[str, int]) -> Run:
     new[found.first[:-1][found.counts > 0]] = True
     salt = _lang_hashes(list(langs))
     hashes = mix(found.hashes ^ salt[lang]) if len(lang) else found.hashes
-    return Run(hashes, new, lang, found.starts, found.ends, found.data, list(langs))
+    text = (found.starts, found.ends, found.data) if with_text else [np.zeros(0, np.uint8)] * 3
+    return Run(hashes, new, lang, *text, list(langs))
 
 
 def _lang_hashes(langs: list[str]) -> np.ndarray:
@@ -87,23 +98,24 @@ def _lang_hashes(langs: list[str]) -> np.ndarray:
 
 def _joined(runs: list[Run]) -> Run:
     shift = np.cumsum([0, *(len(r.data) for r in runs)])
+    place = np.int32 if shift[-1] < 1 << 31 else np.int64
     cat = lambda get: np.concatenate([get(r) for r in runs])
     return Run(
         cat(lambda r: r.hashes), cat(lambda r: r.new_piece), cat(lambda r: r.lang),
-        np.concatenate([r.start + s for r, s in zip(runs, shift, strict=False)]),
-        np.concatenate([r.end + s for r, s in zip(runs, shift, strict=False)]),
+        np.concatenate([(r.start + s).astype(place) for r, s in zip(runs, shift, strict=False)]),
+        np.concatenate([(r.end + s).astype(place) for r, s in zip(runs, shift, strict=False)]),
         cat(lambda r: r.data), runs[-1].langs,
     )
 
 
-def _shards(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[Run, int]]:
+def _runs(batches: Iterator[pa.RecordBatch], most: int, with_text: bool) -> Iterator[tuple[Run, int]]:
     """Runs of ``most`` words or more, fewer only if the whole task has fewer; each with how many of its last
     words only continue phrases and begin none, as they begin the next run."""
     langs: dict[str, int] = {}
     waiting: list[Run] = []
     for batch in batches:
         for part in slices(batch):
-            waiting.append(_of_slice(part, langs))
+            waiting.append(_of_slice(part, langs, with_text))
             ends = np.cumsum([len(run.hashes) for run in waiting])
             if ends[-1] >= 2 * most:
                 # Slices hold whole texts, so a run ends where a text ends; what is left makes a whole run too.
@@ -121,16 +133,14 @@ def _bounded(run: Run, most: int) -> Iterator[tuple[Run, int]]:
     for at in range(parts):
         lo, hi = at * n // parts, (at + 1) * n // parts
         to = min(n, hi + LONGEST - 1)
-        cut = slice(lo, to)
-        part = Run(run.hashes[cut], run.new_piece[cut], run.lang[cut], run.start[cut], run.end[cut], run.data, run.langs)
-        yield part, to - hi
+        yield run.cut(lo, to), to - hi
 
 
 def _levels(run: Run, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For every length: the places where a phrase of it may begin, and its hash there. After each, the
     consumer sends which of these are kept; longer phrases begin only where both parts were kept."""
     n = len(run.hashes)
-    places, hashes = np.arange(n), run.hashes
+    places, hashes = np.arange(n, dtype=np.int32), run.hashes
     for length in range(1, longest + 1):
         kept = yield length, places, hashes
         if length == longest:
@@ -145,65 +155,59 @@ def _levels(run: Run, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarra
         hashes = mix(hashes[more] * np.uint64(0xD1B54A32D192ED03) + run.hashes[last])
 
 
-def _counted(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct hashes, a place of each, number of each, which of them every place has)"""
+def _counted(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct hashes, a place of each, number of each)"""
     order = np.argsort(hashes, kind="stable")
     ordered = hashes[order]
     new = np.ones(len(ordered), dtype=bool)
     new[1:] = ordered[1:] != ordered[:-1]
     first = np.flatnonzero(new)
-    which = np.empty(len(hashes), dtype=np.int64)
-    which[order] = np.cumsum(new) - 1
-    return ordered[first], order[first], np.diff(np.append(first, len(hashes))), which
+    return ordered[first], order[first], np.diff(np.append(first, len(hashes)))
 
 
-def word_totals(docs: DataFrame) -> DataFrame:
-    """lang, n: occurrences of all words."""
+def shard_counts(docs: DataFrame, known: np.ndarray | None, lengths: range, longest: int) -> DataFrame:
+    """shard, lang, hash, n: of phrases of these lengths whose shorter parts are all known.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[str, int] = {}
-        for batch in batches:
-            for part in slices(batch):
-                # A word's first byte follows a separator or the text's beginning.
-                data, offsets = utf8(part.column("text"))
-                inside = _WORDS[0][data]
-                begin = inside.copy()
-                begin[1:] &= ~inside[:-1]
-                texts = offsets[:-1][offsets[1:] > offsets[:-1]]
-                begin[texts] = inside[texts]
-                before = np.concatenate([[0], np.cumsum(begin, dtype=np.int64)])
-                for lang, n in zip(part.column("lang").to_pylist(), np.diff(before[offsets]).tolist(), strict=True):
-                    totals[lang] = totals.get(lang, 0) + n
-        yield pa.RecordBatch.from_pydict(
-            {"lang": pa.array(list(totals), pa.string()), "n": pa.array(list(totals.values()), pa.int64())}
-        )
-
-    return docs.mapInArrow(run, "lang string, n bigint").groupBy("lang").agg(F.sum("n").alias("n"))
-
-
-def local_phrases(docs: DataFrame, totals: dict[str, int], support: int, longest: int, shard_words: int) -> DataFrame:
-    """hash: of phrases that are frequent in some shard at its share of the support."""
+    Without ``known`` every word counts. The language is told for words only.
+    """
+    sent = None if known is None else docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, bridge in _shards(batches, shard_words):
-            own = np.bincount(shard.lang[: len(shard.lang) - bridge], minlength=len(shard.langs))
-            whole = np.array([totals[lang] for lang in shard.langs], dtype=np.float64)
-            # The least whole number that is not below support x share; a float below it is harmless.
-            least = np.ceil(support * own / np.maximum(whole, 1) - 1e-6)
-            levels = _levels(shard, longest)
+        shard = TaskContext.get().partitionId() % SHARDS
+        for words_run, bridge in _runs(batches, RUN_WORDS, False):
+            own, names = len(words_run.hashes) - bridge, np.array(words_run.langs, dtype=object)
+            levels = _levels(words_run, min(longest, lengths[-1]))
             step = next(levels, None)
             while step is not None:
-                _, places, hashes = step
-                found, at, counts, which = _counted(hashes)
-                frequent = counts >= least[shard.lang[places[at]]]
-                if frequent.any():
-                    yield pa.RecordBatch.from_pydict({"hash": found[frequent].view(np.int64)})
+                length, places, hashes = step
+                if length in lengths:
+                    # Phrases that begin in the bridge are counted with the next run.
+                    found, at, counts = _counted(hashes[places < own])
+                    langs = names[words_run.lang[places[at]]] if length == 1 else np.full(len(found), None)
+                    yield pa.RecordBatch.from_pydict({
+                        "shard": pa.array(np.full(len(found), shard, np.int32)), "lang": pa.array(langs, pa.string()),
+                        "hash": found.view(np.int64), "n": pa.array(counts.astype(np.int64)),
+                    })
+                    kept = np.ones(len(places), dtype=bool)
+                else:
+                    kept = _holds(sent.value, hashes)
                 try:
-                    step = levels.send(frequent[which])
+                    step = levels.send(kept)
                 except StopIteration:
                     step = None
 
-    return docs.mapInArrow(run, "hash bigint").distinct()
+    return docs.mapInArrow(run, "shard int, lang string, hash bigint, n bigint")
+
+
+def union_of_shards(counted: DataFrame, share: list[float], support: int) -> DataFrame:
+    """hash: of phrases that some shard finds at its share of the support, and that may reach it as a whole."""
+    # The least whole number that is not below the share; a float below it does no harm.
+    least = [max(1, math.ceil(s - 1e-6)) for s in share]
+    own = F.element_at(F.array(*map(F.lit, least)), F.col("shard") + 1)
+    missed = sum(n - 1 for n in least)
+    found = counted.groupBy("shard", "hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= own)
+    above = found.groupBy("hash").agg(F.sum(F.col("n") - own + 1).alias("above"))
+    return above.filter(F.col("above") + missed >= support).select("hash")
 
 
 def bloom_bits(candidates: int) -> int:
@@ -246,15 +250,16 @@ def _holds(bloom: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return kept
 
 
-def phrase_counts(docs: DataFrame, bloom: np.ndarray, support: int, longest: int, shard_words: int) -> DataFrame:
+def phrase_counts(docs: DataFrame, bloom: np.ndarray, support: int, longest: int) -> DataFrame:
     """lang, phrase, words, a: all phrases that occur ``support`` times or more, single words too."""
     sent = docs.sparkSession.sparkContext.broadcast(bloom)
     fold = _WORDS[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, bridge in _shards(batches, shard_words):
-            data = None
+        for shard, bridge in _runs(batches, RUN_WORDS, True):
+            data = fold[shard.data].tobytes()
             own = len(shard.hashes) - bridge
+            names = np.array(shard.langs, dtype=object)
             levels = _levels(shard, longest)
             step = next(levels, None)
             while step is not None:
@@ -262,24 +267,19 @@ def phrase_counts(docs: DataFrame, bloom: np.ndarray, support: int, longest: int
                 kept = _holds(sent.value, hashes)
                 # Phrases that begin in the bridge are counted with the next run.
                 begins = kept & (places < own)
-                _, at, counts, _ = _counted(hashes[begins])
-                if len(at):
-                    data = fold[shard.data].tobytes() if data is None else data
-                    first = places[begins][at]
-                    spans = [
-                        (shard.start[first + i].tolist(), shard.end[first + i].tolist()) for i in range(length)
-                    ]
+                _, at, counts = _counted(hashes[begins])
+                first = places[begins][at]
+                for lo in range(0, len(first), WRITTEN):
+                    some = first[lo : lo + WRITTEN]
+                    spans = [(shard.start[some + i].tolist(), shard.end[some + i].tolist()) for i in range(length)]
                     texts = [[data[s:e] for s, e in zip(*span, strict=True)] for span in spans]
-                    phrases = texts[0] if length == 1 else list(map(b" ".join, zip(*texts, strict=True)))
-                    names = np.array(shard.langs, dtype=object)[shard.lang[first]]
-                    for lo in range(0, len(phrases), 1 << 16):
-                        part = slice(lo, lo + (1 << 16))
-                        yield pa.RecordBatch.from_pydict({
-                            "lang": pa.array(names[part], pa.string()),
-                            "phrase": pa.array(phrases[part], pa.binary()).cast(pa.string()),
-                            "words": pa.array(np.full(len(phrases[part]), length, np.int32)),
-                            "a": pa.array(counts[part].astype(np.int64)),
-                        })
+                    phrases = list(map(b" ".join, zip(*texts, strict=True)))
+                    yield pa.RecordBatch.from_pydict({
+                        "lang": pa.array(names[shard.lang[some]], pa.string()),
+                        "phrase": pa.array(phrases, pa.binary()).cast(pa.string()),
+                        "words": pa.array(np.full(len(some), length, np.int32)),
+                        "a": pa.array(counts[lo : lo + WRITTEN].astype(np.int64)),
+                    })
                 try:
                     step = levels.send(kept)
                 except StopIteration:
@@ -293,7 +293,6 @@ def frequent_phrases(
     docs: DataFrame,
     support: int = SUPPORT,
     longest: int = LONGEST,
-    shard_words: int = SHARD_WORDS,
     text: str = "text",
     lang: str = "lang",
     steps: Steps | None = None,
@@ -306,16 +305,19 @@ def frequent_phrases(
     chosen = docs.select(
         F.col(text).alias("text"), F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN_LANG)).alias("lang")
     )
-    totals = steps.keep(word_totals(chosen), "totals")
-    # One number per language.
-    known = {row["lang"]: row["n"] for row in totals.collect()}
-    # Small read splits share a shard, as a small shard's support rules little out.
-    shards = max(1, -(-sum(known.values()) // shard_words))
-    dealt = chosen.coalesce(shards)
-    union = steps.keep(local_phrases(dealt, known, support, longest, shard_words), "candidates")
+    counted = shard_counts(chosen, None, range(1, 2), longest)
+    counted = steps.keep(counted.groupBy("shard", "lang", "hash").agg(F.sum("n").alias("n")), "words")
+    totals = steps.keep(counted.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
+    # A number for each shard. Shares add up to the support, whatever the language.
+    own = {row["shard"]: row["n"] for row in counted.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
+    share = [support * own.get(i, 0) / max(1, sum(own.values())) for i in range(SHARDS)]
+    union = steps.keep(union_of_shards(counted, share, support), "union-1")
+    for lengths in (range(2, 3), range(3, longest + 1)):
+        if len(lengths) and lengths[0] <= longest:
+            longer = shard_counts(chosen, bloom_filter(union, bloom_bits(union.count())), lengths, longest)
+            union = union.union(steps.keep(union_of_shards(longer, share, support), f"union-{lengths[-1]}"))
     bloom = bloom_filter(union, bloom_bits(union.count()))
-    frequent = steps.keep(phrase_counts(dealt, bloom, support, longest, shard_words), "frequent")
-    return frequent, totals
+    return steps.keep(phrase_counts(chosen, bloom, support, longest), "frequent"), totals
 
 
 def collocations(frequent: DataFrame, totals: DataFrame) -> DataFrame:
