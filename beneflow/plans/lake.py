@@ -17,7 +17,7 @@ from beneflow.operators.layers import BRONZE_SCHEMA, to_bronze, to_silver
 from beneflow.operators.quality import reconcile
 from beneflow.session import shared_folder
 from beneflow.sinks.tables import record_run, replace_parts
-from beneflow.sources.deliveries import read_monthly_deliveries
+from beneflow.sources.deliveries import REJECTED, REJECTED_LINE, read_monthly_deliveries
 from beneflow.sources.tables import MONTH, read_table
 from beneflow.streaming.arrivals import on_arrivals
 
@@ -25,6 +25,7 @@ GOLD_TABLES = ("fat_uf", "fat_especie", "fat_banco", "kpis_nacionais")
 LANDING_SCHEMA = (
     ", ".join(f"`{header}` string" for header in fixed.LANDING_TO_BRONZE) + f", {MONTH} string"
 )
+QUARANTINE_SCHEMA = ", ".join(f"{name} string" for name in (*REJECTED, MONTH))
 
 
 @dataclass(frozen=True)
@@ -61,9 +62,15 @@ def _require_same(table: str, rows: int, source: str, source_rows: int) -> int:
 def run_landing(
     spark: SparkSession, deliveries: str, months: Sequence[str], lake: Lake, run_ts: str
 ) -> int:
-    """Delimited text -> Parquet text columns, one folder per month; all months in one job."""
-    landed = read_monthly_deliveries(spark, deliveries, months, list(fixed.LANDING_TO_BRONZE))
-    return _store(landed, lake, "landing", months, run_ts)
+    """Delimited text -> Parquet text columns, one folder per month; all months in one job. Rows for bronze.
+
+    Landing has a row for every line. A broken one has only its text, the reason and its file there, and is
+    in ``quarantine`` too, which is made from landing, so deliveries are read once.
+    """
+    landed = read_monthly_deliveries(spark, deliveries, months, list(fixed.LANDING_TO_BRONZE), rejected=True)
+    lines = _store(landed, lake, "landing", months, run_ts)
+    rejected = read_table(spark, lake.table("landing"), months, schema=QUARANTINE_SCHEMA)
+    return lines - _store(rejected.where(F.col(REJECTED_LINE).isNotNull()), lake, "quarantine", months, run_ts)
 
 
 def _read_months(
@@ -73,13 +80,14 @@ def _read_months(
     folders = [f"{path}/{MONTH}={month}" for month in months]
     found = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(*folders)
     known = set(spark.createDataFrame([], schema).columns)
-    extra = [name for name in found.columns if name not in known]
+    extra = [name for name in found.columns if name not in known and name not in REJECTED]
     named = ", ".join([*[f"`{name.replace('`', '``')}` string" for name in extra], schema])
     return read_table(spark, path, months, schema=named), extra
 
 
 def run_bronze(spark: SparkSession, months: Sequence[str], lake: Lake, run_ts: str) -> int:
-    landing, extra = _read_months(spark, lake.table("landing"), months, LANDING_SCHEMA)
+    landing, extra = _read_months(spark, lake.table("landing"), months, f"{LANDING_SCHEMA}, {REJECTED_LINE} string")
+    landing = landing.where(F.col(REJECTED_LINE).isNull()).drop(REJECTED_LINE)
     source = F.concat(F.lit("landing/"), F.col(MONTH))
     bronze = to_bronze(landing, F.col(MONTH), source, run_ts, extra)
     return _store(bronze, lake, "bronze", months, run_ts, ["vl_liquido", "dt_inicio_validade"])

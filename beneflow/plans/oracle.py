@@ -304,6 +304,21 @@ def _reconciliation() -> str:
     return _silver(" UNION ALL ".join(checks), FAT_UF, FAT_ESPECIE, FAT_BANCO, KPIS)
 
 
+def _delivery_rescued() -> str:
+    fields = list(fixed.LANDING_TO_BRONZE.values())
+    few, many = (_text(Q.BROKEN_CENTS[why]) for why in ("campos_a_menos", "campos_a_mais"))
+    return f"""WITH {RAW}, lines AS (
+        SELECT CASE WHEN _ano_mes < {_text(Q.EVOLVED_FROM)} THEN 'older' ELSE 'newer' END AS pasta, uf, right(vl_liquido, 2) AS cents,
+               concat_ws(';', {', '.join(fields)}) AS whole, concat_ws(';', {', '.join(fields[:-1])}) AS short FROM raw
+    ), judged AS (
+        SELECT pasta, CASE cents WHEN {few} THEN 'campos_a_menos' WHEN {many} THEN 'campos_a_mais' ELSE 'boa' END AS situacao,
+               CASE cents WHEN {few} THEN short WHEN {many} THEN whole || ';sobra' ELSE uf END AS chave FROM lines
+    )
+    SELECT pasta, situacao, chave, {N} AS qtd FROM judged GROUP BY ALL
+    UNION ALL SELECT pasta, 'auditoria', 'landing', {N} FROM judged GROUP BY pasta
+    UNION ALL SELECT pasta, 'auditoria', 'quarantine', {N} FROM judged WHERE situacao <> 'boa' GROUP BY pasta"""
+
+
 def _people() -> str:
     prime = P._PRIME
 
@@ -484,6 +499,7 @@ ORACLE: dict[str, str] = {
         f"SELECT strftime(ts, '%Y%m%d') AS dia, event_type, {N} AS qtd, "
         "CAST(sum(CAST(value AS DECIMAL(18,2))) AS VARCHAR) AS valor FROM events GROUP BY ALL"
     ),
+    "delivery_rescued": _delivery_rescued(),
     "synthetic_people": _people(),
     "run_audit": _run_audit(),
     "table_register": _silver(

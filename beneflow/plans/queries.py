@@ -22,6 +22,7 @@ from beneflow.operators.ranking import (
 from beneflow.plans import lake as layer_chain
 from beneflow.session import shared_folder
 from beneflow.sinks.tables import (
+    AUDIT_SCHEMA,
     bounded_query,
     record_run,
     register_table,
@@ -44,6 +45,8 @@ DELIVERY_HEADER = [
 ]
 # Fewer than the table has, so that the bound is seen to hold.
 SHOWN_ROWS = 100
+# Lines whose amount ends so are broken, by what is wrong with them.
+BROKEN_CENTS = {"campos_a_menos": "13", "campos_a_mais": "37"}
 RANK_WINDOW = {"p50_de": 0.48, "p50_ate": 0.52, "p90_de": 0.88, "p90_ate": 0.92}
 EVENT_DAY_SCHEMA = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
@@ -90,7 +93,7 @@ def landing_roundtrip_by_uf(spark: SparkSession, sf: str) -> DataFrame:
 
 def header_sniff(spark: SparkSession, sf: str) -> DataFrame:
     path = _delivered(spark, sf)
-    sniffed = {deliveries.sniff_separator(h) for h in deliveries.file_headers(spark, [path]).values()}
+    sniffed = {deliveries.sniff_separator(h) for h in deliveries.file_headers(spark, [path])}
     df = deliveries.read_delivery(spark, path)
     return df.agg(M.rows().alias("linhas")).select(
         F.lit("".join(sorted(sniffed))).alias("separador"), F.lit(len(df.columns)).alias("colunas"), "linhas"
@@ -126,6 +129,36 @@ def delivery_mixed_headers(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def delivery_rescued(spark: SparkSession, sf: str) -> DataFrame:
+    """The feed with lines broken by rule, landed: good rows by state, broken lines as they were, and the audit."""
+    base = shared_folder(spark, "broken")
+    feed = benefits.landing_feed(spark, sf)
+    fields = [F.col(f"`{c}`") for c in fixed.LANDING_TO_BRONZE]
+    whole, cents = F.concat_ws(";", *fields), F.substring(F.col("Vl Líquido"), -2, 2)
+    line = F.when(cents == BROKEN_CENTS["campos_a_menos"], F.concat_ws(";", *fields[:-1]))
+    line = line.when(cents == BROKEN_CENTS["campos_a_mais"], F.concat(whole, F.lit(";sobra"))).otherwise(whole)
+    halves = F.col(MONTH) < EVOLVED_FROM
+    for folder, chosen in (("older", halves), ("newer", ~halves)):
+        deliveries.write_delivery(
+            feed.where(chosen).select(line.alias("line")), f"{base}/{MONTH}={folder}", DELIVERY_HEADER
+        )
+    lake = layer_chain.Lake(f"{base}/layers")
+    layer_chain.run_landing(spark, base, ["older", "newer"], lake, RUN_TS)
+    shown = lambda kind, key, n: [F.col(MONTH).alias("pasta"), kind.alias("situacao"), key.alias("chave"), n.alias("qtd")]
+    landed = read_table(spark, lake.table("landing"), schema=f"UF string, {deliveries.REJECTED_LINE} string, {MONTH} string")
+    good = quality.count_by(landed.where(F.col(deliveries.REJECTED_LINE).isNull()), MONTH, "UF")
+    broken = quality.count_by(
+        read_table(spark, lake.table("quarantine"), schema=layer_chain.QUARANTINE_SCHEMA),
+        MONTH, deliveries.REJECTED_WHY, deliveries.REJECTED_LINE,
+    )
+    audit = spark.read.schema(AUDIT_SCHEMA).parquet(lake.audit)
+    return (
+        good.select(*shown(F.lit("boa"), F.col("UF"), F.col("qtd")))
+        .union(broken.select(*shown(F.col(deliveries.REJECTED_WHY), F.col(deliveries.REJECTED_LINE), F.col("qtd"))))
+        .union(audit.select(*shown(F.lit("auditoria"), F.col("tabela"), F.col("linhas"))))
+    )
+
+
 def header_dedup(spark: SparkSession, sf: str) -> DataFrame:
     df = deliveries.read_delivery(spark, _delivered(spark, sf))
     names = df.columns
@@ -485,6 +518,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "header_sniff": header_sniff,
     "header_dedup": header_dedup,
     "delivery_mixed_headers": delivery_mixed_headers,
+    "delivery_rescued": delivery_rescued,
     "bronze_typed": bronze,
     "bronze_quality": bronze_quality,
     "bronze_top_uf": top_states_by_count,

@@ -1,38 +1,73 @@
-"""Delimited deliveries: separator sniff, repeated headers, all-text scan.
+"""Delimited deliveries: separator sniff, repeated headers, all-text scan, broken lines kept aside.
 
 Every file speaks for itself: its first line gives its separator and its columns. Files with the same
-line share one scan; scans are united by column name.
+line share one scan; scans are united by column name. A line with more or fewer fields than its header has
+no place in the columns: it fails the read, or is kept whole with the reason.
 """
 
 from __future__ import annotations
 
 import csv
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beneflow.functions import fixed
 from beneflow.sources.tables import MONTH
 
+# What a broken line leaves: the line itself, why it is broken, and its file; NULL for all others.
+REJECTED_LINE, REJECTED_WHY, REJECTED_FILE = "_linha_rejeitada", "_motivo_rejeicao", "_arquivo"
+REJECTED = (REJECTED_LINE, REJECTED_WHY, REJECTED_FILE)
+TOO_FEW, TOO_MANY, OTHERWISE = "campos_a_menos", "campos_a_mais", "ilegivel"
 
-def file_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
-    """First line of every file below the paths, from one job; one entry per file with any line."""
-    lines = spark.read.csv(
+# Every file is one split and every split one task, which may stop reading after the first rows.
+_TASK_A_FILE = {"spark.sql.files.maxPartitionBytes": str(1 << 40), "spark.sql.files.openCostInBytes": str(1 << 40)}
+_FIRST_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "8"}
+
+
+def header_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(file_path, line): the first line of every file below the paths.
+
+    A task reads the beginning of one file and stops, so whole files are not read for their headers. The
+    settings for that belong to a session of its own.
+    """
+    reading = spark.newSession()
+    for key, value in (_TASK_A_FILE | _FIRST_ROWS).items():
+        reading.conf.set(key, value)
+    alone = all(reading.conf.get(key) == value for key, value in _TASK_A_FILE.items())
+    lines = reading.read.csv(
         list(paths), schema="line string", sep="\x01", quote="", encoding=fixed.DELIVERY_ENCODING
-    )
-    # Rows of a file's first block keep their order within the task that reads it.
-    first = (
-        lines.select("line", "_metadata.file_path", F.col("_metadata.file_block_start").alias("start"))
-        .withColumn("row", F.monotonically_increasing_id())
-        .where(F.col("start") == 0)
-        .groupBy("file_path")
-        .agg(F.min_by("line", "row").alias("line"))
-    )
-    return {unquote(row.file_path): row.line for row in first.collect()}
+    ).select("line", "_metadata.file_path", F.col("_metadata.file_block_start").alias("start"))
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for batch in batches:
+            for line, path, start in zip(*(batch.column(c).to_pylist() for c in ("line", "file_path", "start")), strict=True):
+                if start == 0 and path not in seen:
+                    seen.add(path)
+                    yield pa.RecordBatch.from_pydict({"file_path": pa.array([path]), "line": pa.array([line])})
+            if alone:
+                return
+
+    return lines.mapInArrow(first, "file_path string, line string")
+
+
+def file_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
+    """Files below the paths by their first line. Where all files have the same, only that line is fetched
+    and the paths stand for the files, so the driver holds a row a header, not a row a file."""
+    found = header_lines(spark, paths)
+    groups = found.groupBy("line").agg(F.min("file_path").alias("one")).collect()
+    if len(groups) == 1:
+        return {groups[0].line: list(paths)}
+    by_line: dict[str, list[str]] = {}
+    for row in found.collect() if groups else ():
+        by_line.setdefault(row.line, []).append(unquote(row.file_path))
+    return {line: sorted(files) for line, files in by_line.items()}
 
 
 def sniff_separator(header: str) -> str:
@@ -70,45 +105,72 @@ def columns_of(header: str, known: Sequence[str] = ()) -> tuple[str, tuple[str,
     return separator, tuple(distinct_names(next(csv.reader([header], delimiter=separator)), known))
 
 
+def why_rejected(line: Column, separator: str, fields: int) -> Column:
+    """Too few or too many fields, quoted ones counted as one; else the line cannot be read for another reason."""
+    plain = F.regexp_replace(line, '"[^"]*"', "")
+    found = F.char_length(plain) - F.char_length(F.replace(plain, F.lit(separator), F.lit(""))) + 1
+    return F.when(found < fields, TOO_FEW).when(found > fields, TOO_MANY).otherwise(F.lit(OTHERWISE))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _scan(
-    spark: SparkSession, paths: Sequence[str], separator: str, names: Sequence[str], base: str | None
+    spark: SparkSession, paths: Sequence[str], separator: str, names: Sequence[str], base: str | None, rejected: bool
 ) -> DataFrame:
-    schema = ", ".join(f"`{name.replace('`', '``')}` string" for name in names)
-    reader = spark.read.options(header=True, sep=separator, encoding=fixed.DELIVERY_ENCODING)
+    # All fields of a line have to be counted, whichever columns are asked for.
+    reader = spark.read.options(header=True, sep=separator, encoding=fixed.DELIVERY_ENCODING, columnPruning=False)
+    own = [*names, REJECTED_LINE] if rejected else [*names]
+    if rejected:
+        reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=REJECTED_LINE)
+    else:
+        reader = reader.option("mode", "FAILFAST")
     if base is not None:
         reader = reader.option("basePath", base)
-        schema += f", {MONTH} string"
-    return reader.schema(schema).csv(list(paths))
+        own.append(MONTH)
+    df = reader.schema(", ".join(f"{_quoted(name)} string" for name in own)).csv(list(paths))
+    if not rejected:
+        return df
+    line = F.col(REJECTED_LINE)
+    return df.select(
+        *[F.when(line.isNull(), F.col(_quoted(name))).alias(name) for name in names],
+        line, F.when(line.isNotNull(), why_rejected(line, separator, len(names))).alias(REJECTED_WHY),
+        F.when(line.isNotNull(), F.col("_metadata.file_name")).alias(REJECTED_FILE),
+        *([] if base is None else [MONTH]),
+    )
 
 
 def _read(
-    spark: SparkSession, paths: Sequence[str], known: Sequence[str], base: str | None
+    spark: SparkSession, paths: Sequence[str], known: Sequence[str], base: str | None, rejected: bool
 ) -> DataFrame:
     by_columns: dict[tuple[str, tuple[str, ...]], list[str]] = {}
-    for path, header in sorted(file_headers(spark, paths).items()):
-        by_columns.setdefault(columns_of(header, known), []).append(path)
+    for header, files in sorted(file_headers(spark, paths).items()):
+        by_columns.setdefault(columns_of(header, known), []).extend(files)
     if not by_columns:
         raise ValueError(f"no header line in {', '.join(paths)}")
     for (_, names), files in by_columns.items():
         if known and (missing := [name for name in known if name not in names]):
             raise ValueError(f"{files[0]} and {len(files) - 1} more: no column {', '.join(missing)}")
-    scans = [_scan(spark, files, *columns, base) for columns, files in by_columns.items()]
+    scans = [_scan(spark, files, *columns, base, rejected) for columns, files in by_columns.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
-def read_delivery(spark: SparkSession, path: str, known: Sequence[str] = ()) -> DataFrame:
+def read_delivery(spark: SparkSession, path: str, known: Sequence[str] = (), rejected: bool = False) -> DataFrame:
     """A delivery as text columns. Lines are single records, so large files split freely.
 
-    A column some files lack reads as NULL; a file without one of the ``known`` columns is refused.
+    A column some files lack reads as NULL; a file without one of the ``known`` columns is refused. A line
+    with too many or too few fields fails the job; with ``rejected`` it is a row that has only the columns
+    ``REJECTED``.
     """
-    return _read(spark, [path], known, None)
+    return _read(spark, [path], known, None, rejected)
 
 
 def read_monthly_deliveries(
-    spark: SparkSession, base: str, months: Sequence[str], known: Sequence[str] = ()
+    spark: SparkSession, base: str, months: Sequence[str], known: Sequence[str] = (), rejected: bool = False
 ) -> DataFrame:
     """Deliveries kept as ``base/_ano_mes=YYYYMM/`` as text columns plus the month."""
-    return _read(spark, [f"{base}/{MONTH}={month}" for month in months], known, base)
+    return _read(spark, [f"{base}/{MONTH}={month}" for month in months], known, base, rejected)
 
 
 def write_delivery(
