@@ -2,7 +2,8 @@
 
 Sums and counts are combined on the map side, and distinct counts collapse to (keys, value) sets one
 column at a time, so no grain ever holds two columns that are counted distinctly. A group with a third of
-all rows reaches the shuffle as one partial row per task and distinct value.
+all rows reaches the shuffle as one partial row per task and distinct value. Percentiles count bands of values
+first and shuffle only values of the bands that hold them.
 """
 
 from __future__ import annotations
@@ -21,6 +22,9 @@ MONTH_KEYS = ("_ano_mes",)
 
 SPECIES_STATE_KEYS = (*SPECIES_KEYS, "sg_uf")
 MEDIAN = {"vl_mediano": 0.5}
+# Groups are months times codes of the contract: 27 states and abroad, 5 groups, about 100 species. So many are a
+# century of months.
+MOST_GROUPS = 500_000
 NATIONAL_PERCENTILES = {"vl_mediano_nacional": 0.5, "vl_p90_nacional": 0.9}
 
 
@@ -160,13 +164,13 @@ def _kpis(rows: DataFrame, national: DataFrame, run_ts: str) -> DataFrame:
 def fat_uf(silver: DataFrame, run_ts: str, accuracy: int | None = None) -> DataFrame:
     """State x species group x month, ranked and shared within the month."""
     rows = add_species_group(silver)
-    return _fat_uf(rows, percentiles(rows, UF_KEYS, "vl_liquido", MEDIAN, accuracy), run_ts)
+    return _fat_uf(rows, percentiles(rows, UF_KEYS, "vl_liquido", MEDIAN, accuracy, MOST_GROUPS), run_ts)
 
 
 def fat_especie(silver: DataFrame, run_ts: str, accuracy: int | None = None) -> DataFrame:
     """Species x month with its top state, ranked within the species group."""
     rows = add_species_group(silver)
-    return _fat_especie(rows, percentiles(rows, SPECIES_KEYS, "vl_liquido", MEDIAN, accuracy), run_ts)
+    return _fat_especie(rows, percentiles(rows, SPECIES_KEYS, "vl_liquido", MEDIAN, accuracy, MOST_GROUPS), run_ts)
 
 
 def fat_banco(silver: DataFrame, run_ts: str) -> DataFrame:
@@ -176,7 +180,7 @@ def fat_banco(silver: DataFrame, run_ts: str) -> DataFrame:
 
 def kpis_nacionais(silver: DataFrame, run_ts: str, accuracy: int | None = None) -> DataFrame:
     """One row per month."""
-    national = percentiles(silver, MONTH_KEYS, "vl_liquido", NATIONAL_PERCENTILES, accuracy)
+    national = percentiles(silver, MONTH_KEYS, "vl_liquido", NATIONAL_PERCENTILES, accuracy, MOST_GROUPS)
     return _kpis(silver, national, run_ts)
 
 

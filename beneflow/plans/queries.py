@@ -264,7 +264,7 @@ def species_group(spark: SparkSession, sf: str) -> DataFrame:
 
 def percentile_exact(spark: SparkSession, sf: str) -> DataFrame:
     wanted = {"p10": 0.1, "p50": 0.5, "p90": 0.9}
-    return percentiles(silver(spark, sf), ["uf", "sexo"], "vl_liquido", wanted)
+    return percentiles(silver(spark, sf), ["uf", "sexo"], "vl_liquido", wanted, most_groups=1000)
 
 
 def percentile_approx_100(spark: SparkSession, sf: str) -> DataFrame:
@@ -282,7 +282,7 @@ def percentile_approx_error(spark: SparkSession, sf: str) -> DataFrame:
     df = silver(spark, sf).select(MONTH, "vl_liquido").filter(F.col("vl_liquido").isNotNull())
     wanted = {"p50": 0.5, "p90": 0.9}
     sketch = percentiles(df, [MONTH], "vl_liquido", wanted, fixed.PERCENTILE_ACCURACY)
-    window = percentiles(df, [MONTH], "vl_liquido", RANK_WINDOW)
+    window = percentiles(df, [MONTH], "vl_liquido", RANK_WINDOW, most_groups=gold.MOST_GROUPS)
     rows = df.groupBy(MONTH).agg(M.rows().alias("n"))
     return rows.join(window, MONTH).join(sketch, MONTH).select(
         MONTH, "n", *RANK_WINDOW,

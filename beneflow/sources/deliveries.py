@@ -34,7 +34,8 @@ def header_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """(file_path, line): the first line of every file below the paths.
 
     A task reads the beginning of one file and stops, so whole files are not read for their headers. The
-    settings for that belong to a session of its own.
+    settings for that belong to a session of its own. Rows are widened, so that those on their way to the
+    function, some megabytes, are few lines.
     """
     reading = spark.newSession()
     for key, value in (_TASK_A_FILE | _FIRST_ROWS).items():
@@ -43,6 +44,8 @@ def header_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     lines = reading.read.csv(
         list(paths), schema="line string", sep="\x01", quote="", encoding=fixed.DELIVERY_ENCODING
     ).select("line", "_metadata.file_path", F.col("_metadata.file_block_start").alias("start"))
+    if alone:
+        lines = lines.withColumn("wide", F.repeat(F.lit(" "), 1 << 16))
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()

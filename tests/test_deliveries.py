@@ -163,3 +163,56 @@ def test_two_months_end_to_end_and_a_late_file(spark, folder):
     history = run_history(spark, lake.audit, "silver", 5).collect()
     assert [r["run_ts"] for r in history] == ["run2", "run1"]
     assert history[1]["linhas"] == sum(expected.values()) - 3
+
+
+def bytes_read(spark):
+    """By all tasks of this local session so far."""
+    return sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+
+
+def test_headers_cost_the_beginning_of_each_file(spark):
+    path = shared_folder(spark, "large")
+    rows = spark.range(0, 600_000, 1, 3).selectExpr(*[f"repeat(CAST(id AS string), 3) AS c{i}" for i in range(4)])
+    deliveries.write_delivery(rows, path, ["A", "B", "C", "D"])
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    size = fs.getContentSummary(spark._jvm.org.apache.hadoop.fs.Path(path)).getLength()
+    before = bytes_read(spark)
+    assert deliveries.file_headers(spark, [path]) == {"A;B;C;D": [path]}
+    assert size > 40e6 and bytes_read(spark) - before < 0.05 * size
+    before = bytes_read(spark)
+    assert deliveries.read_delivery(spark, path).count() == 600_000
+    assert bytes_read(spark) - before < 1.05 * size
+
+
+BROKEN = "A;B;C;D\n1;2;3;4\n1;2;3;4;5;6\n1;2\n\"x;y\";2;3;4\n\"x;y\";2;3\n;;;\n  lone"
+
+
+def test_broken_lines_are_kept_whole(spark):
+    rows = deliveries.read_delivery(spark, _files(spark, BROKEN), list("ABCD"), rejected=True).collect()
+    assert len(rows) == 7
+    good = sorted([tuple(r[c] for c in "ABCD") for r in rows if r[deliveries.REJECTED_LINE] is None], key=str)
+    assert good == [("1", "2", "3", "4"), ("x;y", "2", "3", "4"), (None, None, None, None)]
+    broken = {r[deliveries.REJECTED_LINE]: r for r in rows if r[deliveries.REJECTED_LINE] is not None}
+    assert {line: r[deliveries.REJECTED_WHY] for line, r in broken.items()} == {
+        "1;2;3;4;5;6": "campos_a_mais", "1;2": "campos_a_menos", '"x;y";2;3': "campos_a_menos", "  lone": "campos_a_menos"
+    }
+    for r in broken.values():
+        assert r["A"] is None and r["D"] is None and r[deliveries.REJECTED_FILE].endswith(".txt")
+
+
+def test_broken_lines_fail_a_read_that_does_not_keep_them(spark):
+    with pytest.raises(Exception, match="(?i)malformed"):
+        deliveries.read_delivery(spark, _files(spark, BROKEN)).select("A").collect()
+
+
+def test_good_and_rejected_rows_are_the_lines_read(spark, folder):
+    df = queries.delivery_rescued(spark, folder)
+    rows = df.collect()
+    lines = benefits.raw_feed(spark, folder).count()
+    counted = {kind: sum(r.qtd for r in rows if r.situacao == kind) for kind in ("boa", "campos_a_menos", "campos_a_mais")}
+    assert sum(counted.values()) == lines and all(counted.values())
+    audited = {r.chave: 0 for r in rows if r.situacao == "auditoria"}
+    for r in rows:
+        if r.situacao == "auditoria":
+            audited[r.chave] += r.qtd
+    assert audited == {"landing": lines, "quarantine": lines - counted["boa"]}
