@@ -442,6 +442,22 @@ ORACLE: dict[str, str] = {
         "count(DISTINCT especie_codigo) AS especies, count(DISTINCT banco_codigo) AS bancos "
         "FROM silver GROUP BY _ano_mes"
     ),
+    "distinct_rollup": _silver(" UNION ALL ".join(
+        f"SELECT {month} AS _ano_mes, {uf} AS uf, '{column}' AS coluna, CAST(count(DISTINCT {column}) AS BIGINT) AS distintos, "
+        f"'{level}' AS nivel FROM silver GROUP BY {group} HAVING count({column}) > 0"
+        for level, month, uf, group in (("mes", "_ano_mes", "NULL", "_ano_mes"), ("uf", "NULL", "uf", "uf"), ("total", "NULL", "NULL", "()"))
+        for column in Q.DISTINCT_COLUMNS
+    )),
+    "percentile_rollup": _silver(
+        "SELECT uf, CAST(count(*) AS BIGINT) AS n, " + ", ".join(
+            f"CAST(quantile_disc(vl_liquido, {p}) AS VARCHAR) AS {name}" for name, p in Q.RANK_WINDOW.items()
+        ) + ", true AS p50_ok, true AS p90_ok FROM silver WHERE vl_liquido IS NOT NULL GROUP BY uf"
+    ),
+    "paged_query": _silver(
+        "SELECT _ano_mes, banco_codigo, banco_nome, qtd_beneficios, CAST((row_number() OVER (ORDER BY _ano_mes NULLS FIRST, "
+        f"banco_codigo NULLS FIRST, banco_nome NULLS FIRST) - 1) // {Q.PAGE_ROWS} + 1 AS INTEGER) AS pagina FROM fat_banco "
+        f"WHERE qtd_beneficios >= {Q.LEAST_SHOWN} AND _ano_mes >= {_text(Q.EVOLVED_FROM)}", FAT_BANCO
+    ),
     "distinct_approx_error": _silver(
         "SELECT _ano_mes, count(DISTINCT mun_resid_codigo) AS municipios, "
         "count(DISTINCT vl_liquido) AS valores, "

@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 from beneflow.functions import fixed
 from beneflow.functions import measures as M
-from beneflow.functions.parsing import species_group_sql
-from beneflow.operators import gold, layers, quality, reports
+from beneflow.functions.catalog import register_functions
+from beneflow.operators import gold, layers, quality, reports, states
 from beneflow.operators.percentiles import percentiles
 from beneflow.operators.ranking import (
     species_with_top_state,
@@ -24,6 +24,7 @@ from beneflow.session import shared_folder
 from beneflow.sinks.tables import (
     AUDIT_SCHEMA,
     bounded_query,
+    pages,
     record_run,
     register_table,
     replace_parts,
@@ -45,6 +46,9 @@ DELIVERY_HEADER = [
 ]
 # Fewer than the table has, so that the bound is seen to hold.
 SHOWN_ROWS = 100
+PAGE_ROWS = 150
+LEAST_SHOWN = 2
+DISTINCT_COLUMNS = ("mun_resid_codigo", "mun_pagto_codigo", "especie_codigo", "banco_codigo", "despacho")
 # Lines whose amount ends so are broken, by what is wrong with them.
 BROKEN_CENTS = {"campos_a_menos": "13", "campos_a_mais": "37"}
 RANK_WINDOW = {"p50_de": 0.48, "p50_ate": 0.52, "p90_de": 0.88, "p90_ate": 0.92}
@@ -313,20 +317,54 @@ def distinct_approx_error(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def silver_view_sql(spark: SparkSession, sf: str) -> DataFrame:
-    """SQL over a temporary view, grouped by an expression."""
+    """SQL over a temporary view, grouped by a catalogued function."""
     view = f"silver_{uuid.uuid4().hex}"
     silver(spark, sf).createOrReplaceTempView(view)
-    group = species_group_sql("especie_codigo")
+    register_functions(spark)
     rows = spark.sql(
-        f"SELECT {MONTH}, {group} AS grupo_especie, count(*) AS qtd, sum(vl_liquido) AS vl_total, "
-        f"min(vl_liquido) AS vl_minimo, max(vl_liquido) AS vl_maximo "
-        f"FROM {view} GROUP BY {MONTH}, {group}"
+        f"SELECT {MONTH}, grupo_especie(especie_codigo) AS grupo_especie, count(*) AS qtd, "
+        f"sum(vl_liquido) AS vl_total, min(vl_liquido) AS vl_minimo, max(vl_liquido) AS vl_maximo "
+        f"FROM {view} GROUP BY {MONTH}, grupo_especie(especie_codigo)"
     )
     # The plan holds what the name stood for.
     spark.catalog.dropTempView(view)
     return rows
 
 
+def _monthly_state(spark: SparkSession, sf: str, name: str, state: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A state by month, stored; half of the months are delivered again and replace themselves."""
+    path = shared_folder(spark, name)
+    made = state(silver(spark, sf))
+    replace_parts(made, path, cluster=True)
+    again = state(silver(spark, sf).where(F.col(MONTH) >= EVOLVED_FROM))
+    replace_parts(again, path, cluster=True)
+    return spark.read.schema(made.schema).parquet(path)
+
+
+def distinct_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct codes by month, by state and in all, from monthly bitmaps alone."""
+    state = _monthly_state(
+        spark, sf, "distinct-state", lambda df: states.distinct_state(df, [MONTH, "uf"], DISTINCT_COLUMNS)
+    )
+    return states.distinct_rollup(state, [MONTH], ["uf"], []).drop("nivel").withColumn(
+        "nivel", F.when(F.col(MONTH).isNotNull(), "mes").when(F.col("uf").isNotNull(), "uf").otherwise("total")
+    )
+
+
+def percentile_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """Percentiles by state over all months from monthly sketches alone, each with the exact values round it
+    that it has to lie between, and whether it does."""
+    state = _monthly_state(
+        spark, sf, "quantile-state", lambda df: states.quantile_state(df, [MONTH, "uf"], "vl_liquido")
+    )
+    sketch = states.quantile_rollup(state, ["uf"], {"p50": 0.5, "p90": 0.9})
+    window = percentiles(silver(spark, sf), ["uf"], "vl_liquido", RANK_WINDOW, most_groups=1000)
+    return sketch.join(window, "uf").select(
+        "uf", "n", *RANK_WINDOW,
+        *[F.col(name).between(F.col(f"{name}_de"), F.col(f"{name}_ate")).alias(f"{name}_ok") for name in ("p50", "p90")],
+    )
+
+
 def share_of_total(spark: SparkSession, sf: str) -> DataFrame:
     states = silver(spark, sf).groupBy(MONTH, "uf").agg(
         M.rows().alias("qtd"), F.sum("vl_liquido").alias("vl_total")
@@ -448,6 +486,21 @@ def bounded(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def paged(spark: SparkSession, sf: str) -> DataFrame:
+    """A query with named markers, fetched page by page; all pages together, with their numbers."""
+    name = _registered(spark, gold.fat_banco(silver(spark, sf), RUN_TS), "banco_paginado")
+    order = [MONTH, "banco_codigo", "banco_nome"]
+    wanted = spark.sql(
+        f"SELECT {MONTH}, banco_codigo, banco_nome, qtd_beneficios FROM {name} WHERE qtd_beneficios >= :minimo AND {MONTH} >= :desde",
+        args={"minimo": LEAST_SHOWN, "desde": EVOLVED_FROM},
+    )
+    # The rows of each page as a client gets them.
+    path = shared_folder(spark, "pages")
+    for number, page in enumerate(pages(wanted, order, PAGE_ROWS), 1):
+        spark.createDataFrame(page, wanted.schema).withColumn("pagina", F.lit(number)).write.mode("append").parquet(path)
+    return spark.read.schema(wanted.withColumn("pagina", F.lit(1)).schema).parquet(path)
+
+
 # --- whole plans --------------------------------------------------------------------------
 
 
@@ -544,7 +597,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "percentile_exact": percentile_exact,
     "percentile_approx_100": percentile_approx_100,
     "percentile_approx_error": percentile_approx_error,
+    "percentile_rollup": percentile_rollup,
     "distinct_counts": distinct_counts,
+    "distinct_rollup": distinct_rollup,
     "distinct_approx_error": distinct_approx_error,
     "silver_view_sql": silver_view_sql,
     "share_of_total": share_of_total,
@@ -566,6 +621,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_audit": run_audit,
     "table_register": table_register,
     "bounded_query": bounded,
+    "paged_query": paged,
     "reconciliation": reconciliation,
     "lake_kpis": lake_kpis,
 }

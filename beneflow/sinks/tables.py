@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from beneflow.sources.tables import MONTH, read_table
@@ -146,6 +147,38 @@ def register_table(spark: SparkSession, name: str, path: str, schema: str, key:
     spark.catalog.recoverPartitions(name)
 
 
-def bounded_query(spark: SparkSession, sql: str, order: Sequence[str], rows: int) -> DataFrame:
-    """At most ``rows`` rows of a query in a stated total order (a top-k plan)."""
-    return spark.sql(sql).orderBy(*order).limit(rows)
+def bounded_query(
+    spark: SparkSession, sql: str, order: Sequence[str], rows: int, args: Mapping[str, object] | None = None
+) -> DataFrame:
+    """At most ``rows`` rows of a query in a stated total order (a top-k plan).
+
+    ``args`` are values for the query's named markers (``:name``); they never become part of its text.
+    """
+    return spark.sql(sql, args=dict(args or {})).orderBy(*order).limit(rows)
+
+
+def page_after(df: DataFrame, order: Sequence[str], last: Mapping[str, object] | None, rows: int) -> DataFrame:
+    """The next ``rows`` rows of a total order (ascending, NULL first) behind the row ``last``; the first ones for None.
+
+    A page is found by its keys, not by counting rows before it: it costs the same wherever it is, and rows
+    that come or go before it do not move it.
+    """
+    if last is not None:
+        behind = F.lit(False)
+        for i, column in enumerate(order):
+            same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(last[c])) for c in order[:i]], F.lit(True))
+            value = last[column]
+            greater = F.col(column).isNotNull() if value is None else F.col(column) > F.lit(value)
+            behind |= same & F.coalesce(greater, F.lit(False))
+        df = df.where(behind)
+    return df.orderBy(*[F.col(c).asc_nulls_first() for c in order]).limit(rows)
+
+
+def pages(df: DataFrame, order: Sequence[str], rows: int) -> Iterator[list[Row]]:
+    """All pages one after the other, each fetched by a query of its own."""
+    last = None
+    while page := page_after(df, order, last, rows).collect():
+        yield page
+        if len(page) < rows:
+            return
+        last = page[-1].asDict()
