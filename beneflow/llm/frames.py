@@ -73,6 +73,14 @@ def keep_rows(df: DataFrame, mask: Callable[[pa.RecordBatch], np.ndarray], text:
     return by_slice(df, make, df.schema, text)
 
 
+def free_name(df: DataFrame, wish: str) -> str:
+    """A column name that the table does not have, in either case."""
+    taken = {name.lower() for name in df.columns}
+    while wish in taken:
+        wish += "_"
+    return wish
+
+
 def record_batch(**columns) -> pa.RecordBatch:
     arrays = [c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values()]
     return pa.RecordBatch.from_arrays(arrays, names=list(columns))

@@ -39,8 +39,9 @@ import pyarrow as pa
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from beneflow.llm.frames import Steps, by_slice, record_batch, stored
+from beneflow.llm.frames import Steps, by_slice, free_name, record_batch, stored
 from beneflow.llm.words import mix, shingles, slices, words
 
 SHINGLE = 3
@@ -66,8 +67,8 @@ def least_overlap(n, m, percent: int = PERCENT):
     return -(-need // (100 + percent))
 
 
-def _sets(part: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray]:
-    return shingles(words(part.column("text")), size)
+def _sets(part: pa.RecordBatch, size: int, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
+    return shingles(words(part.column(text)), size)
 
 
 def _class_of(tokens: np.ndarray) -> int:
@@ -407,12 +408,38 @@ def similar_pairs(
     return pairs
 
 
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """Rows, with all their columns, whose id is their class id; of rows repeating an id, one.
+def with_class(docs: DataFrame, name: str, size: int, text: str) -> DataFrame:
+    """The rows with the hash of their set as one more column; NULL where a text has no shingles."""
 
-    Rows without an id are all kept, as none stands for another.
+    def make(part: pa.RecordBatch) -> pa.RecordBatch:
+        hashes, first = _sets(part, size, text)
+        bounds = zip(first[:-1].tolist(), first[1:].tolist(), strict=True)
+        return part.append_column(name, pa.array([_class_of(hashes[a:b]) if b > a else None for a, b in bounds], pa.int64()))
+
+    return by_slice(docs, make, StructType([*docs.schema.fields, StructField(name, LongType())]), text)
+
+
+def one_of_each(
+    docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """One row, with all its columns, of every connected component of texts, and all rows without a shingle.
+
+    The row with the smallest id stays, a null id being the last; of rows that share it, the one with the
+    smallest hash of its set, then the smallest text, then the smallest row as JSON.
     """
-    found = similar_classes(docs, doc_id=doc_id, **options)
-    stay = stored(found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_stays")).distinct(), "staying")
-    kept = docs.join(stay, F.col(doc_id) == F.col("_stays")).drop("_stays").dropDuplicates([doc_id])
-    return kept.union(docs.where(F.col(doc_id).isNull()))
+    steps = Steps(docs.sparkSession, "one-of-each")
+    _, classes, found = _linked(docs, size, percent, doc_id, text, steps)
+    roots = components(found.select("a", "b"), steps).withColumnRenamed("node", "cls")
+    linked = classes.select("cls", "least").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    cls, chosen, row = (free_name(docs, wish) for wish in ("class", "chosen_id", "row"))
+    first = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "cls")).alias("first")
+    stay = linked.groupBy("root").agg(first).select(F.col("first.cls").alias(cls), F.col("first.least").alias(chosen))
+    stay = stored(stay, "staying")
+    steps.drop()
+    named = with_class(docs, cls, size, text)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    own_id = F.col(f"`{doc_id}`").cast("bigint")
+    kept = named.join(stay, cls).where(own_id.eqNullSafe(F.col(chosen)))
+    order = F.struct(F.col(f"`{text}`").alias("text"), F.to_json(whole).alias("json"))
+    kept = kept.groupBy(cls).agg(F.min_by(whole, order).alias(row)).select(f"{row}.*")
+    return kept.union(named.where(F.col(cls).isNull()).drop(cls))

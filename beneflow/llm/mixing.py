@@ -1,15 +1,11 @@
 """Mixing sources to target weights by Sainte-Lague apportionment of equal-token blocks.
 
-Every source's documents stand in a seeded order, dealt over a fixed number of shards. Each shard's words
-are cut into equal blocks of about ``block_words`` words (to one word). The mix has as many seats as blocks
-fit its size; sources get them by highest quotients ``target / (2 * seats + 1)``, and a source's shards get
-its seats in the same way by their words, so each shard has an integer quota. A quota takes every block
-once for each full round; the rest are blocks that follow each other from a seeded start. As the order of
-the documents is seeded itself, that is a random choice of documents, and at most four are cut.
-
-Shards with hardly a block would miss their share by far, as a seat is a block there, however few words it
-has. So a source with fewer than ``FEW_BLOCKS`` blocks a shard on average is one shard, its blocks and seats
-are single words, and the other sources share the words that those sources leave.
+Every source's documents stand in a seeded order, dealt over a fixed number of shards. The mix has a seat for
+every word; sources get them by highest quotients ``target / (2 * seats + 1)``, and a source's shards get its
+seats in the same way by their words, so each shard has an integer quota of words, whatever its size. A quota
+takes every word once for each full round; the rest are blocks of ``block_words`` words that follow each other
+from a seeded one, the last of them cut to the word. As the order of the documents is seeded itself, that is
+a random choice of documents, and at most four of a shard are cut.
 
 Targets share the size of all sources by weight; one stops at ``max_repeats`` times its source's words,
 and what is left over is shared again by weight until none is above. Weights repeat over the sources in
@@ -17,10 +13,11 @@ code point order, a null source last.
 
 At scale: texts are read once for their sizes. The driver holds a row for each source, and for each
 source and shard; more than ``MAX_SOURCES`` sources are refused. Documents are ordered within buckets of
-about ``bucket_words`` words, so a source with most rows is spread as finely as any other.
+about ``bucket_words`` words or rows, found by id and text, so a source with most rows is spread as finely as
+any other, also where its rows have no ids or no words.
 
 Defined results: a null or empty text has size 0 and is taken 0 times. Documents that share an id are told
-apart by size; equal ones are interchangeable. A null id is an id like any other.
+apart by text; equal ones are interchangeable. A null id is an id like any other.
 """
 
 from __future__ import annotations
@@ -34,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from beneflow.llm.frames import stored
+from beneflow.llm.frames import free_name, stored
 from beneflow.llm.words import SLICE, slices, words
 
 WEIGHTS = (1, 2, 3)
@@ -42,8 +39,6 @@ MAX_REPEATS = 3
 MAX_SOURCES = 100_000
 BLOCK_WORDS = 64
 SHARDS = 16
-# Blocks a shard, below which a source is dealt by single words.
-FEW_BLOCKS = 2
 BUCKET_WORDS = 50_000
 SEED = 17
 
@@ -116,33 +111,17 @@ class Quota:
     ranges: list[tuple[int, int]]
 
 
-def is_small(size: int, block: int, shards: int) -> bool:
-    return size < FEW_BLOCKS * block * shards
-
-
-def quotas(
-    shard_words: list[list[int]], aims: list[float], small: list[bool], block: int, most: int, seed: int
-) -> list[Quota]:
-    """Seats to sources, then to each source's shards, then blocks. A small source's words are all in its first shard."""
-    blocks = [
-        list(shards) if few else [max(1, (2 * w + block) // (2 * block)) if w else 0 for w in shards]
-        for shards, few in zip(shard_words, small, strict=True)
-    ]
-    full = [most * sum(b) for b in blocks]
-    # A word a seat for the small ones; what they take is not there for the others.
-    by_word = [aim if few else 0.0 for aim, few in zip(aims, small, strict=True)]
-    by_block = [0.0 if few else aim for aim, few in zip(aims, small, strict=True)]
-    words_given = sainte_lague(by_word, int(sum(by_word) + 0.5), full)
-    seats = (2 * (sum(map(sum, shard_words)) - sum(words_given)) + block) // (2 * block)
-    by_source = [w + b for w, b in zip(words_given, sainte_lague(by_block, seats, full), strict=True)]
+def quotas(shard_words: list[list[int]], aims: list[float], block: int, most: int, seed: int) -> list[Quota]:
+    """Words to sources, then to each source's shards, then blocks of a shard from a seeded one."""
+    sizes = [sum(shards) for shards in shard_words]
+    by_source = sainte_lague(aims, sum(sizes), [most * size for size in sizes])
     out = []
-    for source, (shards, own, seats) in enumerate(zip(shard_words, blocks, by_source, strict=True)):
-        given = sainte_lague([float(w) for w in shards], seats, [most * b for b in own])
-        for shard, (total, n, quota) in enumerate(zip(shards, own, given, strict=True)):
-            rounds, rest = divmod(quota, n) if n else (0, 0)
-            start = seeded(f"{seed}:{source}:{shard}", n) if n else 0
-            place = lambda b, total=total, n=n: b * total // n
-            ranges = [(place(start), place(min(start + rest, n))), (0, place(max(0, start + rest - n)))] if n else []
+    for source, (shards, seats) in enumerate(zip(shard_words, by_source, strict=True)):
+        given = sainte_lague([float(w) for w in shards], seats, [most * w for w in shards])
+        for shard, (total, quota) in enumerate(zip(shards, given, strict=True)):
+            rounds, rest = divmod(quota, total) if total else (0, 0)
+            start = block * seeded(f"{seed}:{source}:{shard}", -(-total // block)) if total else 0
+            ranges = [(start, min(start + rest, total)), (0, max(0, start + rest - total))]
             out.append(Quota(source, shard, rounds, [r for r in ranges if r[0] < r[1]]))
     return out
 
@@ -166,7 +145,8 @@ def plan(
     itself follows as struct ``row``.
     """
     spark = docs.sparkSession
-    key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))))
+    own = [F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), F.md5(F.coalesce(F.col(text), F.lit("")))]
+    key = F.md5(F.concat_ws(":", F.lit(seed), *own))
     sized = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(text).alias("size"),
         key.alias("key"), *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []),
@@ -176,24 +156,22 @@ def plan(
     if not carry:
         sized = narrow
     spread = F.conv(F.substring("key", 1, 8), 16, 10).cast("bigint")
-    rows = narrow.groupBy("source").agg(F.sum("size").alias("size")).limit(MAX_SOURCES + 1).collect()
+    rows = narrow.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(rows) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
     rows.sort(key=lambda r: (r.source is None, r.source or ""))
     sizes = [r.size for r in rows]
     aims = targets(sizes, weights, max_repeats)
-    subs = [max(1, -(-size // (shards * bucket_words))) for size in sizes]
-    small = [is_small(size, block_words, shards) for size in sizes]
+    subs = [max(1, -(-max(r.size, r.n) // (shards * bucket_words))) for r in rows]
     # One row for each source: bounded by MAX_SOURCES.
     sources = F.broadcast(spark.createDataFrame(
-        [(i, r.source, size, aim, sub, 1 if few else shards)
-         for i, (r, size, aim, sub, few) in enumerate(zip(rows, sizes, aims, subs, small, strict=True))],
-        "src int, name string, source_size bigint, target double, sub bigint, own_shards int",
+        [(i, r.source, r.size, aim, sub) for i, (r, aim, sub) in enumerate(zip(rows, aims, subs, strict=True))],
+        "src int, name string, source_size bigint, target double, sub bigint",
     ))
 
     def placed(rows: DataFrame) -> DataFrame:
         known = rows.join(sources, F.col("source").eqNullSafe(F.col("name")))
-        return known.withColumn("bucket", spread % (F.col("sub") * F.col("own_shards")))
+        return known.withColumn("bucket", spread % (F.col("sub") * shards))
 
     buckets = placed(narrow).groupBy("src", "bucket").agg(
         F.sum("size").alias("words"), F.first((F.col("bucket") / F.col("sub")).cast("int")).alias("shard")
@@ -203,7 +181,7 @@ def plan(
     shard_words = [[0] * shards for _ in rows]
     for r in totals:
         shard_words[r.src][r.shard] = r.words
-    given = quotas(shard_words, aims, small, block_words, max_repeats, seed)
+    given = quotas(shard_words, aims, block_words, max_repeats, seed)
     # One row for each source and shard.
     given = F.broadcast(spark.createDataFrame(
         [(q.source, q.shard, q.rounds, [list(r) for r in q.ranges]) for q in given],
@@ -234,14 +212,15 @@ def mixed(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     whole = F.transform(F.sequence(F.lit(1), F.col("rounds")), lambda _: F.array(F.lit(0).cast("bigint"), F.col("size")))
     copies = F.concat(F.when(F.col("rounds") > 0, whole).otherwise(F.array()), F.col("pieces"))
     taken = planned.where(F.col("taken") > 0).select("row", "size", F.explode(copies).alias("piece"))
+    wanted_piece = free_name(docs, "piece")
     flat = taken.select(
         F.col("row.*"),
-        F.when((F.col("piece")[0] > 0) | (F.col("piece")[1] < F.col("size")), F.col("piece")).alias("_piece"),
+        F.when((F.col("piece")[0] > 0) | (F.col("piece")[1] < F.col("size")), F.col("piece")).alias(wanted_piece),
     )
 
     def cut(part: pa.RecordBatch) -> pa.RecordBatch:
-        wanted = part.column("_piece").to_pylist()
-        out = part.drop_columns(["_piece"])
+        wanted = part.column(wanted_piece).to_pylist()
+        out = part.drop_columns([wanted_piece])
         at = out.schema.get_field_index(text)
         if any(w is not None for w in wanted):
             texts = [

@@ -56,12 +56,12 @@ FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 MIXING = r"""
 WITH sized AS (
     SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-           md5('17:' || coalesce(doc_id::VARCHAR, 'null')) AS key
+           md5('17:' || coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))) AS key
     FROM documents
 ), summed AS (
-    SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
+    SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n_rows FROM sized GROUP BY source
 ), weighed AS (
-    SELECT source, source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1)::INTEGER AS src FROM summed
+    SELECT source, source_size, n_rows, (row_number() OVER (ORDER BY source NULLS LAST) - 1)::INTEGER AS src FROM summed
 ), numbered AS (
     SELECT *, 1 + src % 3 AS weight, 3 * source_size AS cap, 3.0::DOUBLE * source_size / (1 + src % 3) AS level
     FROM weighed
@@ -79,7 +79,7 @@ WITH sized AS (
     SELECT n.source, n.src, n.source_size,
            CASE WHEN n.source_size = 0 THEN 0.0::DOUBLE WHEN l.full_up THEN n.cap::DOUBLE
                 ELSE (s.rest * n.weight)::DOUBLE / s.weight_up END AS target,
-           greatest(1, (n.source_size + 799999) // 800000) AS sub
+           greatest(1, (greatest(n.source_size, n.n_rows) + 799999) // 800000) AS sub
     FROM numbered n LEFT JOIN limited l USING (src) LEFT JOIN shared s ON true
 ), placed AS (
     SELECT doc_id, size, key, src, source_size, target,
@@ -91,29 +91,23 @@ WITH sized AS (
                                ROWS UNBOUNDED PRECEDING))::BIGINT AS e
     FROM placed
 ), shards AS (
-    SELECT src, shard, sum(size)::BIGINT AS total,
-           CASE WHEN sum(size) > 0 THEN greatest(1, (2 * sum(size) + 64) // 128) ELSE 0 END::BIGINT AS n
-    FROM placed GROUP BY src, shard
+    SELECT src, shard, sum(size)::BIGINT AS total FROM placed GROUP BY src, shard HAVING sum(size) > 0
 ), source_seats AS (
     SELECT src, count(*) AS seats FROM (
         SELECT src, row_number() OVER (ORDER BY target / (2 * seat + 1) DESC, src, seat) AS place
-        FROM aimed JOIN (SELECT src, sum(n)::BIGINT AS n FROM shards GROUP BY src) USING (src),
-             unnest(range(3 * n)) AS t(seat)
-    ) WHERE place <= (SELECT (2 * sum(source_size) + 64) // 128 FROM aimed) GROUP BY src
+        FROM aimed, unnest(range(3 * source_size)) AS t(seat)
+    ) WHERE place <= (SELECT sum(source_size) FROM aimed) GROUP BY src
 ), shard_seats AS (
     SELECT src, shard, count(*) AS quota FROM (
         SELECT src, shard, seats,
                row_number() OVER (PARTITION BY src ORDER BY total::DOUBLE / (2 * seat + 1) DESC, shard, seat) AS place
-        FROM shards JOIN source_seats USING (src), unnest(range(3 * n)) AS t(seat)
+        FROM shards JOIN source_seats USING (src), unnest(range(3 * total)) AS t(seat)
     ) WHERE place <= seats GROUP BY src, shard
-), rounds AS (
-    SELECT src, shard, total, n, quota // n AS rounds, quota % n AS rest,
-           ('0x' || substr(md5('17:' || src || ':' || shard), 1, 8))::BIGINT % n AS start
-    FROM shards JOIN shard_seats USING (src, shard) WHERE n > 0
 ), ranges AS (
-    SELECT src, shard, rounds, start * total // n AS a1, least(start + rest, n) * total // n AS b1,
-           greatest(0, start + rest - n) * total // n AS b2
-    FROM rounds
+    SELECT src, shard, quota // total AS rounds, start AS a1, least(start + quota % total, total) AS b1,
+           greatest(0, start + quota % total - total) AS b2
+    FROM (SELECT *, 64 * (('0x' || substr(md5('17:' || src || ':' || shard), 1, 8))::BIGINT % ((total + 63) // 64)) AS start
+          FROM shards JOIN shard_seats USING (src, shard))
 )
 SELECT doc_id, size, source_size, target,
        CASE WHEN rounds IS NULL THEN 0  -- least and greatest pass over NULL

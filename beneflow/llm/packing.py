@@ -16,7 +16,10 @@ and no task holds more than a buffer. A table row is a matrix:
 * ``doc_ids``, ``offsets``: for each segment its document, null for filling, and the place of its first
   token in the document
 
-Defined results: a null or empty text has no tokens and is in no matrix. Repeated rows are packed as often.
+Long runs of white space, on which the tokenizer would run out of stack, are one word each by the vocabulary's
+pattern, all but the last character where text follows; they are cut out and encoded as that.
+
+Defined results: a null or empty text has no tokens and is in no matrix. Texts are of any length. Repeated rows are packed as often.
 A null id is told from filling by its offset, which is null for filling only. Packing depends on how rows
 are spread over tasks; a task that runs again over the same rows gives the same matrices.
 """
@@ -30,6 +33,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -42,6 +46,10 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 END_ID = 50256
 
+# White space of so many characters or more is encoded apart.
+LONG_BLANK = 100_000
+_BLANKS = regex.compile(rf"\p{{White_Space}}{{{LONG_BLANK},}}+")
+
 ROW_LENGTH = 2048
 MATRIX_ROWS = 32
 BUFFER_TOKENS = 1 << 22
@@ -58,6 +66,19 @@ def encoder(vocabulary: bytes, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def ids_of(encoding: tiktoken.Encoding, text: str) -> list[int]:
+    """The ids ``encode_ordinary`` gives, for texts with any run of white space."""
+    if len(text) < LONG_BLANK:
+        return encoding.encode_ordinary(text)
+    out, at = [], 0
+    for run in _BLANKS.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        out += encoding.encode_ordinary(text[at : run.start()])
+        out += encoding._encode_single_piece(text[run.start() : end].encode())
+        at = end
+    return out + encoding.encode_ordinary(text[at:])
+
+
 class RoomTree:
     """Rows by their room: a segment tree over rooms 0 to ``most`` that tells where any row is left."""
 
@@ -189,7 +210,7 @@ def pack(
             for part in slices(batch):
                 for own, whole in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
                     if whole:
-                        buffer.add(own, np.array([*encoding.encode_ordinary(whole), end_id], dtype=kind))
+                        buffer.add(own, np.array([*ids_of(encoding, whole), end_id], dtype=kind))
                     if buffer.full:
                         yield from packed()
         yield from packed()

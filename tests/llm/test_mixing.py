@@ -102,3 +102,36 @@ def test_small_sources_meet_their_targets(spark):
     for size, (taken, target) in by_source.items():
         assert abs(taken - target) <= (1 if size <= 2000 else 64 + 0.01 * target), (size, taken, target)
     assert sum(taken for taken, _ in by_source.values()) == pytest.approx(sum(sizes.values()), abs=100)
+
+
+def test_both_engines_agree_on_sources_of_any_size(spark, tmp_path):
+    """3 to 100,000 words; targets are met to a word, whatever the size."""
+    import compare
+    import duckdb
+
+    from beneflow.llm.oracle import MIXING
+
+    docs = []
+    for source, size in {"a": 3, "b": 63, "c": 200, "d": 1000, "e": 2047, "f": 2048, "g": 9_000, "h": 100_000, None: 640, "z": 0}.items():
+        each = max(1, size // 50)
+        docs += [(len(docs) + i, "w " * min(each, size - i * each), source) for i in range(-(-size // each) if size else 2)]
+    docs += [(None, "same id", "c"), (None, "other text", "c"), (4, "again", "g")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, source string")
+    df.coalesce(1).write.parquet(str(tmp_path / "documents"))
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents/*.parquet')")
+    plan = M.plan(df).select("doc_id", "size", "source_size", "target", "taken")
+    assert compare.difference(plan, connection, MIXING) is None
+    by_source = {}
+    for r in plan.collect():
+        own = by_source.setdefault((r.source_size, r.target), [0])
+        own[0] += r.taken
+    assert all(abs(taken - target) <= 1 for (_, target), (taken,) in by_source.items())
+
+
+def test_rows_without_ids_or_words_are_spread(spark):
+    df = spark.createDataFrame([(None, f"text number {i}", "s", i) for i in range(3_000)], "doc_id bigint, text string, source string, _piece int")
+    plan = M.plan(df, bucket_words=50, carry=True)
+    assert sum(r.taken for r in plan.collect()) == 9_000
+    rows = M.mixed(df, bucket_words=50)
+    assert rows.columns == df.columns and rows.count() >= 3_000

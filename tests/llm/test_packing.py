@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from beneflow.llm import packing as P
 
@@ -90,3 +91,17 @@ def test_whole_table_is_well_filled(spark, folder):
 
 def test_empty_table(spark):
     assert P.pack(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+@pytest.mark.parametrize("run", [" ", "\n", "\u3000", "a", "7", "-", " \n"])
+def test_runs_of_ten_million(spark, run):
+    """Of any class, with text before and behind; the ids decode to the text, and short runs equal the library's."""
+    with open(P.VOCABULARY, "rb") as file:
+        encoding = P.encoder(file.read(), P.PATTERN)
+    text = "before" + run * (10_000_000 // len(run)) + "behind  " + run * (200_000 // len(run))
+    (row,) = [r for r in spark.createDataFrame([(1, text)], "doc_id bigint, text string").transform(P.pack).agg(F.sum("n_rows").alias("n")).collect()]
+    ids = P.ids_of(encoding, text)
+    assert encoding.decode(ids) == text and row.n == -(-(len(ids) + 1) // P.ROW_LENGTH)
+    for n in (99_999, 100_000, 150_001):
+        for short in (run * n, "x" + run * n, run * n + "x", "x " + run * n + " x\n"):
+            assert P.ids_of(encoding, short) == encoding.encode_ordinary(short)
