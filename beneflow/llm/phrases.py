@@ -47,8 +47,11 @@ LONGEST = 5
 SUPPORT = 100
 BEST = 2000
 SHARDS = 10
-# Words a task counts at a time, up to twice as many at last; phrases written at a time.
+# Words a task counts at a time, up to twice as many at last; fewer where their texts are needed too. Phrases
+# whose counts a task keeps before it passes them on, and phrases written at a time.
 RUN_WORDS = 2_000_000
+COUNTED_WORDS = 1_000_000
+KEPT = 400_000
 WRITTEN = 1 << 15
 # Bits of the filter for each candidate, and bits at most (64 MB).
 BITS_EACH = 16
@@ -256,7 +259,20 @@ def phrase_counts(docs: DataFrame, bloom: np.ndarray, support: int, longest: int
     fold = _WORDS[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, bridge in _runs(batches, RUN_WORDS, True):
+        # A phrase's number, and by number what it is and how often it was met.
+        numbers: dict[int, int] = {}
+        langs, phrases, lengths, met = [], [], [], np.zeros(0, np.int64)
+
+        def kept_ones() -> Iterator[pa.RecordBatch]:
+            for lo in range(0, len(phrases), WRITTEN):
+                some = slice(lo, lo + WRITTEN)
+                yield pa.RecordBatch.from_pydict({
+                    "lang": pa.array(langs[some], pa.string()),
+                    "phrase": pa.array(phrases[some], pa.binary()).cast(pa.string()),
+                    "words": pa.array(lengths[some], pa.int32()), "a": pa.array(met[some]),
+                })
+
+        for shard, bridge in _runs(batches, COUNTED_WORDS, True):
             data = fold[shard.data].tobytes()
             own = len(shard.hashes) - bridge
             names = np.array(shard.langs, dtype=object)
@@ -267,23 +283,28 @@ def phrase_counts(docs: DataFrame, bloom: np.ndarray, support: int, longest: int
                 kept = _holds(sent.value, hashes)
                 # Phrases that begin in the bridge are counted with the next run.
                 begins = kept & (places < own)
-                _, at, counts = _counted(hashes[begins])
-                first = places[begins][at]
+                found, at, counts = _counted(hashes[begins])
+                # New ones get the next numbers, in the order they are found.
+                which = np.array([numbers.setdefault(h, len(numbers)) for h in found.tolist()], dtype=np.int64)
+                first = places[begins][at][which >= len(phrases)]
+                met = np.concatenate([met, np.zeros(len(first), np.int64)])
+                met[which] += counts
+                langs += names[shard.lang[first]].tolist()
+                lengths += [length] * len(first)
                 for lo in range(0, len(first), WRITTEN):
                     some = first[lo : lo + WRITTEN]
                     spans = [(shard.start[some + i].tolist(), shard.end[some + i].tolist()) for i in range(length)]
                     texts = [[data[s:e] for s, e in zip(*span, strict=True)] for span in spans]
-                    phrases = list(map(b" ".join, zip(*texts, strict=True)))
-                    yield pa.RecordBatch.from_pydict({
-                        "lang": pa.array(names[shard.lang[some]], pa.string()),
-                        "phrase": pa.array(phrases, pa.binary()).cast(pa.string()),
-                        "words": pa.array(np.full(len(some), length, np.int32)),
-                        "a": pa.array(counts[lo : lo + WRITTEN].astype(np.int64)),
-                    })
+                    phrases += map(b" ".join, zip(*texts, strict=True))
                 try:
                     step = levels.send(kept)
                 except StopIteration:
                     step = None
+            if len(phrases) >= KEPT:
+                yield from kept_ones()
+                numbers.clear()
+                langs, phrases, lengths, met = [], [], [], np.zeros(0, np.int64)
+        yield from kept_ones()
 
     counted = docs.mapInArrow(run, "lang string, phrase string, words int, a bigint")
     return counted.groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a")).filter(F.col("a") >= support)

@@ -55,6 +55,8 @@ def made(seed, n):
 @pytest.mark.parametrize(("parts", "run_words"), [(1, 2_000_000), (7, 300), (40, 50)])
 def test_equals_brute_force(spark, monkeypatch, parts, run_words):
     monkeypatch.setattr(P, "RUN_WORDS", run_words)
+    monkeypatch.setattr(P, "COUNTED_WORDS", run_words)
+    monkeypatch.setattr(P, "KEPT", 300)
     docs = made(5, 400)
     out = P.mine(table(spark, docs, parts), support=12, most=40)
     want = brute(docs, 12, 40)
@@ -63,6 +65,7 @@ def test_equals_brute_force(spark, monkeypatch, parts, run_words):
 
 def test_one_long_text_is_cut_without_loss(spark, monkeypatch):
     monkeypatch.setattr(P, "RUN_WORDS", 500)
+    monkeypatch.setattr(P, "COUNTED_WORDS", 400)
     rng = random.Random(2)
     docs = [(" ".join(rng.choice(["a", "b", "c d e", "f"]) for _ in range(20_000)), "en"), ("a b " * 9_000, "en")]
     assert sorted(map(tuple, P.mine(table(spark, docs, 1), support=30, most=300).collect())) == brute(docs, 30, 300)
