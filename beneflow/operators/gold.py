@@ -36,8 +36,8 @@ def _mean() -> Column:
     return M.exact_mean(F.sum("vl_liquido"), F.count("vl_liquido"))
 
 
-def _fat_uf(rows: DataFrame, medians: DataFrame, run_ts: str) -> DataFrame:
-    facts = rows.groupBy(*UF_KEYS).agg(
+def _uf_facts(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*UF_KEYS).agg(
         M.rows().alias("qtd_beneficios"),
         _total().alias("vl_total"),
         _mean().alias("vl_medio"),
@@ -50,6 +50,10 @@ def _fat_uf(rows: DataFrame, medians: DataFrame, run_ts: str) -> DataFrame:
         M.distinct_count(F.col("mun_resid_codigo")).alias("qtd_municipios_atendidos"),
         M.distinct_count(F.col("banco_codigo")).alias("qtd_bancos_utilizados"),
     )
+
+
+def finish_uf(facts: DataFrame, medians: DataFrame, run_ts: str) -> DataFrame:
+    """Ranks and shares of the month, on a row for a state and group."""
     count, total = F.col("qtd_beneficios"), F.col("vl_total")
     # grupo_especie_top is the group a row belongs to; the contract calls it so.
     return join_on_keys(facts, medians, UF_KEYS, "left").select(
@@ -65,9 +69,9 @@ def _fat_uf(rows: DataFrame, medians: DataFrame, run_ts: str) -> DataFrame:
     )
 
 
-def _fat_especie(rows: DataFrame, medians: DataFrame, run_ts: str) -> DataFrame:
-    """Two levels: sums per species and state, then per species. States are few, so are the rows between."""
-    by_state = rows.groupBy(*SPECIES_STATE_KEYS).agg(
+def _species_by_state(rows: DataFrame) -> DataFrame:
+    """The first of two levels: sums per species and state, then per species. States are few, so are the rows between."""
+    return rows.groupBy(*SPECIES_STATE_KEYS).agg(
         M.rows().alias("n"),
         F.count("vl_liquido").alias("n_valor"),
         F.sum("vl_liquido").alias("soma"),
@@ -81,6 +85,10 @@ def _fat_especie(rows: DataFrame, medians: DataFrame, run_ts: str) -> DataFrame:
             "n_vl_zero": F.col("fl_vl_zero"),
         }.items()],
     )
+
+
+def finish_species(by_state: DataFrame, medians: DataFrame, run_ts: str) -> DataFrame:
+    """The second level, with the top state, and ranks within the group."""
     percent = lambda counter: M.percent(F.sum(counter), F.sum("n"))
     facts = _with_top_state(by_state).groupBy(*SPECIES_KEYS, "uf_com_mais_beneficios").agg(
         F.sum("n").alias("qtd_beneficios"),
@@ -121,8 +129,8 @@ def _with_top_state(by_state: DataFrame) -> DataFrame:
     )
 
 
-def _fat_banco(rows: DataFrame, run_ts: str) -> DataFrame:
-    facts = rows.groupBy(*BANK_KEYS).agg(
+def _bank_facts(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*BANK_KEYS).agg(
         M.rows().alias("qtd_beneficios"),
         _total().alias("vl_total"),
         _mean().alias("vl_medio"),
@@ -131,6 +139,10 @@ def _fat_banco(rows: DataFrame, run_ts: str) -> DataFrame:
         M.percent_where(F.col("meio_pag_codigo") == "CCF").alias("pct_conta_corrente"),
         M.percent_where(F.col("meio_pag_codigo") == "CMG").alias("pct_cartao"),
     )
+
+
+def finish_bank(facts: DataFrame, run_ts: str) -> DataFrame:
+    """Ranks and market shares of the month, on a row for a bank."""
     count, total = F.col("qtd_beneficios"), F.col("vl_total")
     return facts.select(
         "banco_codigo", "banco_nome", "_ano_mes", "qtd_beneficios", "vl_total", "vl_medio",
@@ -142,8 +154,8 @@ def _fat_banco(rows: DataFrame, run_ts: str) -> DataFrame:
     )
 
 
-def _kpis(rows: DataFrame, national: DataFrame, run_ts: str) -> DataFrame:
-    facts = rows.groupBy(*MONTH_KEYS).agg(
+def _month_facts(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*MONTH_KEYS).agg(
         M.rows().alias("total_beneficios"),
         M.distinct_count(F.col("uf")).alias("total_ufs_atendidas"),
         M.distinct_count(F.col("mun_resid_codigo")).alias("total_municipios_atendidos"),
@@ -158,30 +170,35 @@ def _kpis(rows: DataFrame, national: DataFrame, run_ts: str) -> DataFrame:
         F.count_if("fl_vl_zero").alias("qtd_vl_zero"),
         F.count_if(F.col("sexo").isNull()).alias("qtd_sexo_nulo"),
     )
+
+
+def finish_month(facts: DataFrame, national: DataFrame, run_ts: str) -> DataFrame:
     return join_on_keys(facts, national, MONTH_KEYS, "left").withColumn("_gold_ts", F.lit(run_ts))
 
 
 def fat_uf(silver: DataFrame, run_ts: str, accuracy: int | None = None) -> DataFrame:
     """State x species group x month, ranked and shared within the month."""
     rows = add_species_group(silver)
-    return _fat_uf(rows, percentiles(rows, UF_KEYS, "vl_liquido", MEDIAN, accuracy, MOST_GROUPS), run_ts)
+    medians = percentiles(rows, UF_KEYS, "vl_liquido", MEDIAN, accuracy, MOST_GROUPS)
+    return finish_uf(_uf_facts(rows), medians, run_ts)
 
 
 def fat_especie(silver: DataFrame, run_ts: str, accuracy: int | None = None) -> DataFrame:
     """Species x month with its top state, ranked within the species group."""
     rows = add_species_group(silver)
-    return _fat_especie(rows, percentiles(rows, SPECIES_KEYS, "vl_liquido", MEDIAN, accuracy, MOST_GROUPS), run_ts)
+    medians = percentiles(rows, SPECIES_KEYS, "vl_liquido", MEDIAN, accuracy, MOST_GROUPS)
+    return finish_species(_species_by_state(rows), medians, run_ts)
 
 
 def fat_banco(silver: DataFrame, run_ts: str) -> DataFrame:
     """Bank x month with market shares."""
-    return _fat_banco(silver, run_ts)
+    return finish_bank(_bank_facts(silver), run_ts)
 
 
 def kpis_nacionais(silver: DataFrame, run_ts: str, accuracy: int | None = None) -> DataFrame:
     """One row per month."""
     national = percentiles(silver, MONTH_KEYS, "vl_liquido", NATIONAL_PERCENTILES, accuracy, MOST_GROUPS)
-    return _kpis(silver, national, run_ts)
+    return finish_month(_month_facts(silver), national, run_ts)
 
 
 def gold_tables(silver: DataFrame, run_ts: str, accuracy: int | None = None) -> dict[str, DataFrame]:

@@ -511,6 +511,17 @@ ORACLE: dict[str, str] = {
         f"SELECT _ano_mes, {N} AS qtd, CAST(count(CASE WHEN _ano_mes >= {_text(Q.EVOLVED_FROM)} "
         "THEN especie_descricao END) AS BIGINT) AS com_descricao FROM bronze GROUP BY _ano_mes"
     ),
+    "schema_evolution_variant": _bronze(
+        f"SELECT CASE WHEN _ano_mes < {_text(Q.EXTRAS_FROM)} THEN 'older' WHEN _ano_mes < {_text(Q.EVOLVED_FROM)} THEN 'middle' "
+        f"ELSE 'newer' END AS pasta, uf, {N} AS qtd, "
+        f"CAST(count(vl_liquido) FILTER (WHERE pasta <> 'older') AS BIGINT) AS com_nota, "
+        f"CAST(sum(vl_liquido) FILTER (WHERE pasta <> 'older') AS VARCHAR) AS vl_nota, "
+        f"CAST(min(dt_inicio_validade) FILTER (WHERE pasta = 'middle') AS VARCHAR) AS primeira_visita, "
+        f"CAST(max(dt_inicio_validade) FILTER (WHERE pasta = 'middle') AS VARCHAR) AS ultima_visita, "
+        f"CAST(count(DISTINCT trim(especie_descricao)) FILTER (WHERE pasta = 'newer') AS BIGINT) AS observacoes "
+        "FROM bronze GROUP BY pasta, uf"
+    ),
+    "incremental_gold": _silver("SELECT * FROM fat_uf", FAT_UF),
     "incremental_ingest": (
         f"SELECT strftime(ts, '%Y%m%d') AS dia, event_type, {N} AS qtd, "
         "CAST(sum(CAST(value AS DECIMAL(18,2))) AS VARCHAR) AS valor FROM events GROUP BY ALL"

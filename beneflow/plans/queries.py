@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from beneflow.functions import fixed
 from beneflow.functions import measures as M
 from beneflow.functions.catalog import register_functions
-from beneflow.operators import gold, layers, quality, reports, states
+from beneflow.operators import extras, gold, layers, quality, reports, states
 from beneflow.operators.percentiles import percentiles
 from beneflow.operators.ranking import (
     species_with_top_state,
@@ -41,6 +41,7 @@ LAST_TS = "2026-04-01T00:00:00Z"
 SOURCE = "landing/beneficios"
 REWRITTEN_MONTH = "199803"
 EVOLVED_FROM = "199801"
+EXTRAS_FROM = "199501"
 DELIVERY_HEADER = [
     "Espécie" if header.startswith("Espécie") else header for header in fixed.LANDING_TO_BRONZE
 ]
@@ -420,6 +421,52 @@ def schema_evolution(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def schema_evolution_variant(spark: SparkSession, sf: str) -> DataFrame:
+    """Deliveries with different columns beyond the contract, kept as VARIANT up to silver and typed there."""
+    base = shared_folder(spark, "extras")
+    feed = benefits.landing_feed(spark, sf)
+    given = {"Nota": "Vl Líquido", "Dt. Visita": "Dt início validade", "Observação": "Espécie13"}
+    folders = {
+        "older": (F.col(MONTH) < EXTRAS_FROM, []),
+        "middle": (F.col(MONTH).between(EXTRAS_FROM, EVOLVED_FROM) & (F.col(MONTH) != EVOLVED_FROM), ["Nota", "Dt. Visita"]),
+        "newer": (F.col(MONTH) >= EVOLVED_FROM, ["Observação", "Nota"]),
+    }
+    for folder, (chosen, names) in folders.items():
+        more = [F.col(f"`{given[name]}`").alias(name) for name in names]
+        part = feed.where(chosen).select(*[F.col(f"`{c}`") for c in fixed.LANDING_TO_BRONZE], *more)
+        deliveries.write_delivery(part, f"{base}/{MONTH}={folder}", [*DELIVERY_HEADER, *names])
+    lake = layer_chain.Lake(f"{base}/layers")
+    layer_chain.run_landing(spark, base, list(folders), lake, RUN_TS)
+    layer_chain.run_bronze(spark, list(folders), lake, RUN_TS, variant=True)
+    layer_chain.run_silver(spark, list(folders), lake, RUN_TS)
+    typed = extras.with_extras(
+        read_table(spark, lake.table("silver")), {"Nota": extras.MONEY, "Dt. Visita": extras.DAY, "Observação": "string"}
+    )
+    return typed.groupBy(F.col(MONTH).alias("pasta"), "uf").agg(
+        M.rows().alias("qtd"), F.count("Nota").alias("com_nota"), F.sum("Nota").alias("vl_nota"),
+        F.min("`Dt. Visita`").alias("primeira_visita"), F.max("`Dt. Visita`").alias("ultima_visita"),
+        F.countDistinct("Observação").alias("observacoes"),
+    )
+
+
+def incremental_gold(spark: SparkSession, sf: str) -> DataFrame:
+    """Two deliveries, the second with late files for some months: ``fat_uf`` finished from the states of both."""
+    base = shared_folder(spark, "increments")
+    feed = benefits.landing_feed(spark, sf)
+    late = (F.col(MONTH) >= EVOLVED_FROM) & (F.pmod(F.xxhash64("Vl Líquido", "UF"), F.lit(3)) == 0)
+    lake = layer_chain.Lake(f"{base}/layers")
+    for delivery in (feed.where(~late), feed.where(late)):
+        (
+            delivery.hint("rebalance", MONTH)
+            .write.mode("append").partitionBy(MONTH)
+            .options(header=True, sep=";", encoding=fixed.DELIVERY_ENCODING)
+            .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+            .csv(f"{base}/deliveries")
+        )
+        layer_chain.follow_files(spark, f"{base}/deliveries", lake, f"{base}/checkpoint", RUN_TS)
+    return read_table(spark, lake.table("fat_uf"))
+
+
 def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """Two deliveries touching the same days; the second run rebuilds whole days."""
     base = shared_folder(spark, "arrivals")
@@ -616,7 +663,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
     "month_replace_idempotent": month_replace_idempotent,
     "schema_evolution": schema_evolution,
+    "schema_evolution_variant": schema_evolution_variant,
     "incremental_ingest": incremental_ingest,
+    "incremental_gold": incremental_gold,
     "synthetic_people": synthetic_people,
     "run_audit": run_audit,
     "table_register": table_register,

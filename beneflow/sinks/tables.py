@@ -16,6 +16,10 @@ AUDIT_SCHEMA = (
 )
 
 
+# The delivery a row came with, where a table keeps deliveries apart.
+BATCH = "_lote"
+
+
 @dataclass(frozen=True)
 class Written:
     """What one write put into a table."""
@@ -72,6 +76,19 @@ def _empty_part(df: DataFrame, path: str, key: str, part: str) -> None:
     nothing.write.mode("overwrite").parquet(f"{path}/{key}={part}")
 
 
+def replace_batch(df: DataFrame, path: str, batch: int, key: str = MONTH) -> int:
+    """Write a delivery as the partition ``_lote=batch`` of a table, whole, in place of an earlier attempt; its rows."""
+    written = Observation()
+    (
+        df.observe(written, F.count(F.lit(1)).alias("rows"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(key)
+        .parquet(f"{path}/{BATCH}={batch}")
+    )
+    return written.get["rows"]
+
+
 def part_metrics(
     df: DataFrame, watched: Sequence[str] = (), key: str = MONTH
 ) -> DataFrame:

@@ -176,6 +176,13 @@ def read_monthly_deliveries(
     return _read(spark, [f"{base}/{MONTH}={month}" for month in months], known, base, rejected)
 
 
+def read_delivery_files(
+    spark: SparkSession, base: str, files: Sequence[str], known: Sequence[str] = (), rejected: bool = False
+) -> DataFrame:
+    """Some files of ``base/_ano_mes=YYYYMM/`` as text columns plus the month; no other file is read."""
+    return _read(spark, files, known, base, rejected)
+
+
 def write_delivery(
     df: DataFrame, path: str, header: Sequence[str], separator: str = ";", mode: str = "error"
 ) -> None:

@@ -46,6 +46,40 @@ def on_arrivals(
     query.awaitTermination()
 
 
+def on_new_files(
+    spark: SparkSession,
+    folder: str,
+    checkpoint: str,
+    add: Callable[[Sequence[str], int], None],
+    key: str = MONTH,
+    files_at_a_time: int = 1000,
+) -> None:
+    """Call ``add`` with the files under ``folder/key=value/`` not seen before and the number of their batch, then stop.
+
+    More than ``files_at_a_time`` files make several batches, one after the other. A batch that fails is
+    repeated by the next run under its number and with the same files, so ``add`` has to replace what it
+    left under that number.
+    """
+
+    def batch_arrived(batch: DataFrame, number: int) -> None:
+        files = sorted(row[0] for row in batch.collect())
+        if files:
+            add(files, number)
+
+    query = (
+        spark.readStream.format("binaryFile")
+        .schema(f"{FILE_SCHEMA}, {key} string")
+        .option("maxFilesPerTrigger", files_at_a_time)
+        .load(folder)
+        .select("path")
+        .writeStream.foreachBatch(batch_arrived)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
 def ingest_arrivals(
     spark: SparkSession,
     landing: str,
