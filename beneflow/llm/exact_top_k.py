@@ -36,6 +36,8 @@ SHARD_ROWS = 16384
 LEAF_ROWS = 256
 QUERY_BLOCK = 8192
 PILOT_ROWS = 1024
+# Below any score.
+NO_SCORE = np.iinfo(np.int64).min
 SCHEMA = "query_id bigint, query_row int, vec_id bigint, score bigint"
 
 
@@ -78,12 +80,13 @@ class Best:
 
     __slots__ = ("floor", "ids", "k", "scores")
 
-    def __init__(self, k: int, floor: float):
+    def __init__(self, k: int, floor: int):
         self.k, self.floor = k, floor
-        self.scores, self.ids = np.zeros(0), np.zeros(0, np.int64)
+        self.scores, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
-        self.scores, self.ids = np.concatenate([self.scores, scores]), np.concatenate([self.ids, ids])
+        self.scores = np.concatenate([self.scores, scores.astype(np.int64)])
+        self.ids = np.concatenate([self.ids, ids])
         if len(self.scores) > self.k:
             order = np.lexsort((self.ids, -self.scores))[: self.k]
             self.scores, self.ids = self.scores[order], self.ids[order]
@@ -119,21 +122,28 @@ class Queries:
     floors: np.ndarray
 
 
+def _largest(vectors: np.ndarray) -> float:
+    return float(np.abs(vectors.astype(float)).max(initial=0))
+
+
 def as_numbers(largest: float, other: float, length: int):
-    """Doubles hold every sum exactly below 2^53; beyond that 64-bit integers are used."""
-    return np.float64 if largest * other * max(length, 1) < 2**53 else np.int64
+    """Doubles hold every sum exactly below 2^53; beyond that 64-bit integers are used, as far as they reach."""
+    bound = largest * other * max(length, 1)
+    if bound >= 2**63 * (1 - 1e-9):
+        raise OverflowError(f"scores of {length} components up to {largest:.4g} and {other:.4g} pass 64 bits")
+    return np.float64 if bound < 2**53 else np.int64
 
 
 def make_queries(ids: np.ndarray, rows: np.ndarray, vectors: np.ndarray, k: int) -> Queries:
     pilot = vectors[:PILOT_ROWS]
-    largest = float(np.abs(vectors).max(initial=0))
+    largest = _largest(vectors)
     kind = as_numbers(largest, largest, vectors.shape[1])
-    floors = np.full(len(ids), -np.inf)
+    floors = np.full(len(ids), NO_SCORE)
     for at in range(0, len(ids), 1024):
-        scores = (vectors[at : at + 1024].astype(kind) @ pilot.astype(kind).T).astype(float)
-        scores[ids[at : at + 1024, None] == ids[None, : len(pilot)]] = -np.inf
-        if scores.shape[1] > k:
-            floors[at : at + 1024] = -np.partition(-scores, k - 1, axis=1)[:, k - 1]
+        scores = (vectors[at : at + 1024].astype(kind) @ pilot.astype(kind).T).astype(np.int64)
+        scores[ids[at : at + 1024, None] == ids[None, : len(pilot)]] = NO_SCORE
+        if (candidates := scores.shape[1]) > k:
+            floors[at : at + 1024] = np.partition(scores, candidates - k, axis=1)[:, candidates - k]
     return Queries(ids, rows, vectors, floors)
 
 
@@ -156,9 +166,7 @@ def _search_task(sent: Broadcast, k: int, shard_rows: int, leaf_rows: int):
             if length not in queries:
                 continue
             q = queries[length]
-            kind = as_numbers(
-                float(np.abs(points).max(initial=0)), float(np.abs(q.vectors).max(initial=0)), length
-            )
+            kind = as_numbers(_largest(points), _largest(q.vectors), length)
             tree = build_tree(points.astype(kind), own_ids, leaf_rows)
             for at in range(0, len(q.ids), 1024):
                 asked = q.vectors[at : at + 1024].astype(kind)
@@ -189,7 +197,7 @@ def _search_task(sent: Broadcast, k: int, shard_rows: int, leaf_rows: int):
                 query_id=np.repeat(q.ids, counts),
                 query_row=np.repeat(q.rows, counts).astype(np.int32),
                 vec_id=np.concatenate([b.ids for b in found]),
-                score=np.concatenate([b.scores for b in found]).astype(np.int64),
+                score=np.concatenate([b.scores for b in found]),
             )
 
     return run

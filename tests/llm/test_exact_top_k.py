@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from beneflow.llm.exact_top_k import exact_top_k
@@ -50,5 +51,21 @@ def test_large_components_stay_exact(spark):
     assert run(spark, rows, 4) == brute(rows, 4, lambda i: i % 5 == 0)
 
 
+def test_scores_beyond_doubles(spark):
+    """Odd scores above 2^53 keep their last bit, and neighbours keep their order."""
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(2.0**21), float(1 + 2 * (i % 7)) / 64, float(rng.integers(-3, 4)) / 64], None, None) for i in range(200)]
+    expected = brute(rows, 6, lambda i: i % 5 == 0)
+    assert all(score > 2**53 for *_, score in expected) and any(score % 2 for *_, score in expected)
+    assert run(spark, rows, 6) == expected
+    assert run(spark, rows, 6, shard_rows=30, leaf_rows=4, query_block=10) == expected
+
+
+def test_scores_beyond_64_bits_are_refused(spark):
+    rows = [(i, [float(2.0**40), 1.0], None, None) for i in range(10)]
+    with pytest.raises(Exception, match="64 bits"):
+        run(spark, rows, 2)
+
+
 def test_empty_table(spark):
     assert run(spark, [], 5) == set()
