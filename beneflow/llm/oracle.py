@@ -200,8 +200,11 @@ FROM ranked WHERE rank <= 2000
 """
 
 
-def _url_templates(depth: int = 4) -> str:
-    """The tree level by level: CTE ``level<d>`` holds the shapes with their first d template segments."""
+def _url_templates(depth: int = 6) -> str:
+    """The tree level by level: CTE ``level<d>`` holds the shapes with their first d template segments.
+
+    SQL has a level written out for each segment of the longest path; no given table has one of more than two.
+    """
     segments = [f"s{d}" for d in range(1, depth + 2)]
     rule = lambda host, path: (
         f"((host = '{host}' OR suffix(host, '.{host}')) AND prefix(path, '{path}'))"
@@ -230,7 +233,7 @@ def _url_templates(depth: int = 4) -> str:
     for d in range(1, depth + 1):
         node = ", ".join(["host", *[f"t{i}" for i in range(1, d)]])
         tail = f"concat_ws('/', {', '.join(segments[d:])})"
-        parts.append(f"""tails{d} AS (
+        parts.append(f"""tails{d} AS MATERIALIZED (
     SELECT {node}, s{d}, {tail} AS tail, sum(n)::DOUBLE AS n, sum(good)::DOUBLE AS good,
            sum(labelled)::DOUBLE AS labelled FROM level{d - 1} GROUP BY {node}, s{d}, {tail}),
 branches{d} AS (
@@ -246,7 +249,7 @@ distances{d} AS (
     FROM (SELECT {node}, s{d}, tail, n FROM tails{d}) JOIN branches{d} USING ({node}, s{d}) JOIN nodes{d} USING ({node})
          JOIN node_tails{d} USING ({node}, tail)
     GROUP BY ALL),
-level{d} AS (
+level{d} AS MATERIALIZED (
     SELECT level{d - 1}.*, CASE WHEN s{d} <> '' AND ((children >= 16 AND n_b < n_p * 0.05)
                OR (distance <= 0.2 + 1 / sqrt(n_b)
                    AND NOT (good_b - labelled_b * rate) ** 2 > labelled_b * rate * (1 - rate) * 3.84))
@@ -258,7 +261,7 @@ level{d} AS (
     for d in range(1, depth + 1):
         above = ", ".join(["host", *[f"t{i}" for i in range(1, d)]])
         parts.append(f"""pure{d} AS (
-    SELECT {above}, t{d}, (g + 10 * purity) / (l + 10)::DOUBLE AS purity
+    SELECT {above}, t{d}, {f"CASE WHEN t{d - 1} = '' THEN purity ELSE " if d > 1 else ""}(g + 10 * purity) / (l + 10)::DOUBLE{" END" if d > 1 else ""} AS purity
     FROM (SELECT {above}, t{d}, sum(good) AS g, sum(labelled) AS l FROM level{depth} GROUP BY {above}, t{d})
          JOIN pure{d - 1} USING ({above}))""")
     node = ", ".join(["host", *[f"t{i}" for i in range(1, depth + 1)]])
