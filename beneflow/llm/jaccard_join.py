@@ -363,8 +363,8 @@ def similar_classes(
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row.
 
-    With ``counts`` also (class, n_links, component_links): the hash of its set, with how many other sets that
-    one is linked, and how many links its component has.
+    With ``counts`` also (class, class_id, n_links, component_links): the hash of its set, the smallest id that has
+    the same set, with how many other sets that one is linked, and how many links its component has.
     """
     steps = Steps(docs.sparkSession, "jaccard-join")
     signed, classes, found = _linked(docs, size, percent, doc_id, text, steps)
@@ -380,14 +380,15 @@ def similar_classes(
         # Both ends have counted a link.
         more = [(F.sum("n_links") / 2).cast("bigint").alias("component_links")]
     smallest = linked.groupBy("root").agg(F.min("least").alias("component_id"), *more)
-    names = linked.join(smallest, "root").select("cls", "component_id", *(["n_links", "component_links"] if counts else []))
+    names = linked.join(smallest, "root").select("cls", "component_id", *(["least", "n_links", "component_links"] if counts else []))
     names = stored(names, "names")
     steps.drop()
     none = F.lit(0).cast("bigint")
     return rows.join(names, "cls", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        *([F.col("cls").alias("class"), *(F.coalesce(c, none).alias(c) for c in ("n_links", "component_links"))] if counts else []),
+        *([F.col("cls").alias("class"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("class_id"),
+           *(F.coalesce(c, none).alias(c) for c in ("n_links", "component_links"))] if counts else []),
     )
 
 

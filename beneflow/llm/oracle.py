@@ -315,6 +315,17 @@ WITH RECURSIVE split AS (
     SELECT reached.a, pairs.b FROM reached JOIN pairs ON reached.b = pairs.a
 ), components AS (
     SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a
+), classes AS (
+    SELECT doc_id, CASE WHEN len(s) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY list_sort(s)) END AS class_id FROM shingled
+), class_links AS (
+    SELECT ca.class_id, any_value(a) AS doc_id, count(DISTINCT cb.class_id) AS n_links
+    FROM pairs JOIN classes ca ON a = ca.doc_id JOIN classes cb ON b = cb.doc_id
+    WHERE ca.class_id <> cb.class_id GROUP BY ca.class_id
+), component_sums AS (
+    SELECT component_id, sum(n_links) // 2 AS component_links FROM class_links JOIN components USING (doc_id) GROUP BY component_id
 )
-SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id FROM shingled JOIN components USING (doc_id)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, class_id, coalesce(n_links, 0)::BIGINT AS n_links,
+       coalesce(component_links, 0)::BIGINT AS component_links
+FROM shingled JOIN components USING (doc_id) JOIN classes USING (doc_id)
+     LEFT JOIN (SELECT class_id, n_links FROM class_links) USING (class_id) LEFT JOIN component_sums USING (component_id)
 """

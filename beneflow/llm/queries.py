@@ -71,7 +71,8 @@ def op7_zip_warc(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op8_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
-    return jaccard_join.similar_classes(table(spark, sf, "documents"))
+    """Classes are named by their smallest id; links are those between different sets."""
+    return jaccard_join.similar_classes(table(spark, sf, "documents"), counts=True).drop("class")
 
 
 def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:

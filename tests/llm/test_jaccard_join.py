@@ -117,6 +117,8 @@ def test_all_links_and_their_counts(spark, monkeypatch, size, percent, small):
     assert sorted(((r.doc_id, r.n_links) for r in found), key=str) == sorted(
         ((r[0], of_set[frozenset(shingle_set(r[1], size))]) for r in rows), key=str
     )
+    named = [(r.doc_id, r.class_id) for r in found if r.n_shingles]
+    assert sorted(named, key=str) == sorted(((r[0], least[s]) for r in rows if (s := frozenset(shingle_set(r[1], size)))), key=str)
     of_component = {}
     for links, own in {r["class"]: (r.component_links, r) for r in found if r["class"] is not None}.values():
         of_component.setdefault((own.component_id, links), []).append(own.n_links)
