@@ -18,6 +18,10 @@ Equal sets are one class, so copies never meet each other. For the rest:
    connect what was not connected yet are kept; the classes come out the same.
 5. Connected components of those links by repeated contraction.
 
+Where only the components are asked for, a family of near copies is connected first: classes that share a token
+with more classes than a group holds make one visit each, to a group that the whole family names. Steps 3 and 4
+then leave out what would meet its own component only, so visits grow with the family and not with its square.
+
 Whole sets are not stored for all documents: those of classes that visit or are visited are made from the
 texts a second time, found by a fixed-size bitmap, and joined by class.
 
@@ -168,16 +172,45 @@ def grouped(classes: DataFrame, percent: int, steps: Steps) -> DataFrame:
 GROUP = ["group_token", "group_size", "salt"]
 
 
+def postings_of(members: DataFrame, *more: str) -> DataFrame:
+    """(cls, n, group, more, pos, token): a row for each prefix token that a member shares with another class."""
+    rows = members.select("cls", "n", *GROUP, *more, F.explode("tokens").alias("t"))
+    return rows.select("cls", "n", *GROUP, *more, "t.pos", "t.token")
+
+
+def first_visits(members: DataFrame) -> DataFrame:
+    """(cls, n, group): for classes with tokens that more than a group's number of classes have, one group to visit first.
+
+    Every such token names the fullest of the groups that have it, and a class visits the one that most of its
+    tokens name. So a family of near copies meets in one group, and each of its classes makes one visit there.
+    """
+    full = members.groupBy(*GROUP).agg(F.count("*").alias("full"))
+    rows = postings_of(members.join(full, GROUP), "full")
+    group = F.struct("full", F.xxhash64(*GROUP).alias("place"), *GROUP)
+    named = rows.groupBy("token").agg(F.count("*").alias("classes"), F.max(group).alias("named"))
+    named = named.where(F.col("classes") > GROUP_CLASSES).select("token", "named")
+    tokens = rows.select("cls", "n", "token").join(named, "token").groupBy("cls", "n", "named").agg(F.count("*").alias("tokens"))
+    first = tokens.groupBy("cls", "n").agg(F.max(F.struct("tokens", "named")).alias("most"))
+    return first.select("cls", "n", *[F.col(f"most.named.{c}").alias(c) for c in GROUP])
+
+
 def visits(members: DataFrame, percent: int, steps: Steps) -> DataFrame:
     """(cls, n, group): groups that a class may have a link in, by shared prefix tokens, sizes and positions.
 
     The tokens shared with the union of a group are at least those shared with any member. Of two sets the larger one visits.
+    Members may have a ``root``, which says what is connected by now. Then only what could connect different roots
+    is visited: tokens that one root alone has are left out, and so are groups whose holders of a token share the visitor's root.
     """
-    rows = members.select("cls", "n", *GROUP, F.explode("tokens").alias("t")).select("cls", "n", *GROUP, "t.pos", "t.token")
+    rooted = ["root"] if "root" in members.columns else []
+    rows = postings_of(members, *rooted)
+    if rooted:
+        apart = rows.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token")
+        rows = steps.keep(rows.join(apart, "token"), "tokens-apart")
     n = F.col("n")
     looked_up = F.col("pos") < n - least_overlap(n, n, percent) + SHARED
     matrix = rows.where(looked_up).groupBy("token", *GROUP).agg(
-        F.min("pos").alias("first"), F.min("n").alias("n_low"), F.max("n").alias("n_high"), F.count("*").alias("having")
+        F.min("pos").alias("first"), F.min("n").alias("n_low"), F.max("n").alias("n_high"), F.count("*").alias("having"),
+        *([F.min("root").alias("root_low"), F.max("root").alias("root_high")] if rooted else []),
     )
     least = F.greatest(F.col("n_low"), F.ceil(n * percent / 100))
     most = F.least(F.col("n_high"), n)
@@ -191,6 +224,8 @@ def visits(members: DataFrame, percent: int, steps: Steps) -> DataFrame:
         # A class does not visit its own group for a token that only it is looked up by there.
         & ~(own & (F.col("having") == 1) & looked_up)
     )
+    if rooted:
+        may_link &= (F.col("root_low") != F.col("q.root")) | (F.col("root_high") != F.col("q.root"))
     found = rows.alias("q").join(steps.keep(matrix, "token-groups").alias("m"), (F.col("q.token") == F.col("m.token")) & may_link)
     needed = F.least(F.lit(SHARED), F.min(least_overlap(n, least, percent)))
     return (
@@ -243,9 +278,11 @@ class Forest:
 
 
 def open_group(
-    members: list[tuple[int, np.ndarray]], visitors: list[tuple[int, np.ndarray]], percent: int
+    members: list[tuple[int, np.ndarray]], visitors: list[tuple[int, np.ndarray]], percent: int, both_ways: bool = False
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(a, b, new): links of visitors a with members b of a smaller size or hash; whether one connects anything new."""
+    """(a, b, new): links of visitors a with members b of a smaller size or hash (``both_ways``: with any but
+    themselves); whether one connects anything new.
+    """
     sizes = np.array([len(s) for _, s in members])
     names = np.array([c for c, _ in members], dtype=np.int64)
     flat, owner = np.concatenate([s for _, s in members]), np.repeat(np.arange(len(members)), sizes)
@@ -258,13 +295,14 @@ def open_group(
         at = np.minimum(np.searchsorted(union, tokens), len(union) - 1)
         at = at[union[at] == tokens]
         # The overlap with the union bounds that with any member.
-        if 100 * len(at) < percent * len(tokens):
+        if not both_ways and 100 * len(at) < percent * len(tokens):
             continue
         n = many[at]
         hits = owner[np.repeat(begin[at] - np.cumsum(n) + n, n) + np.arange(n.sum())]
         shared = np.bincount(hits, minlength=len(members))
         similar = 100 * shared >= percent * (len(tokens) + sizes - shared)
-        found = names[similar & ((sizes < len(tokens)) | (sizes == len(tokens)) & (names < cls))].tolist()
+        partner = (names != cls) if both_ways else (sizes < len(tokens)) | (sizes == len(tokens)) & (names < cls)
+        found = names[similar & partner].tolist()
         a += [cls] * len(found)
         b += found
         new += [forest.join(cls, other) for other in found]
@@ -272,10 +310,12 @@ def open_group(
 
 
 def links(
-    texts: DataFrame, members: DataFrame, visiting: DataFrame, size: int, percent: int, steps: Steps, every: bool = False
-) -> DataFrame:
+    texts: DataFrame, members: DataFrame, visiting: DataFrame, size: int, percent: int, steps: Steps, every: bool = False,
+    both_ways: bool = False,
+) -> DataFrame:
     """(a, b, links): links between classes that connect all that any link connects, with 0, and (a, a) with
-    numbers of links that add up to those of a. ``every``: each link once instead, with 1.
+    numbers of links that add up to those of a. ``every``: each link once instead, with 1. ``both_ways``: visitors are
+    linked with larger sets too, so that a link may be found twice.
     """
     load = F.greatest(F.ceil(F.sum("n") / CHUNK_TOKENS), F.ceil(F.count("*") / CHUNK_VISITORS)).cast("int")
     chunks = steps.keep(visiting.groupBy(*GROUP).agg(load.alias("chunks")), "visited")
@@ -294,7 +334,7 @@ def links(
         sides: tuple[list, list] = ([], [])
         for cls, own, visits in zip(*(table.column(c) for c in ("cls", "set", "visits")), strict=True):
             sides[visits.as_py()].append((cls.as_py(), np.frombuffer(own.as_buffer(), np.uint64)))
-        a, b, new = open_group(*sides, percent) if all(sides) else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))
+        a, b, new = open_group(*sides, percent, both_ways) if all(sides) else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))
         counts = np.ones(len(a), np.int64)
         if not every:
             linked, counts = np.unique(np.concatenate([a, b]), return_counts=True)
@@ -343,10 +383,30 @@ def components(edges: DataFrame, steps: Steps) -> DataFrame:
     return roots.join(smallest, "root").select(F.col("node.id").alias("node"), F.col("smallest").alias("root"))
 
 
+def connecting(texts: DataFrame, members: DataFrame, size: int, percent: int, steps: Steps) -> DataFrame:
+    """(a, b): links that connect all classes that any links connect, in visits that do not grow with a family's square.
+
+    One visit of each class of a family first; then only what that has left apart is looked for.
+    """
+    spark, early = texts.sparkSession, None
+    visiting = steps.keep(first_visits(members), "first-visits")
+    if not visiting.isEmpty():
+        own = Steps(spark, "first-links")
+        early = steps.keep(links(texts, members, visiting, size, percent, own, both_ways=True).where("a != b").select("a", "b"), "first-links")
+        roots = components(early, own).withColumnRenamed("node", "cls")
+        members = steps.keep(members.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls")), "rooted")
+        own.drop()
+    visiting = steps.keep(visits(members, percent, steps), "visits")
+    found = steps.keep(links(texts, members, visiting, size, percent, steps).where("a != b").select("a", "b"), "links")
+    return found if early is None else early.union(found)
+
+
 def _linked(
-    docs: DataFrame, size: int, percent: int, doc_id: str, text: str, steps: Steps, every: bool = False
+    docs: DataFrame, size: int, percent: int, doc_id: str, text: str, steps: Steps, every: bool = False, counts: bool = False
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Signatures of the rows, their classes with the smallest id, and the ``links``."""
+    """Signatures of the rows, their classes with the smallest id, and the ``links``; without ``every`` or ``counts``
+    only ``connecting`` ones.
+    """
     texts = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     signed = steps.keep(signatures(texts, token_ranks(texts, size), size, percent), "signatures")
     classes = steps.keep(
@@ -354,6 +414,8 @@ def _linked(
         "classes",
     )
     members = steps.keep(grouped(classes, percent, steps), "members")
+    if not (every or counts):
+        return signed, classes, connecting(texts, members, size, percent, steps)
     visiting = steps.keep(visits(members, percent, steps), "visits")
     return signed, classes, steps.keep(links(texts, members, visiting, size, percent, steps, every), "links")
 
@@ -367,7 +429,7 @@ def similar_classes(
     the same set, with how many other sets that one is linked, and how many links its component has.
     """
     steps = Steps(docs.sparkSession, "jaccard-join")
-    signed, classes, found = _linked(docs, size, percent, doc_id, text, steps)
+    signed, classes, found = _linked(docs, size, percent, doc_id, text, steps, counts=counts)
     rows = stored(signed.select("doc_id", "n", "cls"), "rows")
     roots = components(found.select("a", "b"), steps)
     linked = classes.select("cls", "least").join(roots.withColumnRenamed("node", "cls"), "cls", "left")

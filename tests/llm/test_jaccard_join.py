@@ -80,6 +80,41 @@ def test_equals_brute_force(spark, monkeypatch, percent, small):
         assert sorted(i for i in ids if i is not None) == sorted([*first, 3])
 
 
+@pytest.mark.parametrize(("size", "percent"), [(3, 90), (3, 60), (5, 80)])
+def test_connecting_links_give_the_same_components(spark, monkeypatch, size, percent):
+    """Small groups, so that families are connected by first visits; with and without the numbers of links."""
+    for name, value in (("GROUP_TOKENS", 500), ("GROUP_CLASSES", 4), ("CHUNK_TOKENS", 700), ("CHUNK_VISITORS", 6)):
+        monkeypatch.setattr(J, name, value)
+    df = spark.createDataFrame(corpus(), SCHEMA).repartition(3)
+    found = J.similar_classes(df, size=size, percent=percent).collect()
+    every = J.similar_classes(df, size=size, percent=percent, counts=True).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, found), key=str) == sorted(map(tuple, every), key=str)
+
+
+def test_visits_of_a_family_grow_in_proportion(spark, monkeypatch):
+    """Near copies of one text, each with one word changed: all are one component."""
+    rng, made, keep = random.Random(4), [], Steps.keep
+
+    def counting(self, df, name):
+        kept = keep(self, df, name)
+        if name in ("first-visits", "visits"):
+            made[-1] += kept.count()
+        return kept
+
+    monkeypatch.setattr(Steps, "keep", counting)
+    base = [f"w{i}" for i in range(200)]
+    for copies in (1000, 2000):
+        rows = []
+        for i in range(copies):
+            words = list(base)
+            words[rng.randrange(200)] = f"x{i}"
+            rows.append((i, " ".join(words)))
+        made.append(0)
+        found = J.similar_classes(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
+        assert {r.component_id for r in found.collect()} == {0}
+    assert made[0] < 3 * 1000 and made[1] < 3 * 2000
+
+
 def test_empty_table(spark):
     assert J.similar_classes(spark.createDataFrame([], SCHEMA)).collect() == []
 
