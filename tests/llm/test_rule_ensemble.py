@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import plain
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,3 +100,19 @@ def test_query_on_held_out_rows(spark):
     folder = "/root/testdata/sf0.1"
     rows = op5_rule_ensemble(spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").where("held_out")
     assert np.mean([r.predicted == r.quality for r in rows.collect()]) > 0.98
+
+
+def test_every_score_in_plain_python(spark):
+    """The whole table: statistics counted from the texts, rules looked at one by one."""
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    stats = R.measured(docs)
+    model = R.train(stats, spark.read.parquet(f"{folder}/labels.parquet"), ~held_out())
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    measured = {i: plain.text_statistics(t) for i, t in texts.items()}
+    for row in stats.collect():
+        assert {n: row[n] for n in R.NAMES} == pytest.approx(measured[row.doc_id], abs=1e-12)
+    expected = dict(zip(texts, plain.rule_scores(model, measured.values()), strict=True))
+    rows = R.score(stats, model).collect()
+    assert len(rows) == len(expected) and model.weighted
+    assert all(r.score == pytest.approx(expected[r.doc_id], abs=1e-9) for r in rows)

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import plain
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,3 +90,15 @@ def test_query_on_held_out_rows(spark):
     assert np.mean([r.predicted for r in toxic]) > 0.7
     assert np.mean([r.predicted for r in clean]) < 0.01
     assert all(r.predicted == int(r.score >= 0.5) for r in rows)
+
+
+def test_every_score_in_plain_python(spark):
+    """The whole table: words and prefixes by regular expressions, weights added one by one."""
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    model = X.train(docs, spark.read.parquet(f"{folder}/labels.parquet"), ~held_out())
+    texts = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    expected = dict(zip([i for i, _ in texts], plain.toxicity_scores(model, [t for _, t in texts]), strict=True))
+    rows = X.score(docs, model).collect()
+    assert len(rows) == len(expected) and len(model.weights) > 0
+    assert all(r.score == pytest.approx(expected[r.doc_id], abs=1e-9) for r in rows)
