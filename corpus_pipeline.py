@@ -49,7 +49,7 @@ STAGES = [
     ("packing", on_workers(pack_tokens)),
 ]
 
-# A trained classifier and a tokenizer are beyond SQL; the stages are tested against brute-force versions.
+# A trained classifier and a tokenizer are beyond SQL; tests/llm/test_pipeline.py holds every stage against a plain version.
 ORACLE_SQL = None
 
 
