@@ -5,7 +5,8 @@ tasks as it needs, so its share of the support does not sink as the corpus grows
 
 1. Each shard is mined completely, at the global support lowered to its share of all words: a phrase that
    occurs ``support`` times must reach that in some shard. Words are counted first, which gives the shares;
-   then pairs of words, then longer phrases, each only where both its parts are candidates already.
+   then pairs of words, then each longer length in a pass of its own, only where both its parts are
+   candidates already, so that what a shard counts grows with its frequent phrases, not with all of them.
 2. The union of what the shards find holds every frequent phrase. Where a shard did not find a phrase, it has
    at most one less than its share; what cannot reach the support even so is left out of the union.
 3. All occurrences of the union's phrases are counted exactly. What a task looks up is a Bloom filter of the
@@ -333,10 +334,10 @@ def frequent_phrases(
     own = {row["shard"]: row["n"] for row in counted.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
     share = [support * own.get(i, 0) / max(1, sum(own.values())) for i in range(SHARDS)]
     union = steps.keep(union_of_shards(counted, share, support), "union-1")
-    for lengths in (range(2, 3), range(3, longest + 1)):
-        if len(lengths) and lengths[0] <= longest:
-            longer = shard_counts(chosen, bloom_filter(union, bloom_bits(union.count())), lengths, longest)
-            union = union.union(steps.keep(union_of_shards(longer, share, support), f"union-{lengths[-1]}"))
+    # One length a pass: a phrase is counted only where both its parts one word shorter are in the union.
+    for length in range(2, longest + 1):
+        longer = shard_counts(chosen, bloom_filter(union, bloom_bits(union.count())), range(length, length + 1), longest)
+        union = union.union(steps.keep(union_of_shards(longer, share, support), f"union-{length}"))
     bloom = bloom_filter(union, bloom_bits(union.count()))
     return steps.keep(phrase_counts(chosen, bloom, support, longest), "frequent"), totals
 

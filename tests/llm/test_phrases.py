@@ -104,3 +104,20 @@ def test_filter_has_no_false_negatives(spark):
     assert P._holds(bloom, np.array(hashes, np.int64).view(np.uint64)).all()
     others = np.array([rng.getrandbits(64) for _ in range(30_000)], np.uint64)
     assert P._holds(bloom, others).mean() < 0.05
+
+
+def test_longer_phrases_need_frequent_parts(spark, monkeypatch):
+    """Frequent pairs, no frequent triples: no shard counts four or five words in a row."""
+    counted, plain = [], P.shard_counts
+
+    def spy(docs, known, lengths, longest):
+        out = plain(docs, known, lengths, longest)
+        if lengths[-1] >= 4:
+            counted.append(out.count())
+        return out
+
+    monkeypatch.setattr(P, "shard_counts", spy)
+    rng = random.Random(6)
+    docs = [(" ".join(f"v{rng.randrange(20)}" for _ in range(200)), "en") for _ in range(100)]
+    assert sorted(map(tuple, P.mine(table(spark, docs, 1), support=12).collect())) == brute(docs, 12, 2000)
+    assert counted and sum(counted) < 100
