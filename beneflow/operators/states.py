@@ -31,14 +31,17 @@ def distinct_state(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -
     # '007' is not '7': only the usual way to write a number makes it one.
     is_code = (code >= 0) & code.cast("string").eqNullSafe(F.col("valor"))
     values = values.withColumn("codigo", F.when(is_code, code.cast("bigint")))
+    # Bitmaps are built by sorting; a task's rows are first made distinct by hashing, so that what is sorted
+    # grows with the values a group has, not with its rows.
+    distinct = values.select(
+        *keys, "coluna", F.bitmap_bucket_number("codigo").alias("balde"),
+        F.when(F.col("codigo").isNull(), F.col("valor")).alias("texto"), F.bitmap_bit_position("codigo").alias("bit"),
+    ).distinct()
     return (
-        values.groupBy(
-            *keys, "coluna", F.bitmap_bucket_number("codigo").alias("balde"),
-            F.when(F.col("codigo").isNull(), F.col("valor")).alias("texto"),
-        )
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("codigo")).alias("bits"))
+        distinct.groupBy(*keys, "coluna", "balde", "texto")
+        .agg(F.bitmap_construct_agg("bit").alias("bits"))
         .withColumn("bits", F.when(F.col("texto").isNull(), F.col("bits")))
-    )
+    )
 
 
 def distinct_rollup(state: DataFrame, *levels: Sequence[str]) -> DataFrame:

@@ -34,6 +34,25 @@ def test_distinct_state_of_nothing(spark):
     assert states.distinct_rollup(states.distinct_state(df, ["mes"], ["cod"]), ["mes"]).collect() == []
 
 
+def test_bitmaps_sort_distinct_values_not_rows(spark):
+    """The bitmap aggregate is sort-based: a task's rows are made distinct by hashing before anything is sorted."""
+    import contextlib
+    import io
+    import re
+
+    df = spark.range(10_000).selectExpr("CAST(id % 3 AS string) AS mes", "CAST(id % 7 AS string) AS cod")
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        states.distinct_state(df, ["mes"], ["cod"]).explain()
+    plan = out.getvalue().split("== Physical Plan ==")[-1].splitlines()
+    operators = [m.group(1) for line in plan if (m := re.match(r"[\s+\-:*]*(\w+)", line))]
+    # The plan is printed from the top down: the operator nearest the scan comes last.
+    below_sorts = operators[max(i for i, op in enumerate(operators) if op == "Sort") :]
+    assert any(op.startswith("HashAggregate") for op in below_sorts)
+    found = {(r.mes, r.coluna): r.distintos for r in states.distinct_rollup(states.distinct_state(df, ["mes"], ["cod"]), ["mes"]).collect()}
+    assert found == {(str(m), "cod"): 7 for m in range(3)}
+
+
 def test_merged_sketches_stay_within_their_error(spark):
     n = 200_000
     df = spark.range(n).selectExpr("id % 24 AS mes", "id % 3 AS k", "CAST((id * 7919 % 1000003) / 100 AS decimal(12,2)) AS v")
