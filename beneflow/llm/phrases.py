@@ -169,12 +169,26 @@ def _counted(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ordered[first], order[first], np.diff(np.append(first, len(hashes)))
 
 
+def _shard_batches(shard: int, found: np.ndarray, counts: np.ndarray, langs, written: int) -> Iterator[pa.RecordBatch]:
+    """(shard, lang, hash, n) of one length's counts, ``written`` rows a batch; ``langs`` gives the languages of
+    a slice of them, or is None where they are not told."""
+    for lo in range(0, len(found), written):
+        some = slice(lo, lo + written)
+        own = len(found[some])
+        yield pa.RecordBatch.from_pydict({
+            "shard": pa.array(np.full(own, shard, np.int32)),
+            "lang": pa.nulls(own, pa.string()) if langs is None else pa.array(langs(some), pa.string()),
+            "hash": found[some].view(np.int64), "n": pa.array(counts[some].astype(np.int64)),
+        })
+
+
 def shard_counts(docs: DataFrame, known: np.ndarray | None, lengths: range, longest: int) -> DataFrame:
     """shard, lang, hash, n: of phrases of these lengths whose shorter parts are all known.
 
     Without ``known`` every word counts. The language is told for words only.
     """
     sent = None if known is None else docs.sparkSession.sparkContext.broadcast(known)
+    written = WRITTEN
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() % SHARDS
@@ -187,11 +201,8 @@ def shard_counts(docs: DataFrame, known: np.ndarray | None, lengths: range, long
                 if length in lengths:
                     # Phrases that begin in the bridge are counted with the next run.
                     found, at, counts = _counted(hashes[places < own])
-                    langs = names[words_run.lang[places[at]]] if length == 1 else np.full(len(found), None)
-                    yield pa.RecordBatch.from_pydict({
-                        "shard": pa.array(np.full(len(found), shard, np.int32)), "lang": pa.array(langs, pa.string()),
-                        "hash": found.view(np.int64), "n": pa.array(counts.astype(np.int64)),
-                    })
+                    langs = (lambda some: names[words_run.lang[places[at[some]]]]) if length == 1 else None
+                    yield from _shard_batches(shard, found, counts, langs, written)
                     kept = np.ones(len(places), dtype=bool)
                 else:
                     kept = _holds(sent.value, hashes)

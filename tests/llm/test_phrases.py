@@ -121,3 +121,24 @@ def test_longer_phrases_need_frequent_parts(spark, monkeypatch):
     docs = [(" ".join(f"v{rng.randrange(20)}" for _ in range(200)), "en") for _ in range(100)]
     assert sorted(map(tuple, P.mine(table(spark, docs, 1), support=12).collect())) == brute(docs, 12, 2000)
     assert counted and sum(counted) < 100
+
+
+def test_shard_counts_are_passed_on_in_bounded_batches():
+    """A run's counts of one length leave the task a bounded batch at a time, all of them, in order."""
+    import numpy as np
+
+    found, counts = np.arange(10, 110, dtype=np.uint64), np.arange(100, dtype=np.int64)
+    names = np.array(["en", "de"], dtype=object)
+    batches = list(P._shard_batches(3, found, counts, lambda some: names[np.arange(100)[some] % 2], 7))
+    assert max(b.num_rows for b in batches) == 7 and sum(b.num_rows for b in batches) == 100
+    assert [h for b in batches for h in b.column("hash").to_pylist()] == list(range(10, 110))
+    assert [x for b in batches for x in b.column("lang").to_pylist()] == ["en", "de"] * 50
+    assert {x for b in batches for x in b.column("shard").to_pylist()} == {3}
+    unnamed = list(P._shard_batches(0, found, counts, None, 7))
+    assert all(b.column("lang").null_count == b.num_rows for b in unnamed)
+
+
+def test_small_batches_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(P, "WRITTEN", 5)
+    docs = made(8, 300)
+    assert sorted(map(tuple, P.mine(table(spark, docs, 3), support=12, most=40).collect())) == brute(docs, 12, 40)
