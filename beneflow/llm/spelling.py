@@ -171,8 +171,9 @@ def near_words(signed: DataFrame) -> DataFrame:
         (F.col("at") + F.col("move.moved")).alias("at"),
     )
     index = signed.filter("NOT pivot").select(F.col("word").alias("near"), "gram", "last", "length", "at")
+    # Spark sizes both sides by the words' file, not by the rows made of them, and would broadcast far too much.
     met = held.join(
-        index,
+        index.hint("merge"),
         (held["gram"] == index["gram"]) & (held["length"] == index["length"]) & (held["at"] == index["at"])
         & (F.col("own_last") <= F.col("last")) & (F.col("word") != F.col("near"))
         & (F.levenshtein("word", "near", 1) == 1),
@@ -183,7 +184,8 @@ def near_words(signed: DataFrame) -> DataFrame:
 
 def forms(words: DataFrame, near: DataFrame) -> DataFrame:
     """word, n, n_near, form, form_n: near words counted, and the one a word is a variant of."""
-    known = words.select(F.col("word").alias("near"), F.col("n").alias("near_n"))
+    # A row for every word: joined by a shuffle, as its file says little of its size in memory.
+    known = words.select(F.col("word").alias("near"), F.col("n").alias("near_n")).hint("merge")
     best = F.min(F.struct((-F.col("near_n")).alias("less"), F.col("near"))).alias("best")
     counted = near.join(known, "near").groupBy("word").agg(F.count("*").alias("n_near"), best)
     joined = words.join(counted, "word", "left")
