@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -63,6 +65,21 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
     return builder.getOrCreate()
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What is written within leaves no shuffle files behind; they would stay until the driver collects garbage.
+
+    For tables that are written and read back. A query that is run twice within shuffles twice.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new folder for intermediate tables under the cluster's ``spark.checkpoint.dir``.
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beneflow.functions import fixed
 from beneflow.functions.parsing import text_literal
+from beneflow.session import shuffles_dropped
 
 # Nation key -> state name and its mixed-case code: the first states of the contract, then abroad.
 FEED_STATES = [
@@ -41,27 +44,67 @@ def _by_nation(key: Column, position: int) -> Column:
     return F.get(F.expr(f"array({texts})"), key)
 
 
-def _choose(key: Column, choices: dict[str, str], default: str) -> Column:
+def _choice(key: Column, values: Sequence[str]) -> Column:
+    """Number of the value a key has, from 0; that after the last one for any other key and NULL."""
     chain = F
-    for value, text in choices.items():
-        chain = chain.when(key == value, F.lit(text))
-    return chain.otherwise(F.lit(default))
+    for number, value in enumerate(values):
+        chain = chain.when(key == value, F.lit(number))
+    return chain.otherwise(F.lit(len(values))).cast("tinyint")
 
 
-def raw_feed(spark: SparkSession, folder: str) -> DataFrame:
-    """Bronze-named text columns plus ``_ano_mes``, with the dirt real deliveries carry.
+def _chosen(number: str, texts: Sequence[str]) -> Column:
+    """The text a choice stands for."""
+    return F.get(F.array(*[F.lit(text) for text in texts]), F.col(number).cast("int"))
+
 
-    Join strategies are left to the optimizer; states come from a literal list, not a join.
+def feed_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """What each row of the feed is made of: keys, numbers of choices and short codes, and ``_ano_mes``.
+
+    Join strategies are left to the optimizer. Payments are many times the other rows, and each join that shuffles
+    writes them once, so customers are joined to orders first, and no text is made before the last join.
     """
-    paid_no, home_no = F.col("s_suppkey") % 50, F.col("c_custkey") % 50
-    bank_no = F.col("s_suppkey") % 21
+    payments = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice",
+        _choice(F.col("l_returnflag"), ["A", "R"]).alias("sexo"),
+        F.when(F.col("l_linenumber") == 7, 0).when(F.col("l_linestatus") == "F", 1).otherwise(2).cast("tinyint")
+        .alias("clientela"),
+        F.when(F.col("l_orderkey") % 997 == 0, 0)
+        .when((F.col("l_linenumber") == 3) & (F.col("l_tax") == 0), 1).otherwise(2).cast("tinyint").alias("valor"),
+    )
+    customers = table(spark, folder, "customer").select(
+        "c_custkey", "c_nationkey", (F.col("c_custkey") % 50).cast("tinyint").alias("home_no"),
+        _choice(F.col("c_mktsegment"), ["MACHINERY", "HOUSEHOLD"]).alias("ramo_atividade"),
+    )
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderdate",
+        F.date_format("o_orderdate", "yyyyMM").alias("_ano_mes"),
+        (F.col("o_orderkey") % 991 == 0).alias("sem_data"),
+        _choice(F.col("o_orderstatus"), ["F", "O"]).alias("despacho"),
+        _choice(F.substring("o_orderpriority", 1, 1), ["1", "2", "3", "4"]).alias("meio_pagamento"),
+    )
+    ordered = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).drop("o_custkey", "c_custkey")
+    parts = table(spark, folder, "part").select("p_partkey", "p_type", "p_size")
+    suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
+    return (
+        payments.join(parts, F.col("l_partkey") == F.col("p_partkey")).drop("l_partkey", "p_partkey")
+        .join(ordered, F.col("l_orderkey") == F.col("o_orderkey")).drop("l_orderkey", "o_orderkey")
+        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).drop("l_suppkey")
+    )
+
+
+def feed_texts(facts: DataFrame) -> DataFrame:
+    """Bronze-named text columns plus ``_ano_mes``, one row for each of ``feed_facts``."""
+    paid_no, home_no, bank_no = F.col("s_suppkey") % 50, F.col("home_no"), F.col("s_suppkey") % 21
     size = F.col("p_size")
     species = F.when(size >= 49, size + 38).otherwise(size)
-    priority = F.substring("o_orderpriority", 1, 1)
-
-    # Texts that depend on one dimension are made on that dimension, before it is joined.
-    suppliers = table(spark, folder, "supplier").select(
-        "s_suppkey",
+    return facts.select(
+        _chosen("despacho", ["Normal  ", " {ñ class}", " Especial"]).alias("despacho"),
+        _chosen("sexo", ["Feminino ", "Masculino", "{ñ class}"]).alias("sexo"),
+        _chosen("clientela", ["Nao Informado", "Urbano  ", "Rural"]).alias("clientela"),
+        F.col("p_type").alias("tipo_beneficio"),
+        _by_nation(F.col("c_nationkey"), 1).alias("uf"),
+        _chosen("meio_pagamento", ["Ccf - Conta", "Cmg - Cartao", "Ccl  -  Loterica", "Xyz - Outro", "Cmg"])
+        .alias("meio_pagamento"),
         F.when(bank_no == 20, "SemCodigo")
         .otherwise(F.concat((bank_no + 100).cast("string"), F.lit("-Banco-"),
                             bank_no.cast("string"), F.lit(" "))).alias("banco"),
@@ -69,58 +112,41 @@ def raw_feed(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.concat((paid_no + 20000).cast("string"), F.lit("-"),
                             _by_nation(F.col("s_nationkey"), 2), F.lit("-Mun-"),
                             paid_no.cast("string"))).alias("mun_pagto"),
-    )
-    customers = table(spark, folder, "customer").select(
-        "c_custkey",
-        _by_nation(F.col("c_nationkey"), 1).alias("uf"),
         F.concat((home_no + 20000).cast("string"), F.lit("-"),
                  _by_nation(F.col("c_nationkey"), 2), F.lit("-Mun-"), home_no.cast("string"))
         .alias("mun_resid"),
-        _choose(F.col("c_mktsegment"), {"MACHINERY": "Rural", "HOUSEHOLD": "{ñ class}"}, "Urbano ")
-        .alias("ramo_atividade"),
-    )
-    parts = table(spark, folder, "part").select(
-        "p_partkey",
-        F.col("p_type").alias("tipo_beneficio"),
+        F.when(F.col("valor") == 0, "n/d").when(F.col("valor") == 1, "0,00")
+        .otherwise(F.translate(F.format_number("l_extendedprice", 2), ",.", ".,"))
+        .alias("vl_liquido"),
+        _chosen("ramo_atividade", ["Rural", "{ñ class}", "Urbano "]).alias("ramo_atividade"),
+        F.when(F.col("sem_data"), "31/02/2000").otherwise(F.date_format("o_orderdate", "dd/MM/yyyy"))
+        .alias("dt_inicio_validade"),
         F.when(size == 48, "x").otherwise(F.lpad(species.cast("string"), 3, " "))
         .alias("especie_codigo"),
         F.concat(F.lit("Especie "), size.cast("string")).alias("especie_descricao"),
+        "_ano_mes",
     )
-    orders = table(spark, folder, "orders").select(
-        "o_orderkey", "o_custkey",
-        _choose(F.col("o_orderstatus"), {"F": "Normal  ", "O": " {ñ class}"}, " Especial")
-        .alias("despacho"),
-        _choose(priority, {"1": "Ccf - Conta", "2": "Cmg - Cartao", "3": "Ccl  -  Loterica",
-                           "4": "Xyz - Outro"}, "Cmg").alias("meio_pagamento"),
-        F.when(F.col("o_orderkey") % 991 == 0, "31/02/2000")
-        .otherwise(F.date_format("o_orderdate", "dd/MM/yyyy")).alias("dt_inicio_validade"),
-        F.date_format("o_orderdate", "yyyyMM").alias("_ano_mes"),
-    )
-    return (
-        table(spark, folder, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .select(
-            "despacho",
-            _choose(F.col("l_returnflag"), {"A": "Feminino ", "R": "Masculino"}, "{ñ class}")
-            .alias("sexo"),
-            F.when(F.col("l_linenumber") == 7, "Nao Informado")
-            .when(F.col("l_linestatus") == "F", "Urbano  ").otherwise("Rural").alias("clientela"),
-            "tipo_beneficio", "uf", "meio_pagamento", "banco", "mun_pagto", "mun_resid",
-            F.when(F.col("l_orderkey") % 997 == 0, "n/d")
-            .when((F.col("l_linenumber") == 3) & (F.col("l_tax") == 0), "0,00")
-            .otherwise(F.translate(F.format_number("l_extendedprice", 2), ",.", ".,"))
-            .alias("vl_liquido"),
-            "ramo_atividade", "dt_inicio_validade", "especie_codigo", "especie_descricao",
-            "_ano_mes",
-        )
-    )
 
 
-def landing_feed(spark: SparkSession, folder: str) -> DataFrame:
-    """The feed under its landing headers, plus the month it belongs to."""
-    raw = raw_feed(spark, folder)
+def stored_facts(spark: SparkSession, folder: str, path: str) -> DataFrame:
+    """``feed_facts`` written to ``path`` and read back, for queries that need the feed more than once."""
+    facts = feed_facts(spark, folder)
+    with shuffles_dropped(spark):
+        facts.write.parquet(path)
+    return spark.read.schema(facts.schema).parquet(path)
+
+
+def raw_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """Bronze-named text columns plus ``_ano_mes``, with the dirt real deliveries carry."""
+    return feed_texts(feed_facts(spark, folder))
+
+
+def landing_texts(facts: DataFrame, cluster: bool = False) -> DataFrame:
+    """The feed under its landing headers, plus the month it belongs to. With ``cluster`` rows are rebalanced by
+    month, as facts, so that few bytes are moved."""
     headers = {column: header for header, column in fixed.LANDING_TO_BRONZE.items()}
-    return raw.withColumnsRenamed(headers)
+    return feed_texts(facts.hint("rebalance", "_ano_mes") if cluster else facts).withColumnsRenamed(headers)
+
+
+def landing_feed(spark: SparkSession, folder: str, cluster: bool = False) -> DataFrame:
+    return landing_texts(feed_facts(spark, folder), cluster)
