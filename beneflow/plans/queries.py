@@ -13,7 +13,7 @@ from beneflow.functions import fixed
 from beneflow.functions import measures as M
 from beneflow.functions.catalog import register_functions
 from beneflow.operators import extras, gold, layers, quality, reports, states
-from beneflow.operators.percentiles import percentiles
+from beneflow.operators.percentiles import join_on_keys, percentiles
 from beneflow.operators.ranking import (
     species_with_top_state,
     top_ordered,
@@ -319,11 +319,15 @@ def distinct_counts(spark: SparkSession, sf: str) -> DataFrame:
 def distinct_approx_error(spark: SparkSession, sf: str) -> DataFrame:
     """Whether the opt-in distinct sketch is within three times its relative error."""
     rsd, columns = 0.02, {"municipios": "mun_resid_codigo", "valores": "vl_liquido"}
-    counts = silver(spark, sf).groupBy(MONTH).agg(
-        *[M.distinct_count(F.col(c)).alias(n) for n, c in columns.items()],
-        *[M.distinct_count(F.col(c), rsd).alias(f"{n}_aprox") for n, c in columns.items()],
-    )
-    return counts.select(
+    # In one aggregation with exact counts, every distinct value of a month would carry sketches of its own.
+    path = shared_folder(spark, "distinct-columns")
+    rows = silver(spark, sf).select(MONTH, *columns.values())
+    with shuffles_dropped(spark):
+        rows.write.parquet(path)
+    months = spark.read.schema(rows.schema).parquet(path).groupBy(MONTH)
+    exact = months.agg(*[M.distinct_count(F.col(c)).alias(n) for n, c in columns.items()])
+    sketches = months.agg(*[M.distinct_count(F.col(c), rsd).alias(f"{n}_aprox") for n, c in columns.items()])
+    return join_on_keys(exact, sketches, [MONTH]).select(
         MONTH, *columns,
         *[(F.abs(F.col(f"{n}_aprox") - F.col(n)) <= F.col(n) * (3 * rsd)).alias(f"{n}_ok")
           for n in columns],
