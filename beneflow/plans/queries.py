@@ -585,17 +585,17 @@ def reconciliation(spark: SparkSession, sf: str) -> DataFrame:
 def lake_kpis(spark: SparkSession, sf: str) -> DataFrame:
     """Monthly deliveries, picked up as they arrive, through all layers on storage: the KPI table."""
     base = shared_folder(spark, "lake")
-    (
-        benefits.landing_feed(spark, sf)
-        .hint("rebalance", MONTH)
-        .write.partitionBy(MONTH)
-        .option("header", "true")
-        .option("sep", ";")
-        .option("encoding", fixed.DELIVERY_ENCODING)
-        .option("ignoreLeadingWhiteSpace", "false")
-        .option("ignoreTrailingWhiteSpace", "false")
-        .csv(f"{base}/deliveries")
-    )
+    with shuffles_dropped(spark):
+        (
+            benefits.landing_feed(spark, sf, cluster=True)
+            .write.partitionBy(MONTH)
+            .option("header", "true")
+            .option("sep", ";")
+            .option("encoding", fixed.DELIVERY_ENCODING)
+            .option("ignoreLeadingWhiteSpace", "false")
+            .option("ignoreTrailingWhiteSpace", "false")
+            .csv(f"{base}/deliveries")
+        )
     lake = layer_chain.Lake(f"{base}/layers")
     layer_chain.follow_deliveries(spark, f"{base}/deliveries", lake, f"{base}/checkpoint", RUN_TS)
     return read_table(spark, lake.table("kpis_nacionais"))
