@@ -445,7 +445,8 @@ def schema_evolution(spark: SparkSession, sf: str) -> DataFrame:
 def schema_evolution_variant(spark: SparkSession, sf: str) -> DataFrame:
     """Deliveries with different columns beyond the contract, kept as VARIANT up to silver and typed there."""
     base = shared_folder(spark, "extras")
-    feed = benefits.landing_feed(spark, sf)
+    # The tables are joined once for the three folders.
+    feed = benefits.landing_texts(benefits.stored_facts(spark, sf, shared_folder(spark, "facts")))
     given = {"Nota": "Vl Líquido", "Dt. Visita": "Dt início validade", "Observação": "Espécie13"}
     folders = {
         "older": (F.col(MONTH) < EXTRAS_FROM, []),
