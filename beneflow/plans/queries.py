@@ -474,17 +474,19 @@ def schema_evolution_variant(spark: SparkSession, sf: str) -> DataFrame:
 def incremental_gold(spark: SparkSession, sf: str) -> DataFrame:
     """Two deliveries, the second with late files for some months: ``fat_uf`` finished from the states of both."""
     base = shared_folder(spark, "increments")
-    feed = benefits.landing_feed(spark, sf)
+    # The tables are joined once for both deliveries, whose rows are rebalanced by month as facts.
+    facts = benefits.stored_facts(spark, sf, shared_folder(spark, "facts"))
+    feed = benefits.landing_texts(facts, cluster=True)
     late = (F.col(MONTH) >= EVOLVED_FROM) & (F.pmod(F.xxhash64("Vl Líquido", "UF"), F.lit(3)) == 0)
     lake = layer_chain.Lake(f"{base}/layers")
     for delivery in (feed.where(~late), feed.where(late)):
-        (
-            delivery.hint("rebalance", MONTH)
-            .write.mode("append").partitionBy(MONTH)
-            .options(header=True, sep=";", encoding=fixed.DELIVERY_ENCODING)
-            .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-            .csv(f"{base}/deliveries")
-        )
+        with shuffles_dropped(spark):
+            (
+                delivery.write.mode("append").partitionBy(MONTH)
+                .options(header=True, sep=";", encoding=fixed.DELIVERY_ENCODING)
+                .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+                .csv(f"{base}/deliveries")
+            )
         layer_chain.follow_files(spark, f"{base}/deliveries", lake, f"{base}/checkpoint", RUN_TS)
     return read_table(spark, lake.table("fat_uf"))
 
